@@ -928,3 +928,7 @@ def _d6(f: Frames):
 @reg("missing_hours", lambda o: o.sql(_SPINE, "energy"))
 def _d7(f: Frames):
     return quality.missing_hours(f.energy)
+
+
+# ingestion, build and streaming keys register themselves on import
+from . import io_registry  # noqa: E402,F401

@@ -96,6 +96,35 @@ def raw_from_events(events: DataFrame, scale_out: bool = False) -> DataFrame:
     )
 
 
+# Rows turned bad in the "bad rows" CSV rendering.
+BAD_TIMESTAMP_EVERY = (997, 11)     # event_id % 997 == 11: unparseable timestamp
+LONG_ID_EVERY = (991, 13)           # event_id % 991 == 13: 51-character equipment id
+
+
+def csv_text(raw: DataFrame, rotate_null_tokens: bool = False, bad_rows: bool = False,
+             tokens=("", "NULL", "null", "NaN", "nan")) -> DataFrame:
+    """Raw readings rendered as the nine CSV text fields plus their batch name.
+
+    ``rotate_null_tokens`` writes each NULL as one of the textual NULL
+    tokens (chosen by event id); ``bad_rows`` corrupts a fixed subset of rows.
+    """
+    from .csv_ingest import CSV_FIELDS, batch_names
+
+    eid = F.col("event_id")
+    text = {f: F.col(f).cast("string") for f in CSV_FIELDS}
+    text["timestamp"] = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    if bad_rows:
+        m, r = BAD_TIMESTAMP_EVERY
+        text["timestamp"] = F.when(eid % m == r, F.lit("not-a-time")).otherwise(text["timestamp"])
+        m, r = LONG_ID_EVERY
+        text["equipment_id"] = F.when(eid % m == r, F.rpad("equipment_id", 51, "X")).otherwise(
+            text["equipment_id"])
+    if rotate_null_tokens:
+        token = F.element_at(F.array(*[F.lit(t) for t in tokens]), (F.pmod(eid, F.lit(len(tokens))) + 1).cast("int"))
+        text = {f: F.coalesce(c, token) for f, c in text.items()}
+    return raw.select(*[c.alias(f) for f, c in text.items()], batch_names(raw).alias("batch"))
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
