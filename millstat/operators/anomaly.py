@@ -53,11 +53,24 @@ def spec_value(etype: Column, sensor: str, stat: str, spec=None) -> Column:
     return out
 
 
-def deviation(df: DataFrame, sensor: str, names=RAW_NAMES, spec=None) -> Column:
-    """abs z-score of one sensor against its type's normal mean/std."""
+def with_spec(df: DataFrame, spec=None) -> DataFrame:
+    """Adds the type's mean/std/min/max of every sensor as columns ``_<stat>_<sensor>``.
+
+    Each lookup is evaluated once per row; later expressions reference the
+    columns instead of repeating the CASE over types.
+    """
     etype = F.col("equipment_type")
-    x = F.col(names[sensor])
-    return F.abs(x - spec_value(etype, sensor, "mean", spec)) / spec_value(etype, sensor, "std", spec)
+    return df.select("*", *[spec_value(etype, s, st, spec).alias(f"_{st}_{s}")
+                            for s in SENSORS for st in _STAT])
+
+
+def drop_spec(df: DataFrame) -> DataFrame:
+    return df.drop(*[f"_{st}_{s}" for s in SENSORS for st in _STAT])
+
+
+def deviation(sensor: str, names=RAW_NAMES) -> Column:
+    """abs z-score of one sensor (needs ``with_spec`` columns)."""
+    return F.abs(F.col(names[sensor]) - F.col(f"_mean_{sensor}")) / F.col(f"_std_{sensor}")
 
 
 def spike_threshold(health: Column, p: Params = DEFAULT) -> Column:
@@ -66,35 +79,44 @@ def spike_threshold(health: Column, p: Params = DEFAULT) -> Column:
             .otherwise(F.lit(p.spike_sigma_critical)))
 
 
-def spike_flags(df: DataFrame, names=RAW_NAMES, p: Params = DEFAULT, spec=None) -> dict:
+def with_spikes(df: DataFrame, names=RAW_NAMES, p: Params = DEFAULT, spec=None) -> DataFrame:
+    """Adds boolean ``_spike_<sensor>`` columns (NULL reading: never a spike)."""
+    specced = with_spec(df, spec)
     thr = spike_threshold(F.col(names["health"]), p)
-    # NULL reading: the comparison is NULL, so the sensor never spikes
-    return {s: F.coalesce(deviation(df, s, names, spec) > thr, F.lit(False)) for s in SENSORS}
+    flagged = specced.select("*", thr.alias("_thr"))
+    out = flagged.select("*", *[F.coalesce(deviation(s, names) > F.col("_thr"), F.lit(False)).alias(f"_spike_{s}")
+                                for s in SENSORS])
+    return drop_spec(out).drop("_thr")
 
 
-def anomaly_columns(df: DataFrame, names=RAW_NAMES, p: Params = DEFAULT, spec=None):
-    """(is_anomaly int, anomaly_reason text) of the spike rule (A2)."""
-    flags = spike_flags(df, names, p, spec)
+def anomaly_columns(spiked: DataFrame):
+    """(is_anomaly int, anomaly_reason text) from ``with_spikes`` columns (A2)."""
+    flags = {s: F.col(f"_spike_{s}") for s in SENSORS}
     reason = F.concat_ws(", ", *[F.when(flags[s], F.lit(f"{s}_spike")) for s in SENSORS])
     any_spike = flags[SENSORS[0]] | flags[SENSORS[1]] | flags[SENSORS[2]]
     return (F.when(any_spike, 1).otherwise(0).cast("int"),
             F.when(reason == "", F.lit(None).cast("string")).otherwise(reason))
 
 
+def drop_spikes(df: DataFrame) -> DataFrame:
+    return df.drop(*[f"_spike_{s}" for s in SENSORS])
+
+
 # ----------------------------------------------------------------- A1-A6
 
 def sensor_deviation(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A1: per staged reading, |z| of each sensor (4 dp)."""
-    return stg.select(
-        "sensor_id", "equipment_id", "equipment_type", "event_timestamp",
-        *[half_up(deviation(stg, s, STG_NAMES), 4).alias(f"{s}_z") for s in SENSORS],
-    )
+    z = with_spec(stg).select("sensor_id", "equipment_id", "equipment_type", "event_timestamp",
+                              *[deviation(s, STG_NAMES).alias(f"_z_{s}") for s in SENSORS])
+    return z.select("sensor_id", "equipment_id", "equipment_type", "event_timestamp",
+                    *[half_up(f"_z_{s}", 4).alias(f"{s}_z") for s in SENSORS])
 
 
 def anomaly_score(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A2: recomputed spike flag and reason list on staged readings."""
-    flag, reason = anomaly_columns(stg, STG_NAMES, p)
-    return stg.select(
+    spiked = with_spikes(stg, STG_NAMES, p)
+    flag, reason = anomaly_columns(spiked)
+    return spiked.select(
         "sensor_id", "equipment_id", "event_timestamp", "health_score",
         spike_threshold(F.col("health_score"), p).alias("spike_threshold"),
         flag.alias("detected_anomaly"), reason.alias("detected_reason"),
@@ -103,14 +125,16 @@ def anomaly_score(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 def sensor_range_check(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """A3: readings outside their type's safe min/max (NULL is not outside)."""
-    etype = F.col("equipment_type")
+    specced = with_spec(stg)
     outs = {}
     for s in SENSORS:
         x = F.col(STG_NAMES[s])
-        outs[s] = F.coalesce((x < spec_value(etype, s, "min")) | (x > spec_value(etype, s, "max")),
-                             F.lit(False))
+        outs[s] = F.coalesce((x < F.col(f"_min_{s}")) | (x > F.col(f"_max_{s}")), F.lit(False))
+    flagged = specced.select("sensor_id", "equipment_id", "event_timestamp",
+                             *[outs[s].alias(f"_out_{s}") for s in SENSORS])
+    outs = {s: F.col(f"_out_{s}") for s in SENSORS}
     listed = F.concat_ws(", ", *[F.when(outs[s], F.lit(s)) for s in SENSORS])
-    return stg.select(
+    return flagged.select(
         "sensor_id", "equipment_id", "event_timestamp",
         (outs[SENSORS[0]] | outs[SENSORS[1]] | outs[SENSORS[2]]).alias("out_of_spec"),
         F.when(listed == "", F.lit(None).cast("string")).otherwise(listed).alias("out_of_spec_sensors"),
@@ -135,10 +159,9 @@ def row_severity(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 def correlated_spikes(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Per unit, readings where two or more sensors spike together."""
-    flags = spike_flags(stg, STG_NAMES, p)
-    n_spikes = sum(F.col(f"_s_{s}").cast("int") for s in SENSORS)
-    marked = stg.select("equipment_id", "equipment_type",
-                        *[flags[s].alias(f"_s_{s}") for s in SENSORS])
+    spiked = with_spikes(stg.select("equipment_id", "equipment_type", *STG_NAMES.values()), STG_NAMES, p)
+    n_spikes = sum(F.col(f"_spike_{s}").cast("int") for s in SENSORS)
+    marked = spiked
     agg = marked.groupBy("equipment_id", "equipment_type").agg(
         F.count(F.lit(1)).alias("readings"),
         F.sum(F.when(n_spikes >= 2, 1).otherwise(0)).cast("long").alias("correlated_readings"),
@@ -186,7 +209,7 @@ def decline_rate(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 __all__ = [
-    "SPEC", "SENSORS", "RAW_NAMES", "STG_NAMES", "spec_value", "anomaly_columns",
+    "SPEC", "SENSORS", "RAW_NAMES", "STG_NAMES", "spec_value", "anomaly_columns", "with_spikes",
     "sensor_deviation", "anomaly_score", "sensor_range_check", "health_band", "row_severity",
     "correlated_spikes", "sensor_corr", "dataset_profile", "decline_rate", "exact_sum",
 ]

@@ -83,9 +83,9 @@ def reg(key: str, sql: Callable[[Oracle], str] | None, params: Params = DEFAULT)
     return deco
 
 
-def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(key: str, spark: SparkSession, sf_dir: str, scale_out: bool = False) -> DataFrame:
     e = REGISTRY[key]
-    return e.run(Frames(spark, sf_dir, e.params))
+    return e.run(Frames(spark, sf_dir, e.params, scale_out=scale_out))
 
 
 def oracle_sql(key: str) -> str | None:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
-from ..operators.anomaly import SPEC, anomaly_columns, spec_value
+from ..operators.anomaly import SPEC, anomaly_columns, with_spec, with_spikes
 
 # The five units, keyed by user_id % 5 (id, type, health loss
 # per day; None = a unit that recovers).
@@ -44,53 +44,60 @@ def _clamp(x: Column, lo: Column, hi: Column) -> Column:
     return F.least(F.greatest(x, lo), hi)
 
 
-def _sensor(etype: Column, sensor: str, z: Column) -> Column:
-    mean = spec_value(etype, sensor, "mean")
-    std = spec_value(etype, sensor, "std")
-    lo = spec_value(etype, sensor, "min")
-    hi = spec_value(etype, sensor, "max")
-    return half_up(_clamp(mean + std * z, lo, hi), 2)
+def _sensor_value(sensor: str, z: str) -> Column:
+    """clamp(mean + std * z) from ``with_spec`` columns (rounded in the next step)."""
+    return _clamp(F.col(f"_mean_{sensor}") + F.col(f"_std_{sensor}") * F.col(z),
+                  F.col(f"_min_{sensor}"), F.col(f"_max_{sensor}"))
 
 
 def raw_from_events(events: DataFrame, scale_out: bool = False) -> DataFrame:
     """events -> raw readings (RAW columns + ``event_id`` as dedup tie-breaker).
 
     ``scale_out`` names one unit per user (``type_userid``) instead of five.
+    Built in narrow steps so that every lookup is evaluated once per row.
     """
     eid = F.col("event_id")
-    no = F.col("user_id") % 5
-    dn = F.datediff(F.to_date("ts"), F.lit(EPOCH))
-    etype = _by_unit(no, 2)
-    loss = _by_unit(no, 3)
-    if scale_out:
-        equipment_id = F.concat(etype, F.lit("_"), F.col("user_id").cast("string"))
-    else:
-        equipment_id = _by_unit(no, 1)
-
+    base = events.select(
+        "event_id", "ts", "user_id", "value",
+        (F.col("user_id") % 5).alias("_no"),
+        F.datediff(F.to_date("ts"), F.lit(EPOCH)).alias("_dn"),
+    )
+    no, dn = F.col("_no"), F.col("_dn")
+    units = base.select("*", _by_unit(no, 2).alias("equipment_type"), _by_unit(no, 3).alias("_loss"),
+                        (F.concat(_by_unit(no, 2), F.lit("_"), F.col("user_id").cast("string")) if scale_out
+                         else _by_unit(no, 1)).alias("equipment_id"))
+    specced = with_spec(units).select(
+        "*",
+        ((F.col("value") - F.lit(50.0)) / F.lit(50.0)).alias("_z_t"),
+        ((eid * 7919 % 1000 - 500) / 250).alias("_z_v"),
+        ((eid * 104729 % 1000 - 500) / 250).alias("_z_p"),
+    )
+    clamped = specced.select(
+        "*",
+        _sensor_value("temperature", "_z_t").alias("_c_t"),
+        _sensor_value("vibration", "_z_v").alias("_c_v"),
+        _sensor_value("power_consumption", "_z_p").alias("_c_p"),
+    )
     health = (
         F.when(eid % 499 == 7, F.lit(101.0))
         .when(no == 0, F.least(F.lit(100.0), F.lit(70.0) + F.lit(0.5) * dn))
-        .otherwise(F.greatest(F.lit(0.0), F.lit(100.0) - loss * dn - (eid % 5) * F.lit(0.25)))
+        .otherwise(F.greatest(F.lit(0.0), F.lit(100.0) - F.col("_loss") * dn - (eid % 5) * F.lit(0.25)))
     )
-    temp_z = (F.col("value") - F.lit(50.0)) / F.lit(50.0)
-    vib_z = (eid * 7919 % 1000 - 500) / 250
-    pow_z = (eid * 104729 % 1000 - 500) / 250
-
-    df = events.select(
-        eid.alias("event_id"),
+    df = clamped.select(
+        "event_id",
         F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias("timestamp"),
-        equipment_id.alias("equipment_id"),
-        etype.alias("equipment_type"),
+        "equipment_id", "equipment_type",
         health.alias("health_score"),
         F.when(eid % 997 == 3, F.lit(-60.0))
         .when(eid % 101 == 5, F.lit(None).cast("double"))
-        .otherwise(_sensor(etype, "temperature", temp_z)).alias("temperature"),
-        _sensor(etype, "vibration", vib_z).alias("vibration"),
-        _sensor(etype, "power_consumption", pow_z).alias("power_consumption"),
+        .otherwise(half_up("_c_t", 2)).alias("temperature"),
+        half_up("_c_v", 2).alias("vibration"),
+        half_up("_c_p", 2).alias("power_consumption"),
         F.col("ts").alias("load_timestamp"),
     )
-    flag, reason = anomaly_columns(df)
-    return df.select(
+    spiked = with_spikes(df)
+    flag, reason = anomaly_columns(spiked)
+    return spiked.select(
         *RAW_COLUMNS[:7], flag.alias("is_anomaly"), reason.alias("anomaly_reason"),
         "load_timestamp", "event_id",
     )

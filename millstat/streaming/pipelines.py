@@ -27,7 +27,7 @@ from ..functions import rules
 from ..functions.numeric import exact_avg, exact_sum, half_up
 from ..functions.keys import surrogate_key
 from ..operators import marts, staging
-from ..operators.anomaly import anomaly_columns
+from ..operators.anomaly import anomaly_columns, with_spikes
 from ..params import DEFAULT, Params
 from ..sources import csv_ingest as ci
 
@@ -167,9 +167,10 @@ def stream_energy(spark: SparkSession, staged_dir: str, out: str, checkpoint: st
 
 def row_alerts(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """T4 body: recomputed spike rule and row severity on raw readings."""
-    flag, reason = anomaly_columns(raw, p=p)
+    spiked = with_spikes(raw, p=p)
+    flag, reason = anomaly_columns(spiked)
     h = F.col("health_score")
-    return (raw.select("*", flag.alias("_flag"), reason.alias("_reason"))
+    return (spiked.select("*", flag.alias("_flag"), reason.alias("_reason"))
             .filter((F.col("_flag") == 1) & (h < 50))
             .select("timestamp", "equipment_id", "equipment_type", "health_score",
                     F.col("_reason").alias("anomaly_reason"), rules.severity(h).alias("alert_severity")))
