@@ -30,12 +30,12 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
         raise ValueError(f"unknown marts: {sorted(unknown)}")
     paths = {"stg": f"{out}/stg"}
     stg = staging.stage(raw, p)
-    stg.write.mode("overwrite").partitionBy("event_date").parquet(paths["stg"])
+    stg.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(paths["stg"])
     stg = spark.read.parquet(paths["stg"])
     if "energy" in select:
         paths["energy"] = f"{out}/energy"
-        (marts.fact_energy(stg, p).write.mode("overwrite").partitionBy("event_date")
-         .parquet(paths["energy"]))
+        (marts.fact_energy(stg, p).hint("rebalance", "event_date").write.mode("overwrite")
+         .partitionBy("event_date").parquet(paths["energy"]))
     daily_marts = [m for m in ("alert", "oee", "forecast") if m in select]
     if daily_marts:
         paths["daily"] = f"{out}/daily"
@@ -45,9 +45,10 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
         for m in daily_marts:
             paths[m] = f"{out}/{m}"
             df = builders[m](stg, p, daily)
-            writer = df.write.mode("overwrite")
             if "event_date" in df.columns:
-                writer = writer.partitionBy("event_date")
+                writer = df.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date")
+            else:
+                writer = df.write.mode("overwrite")
             writer.parquet(paths[m])
     return paths
 

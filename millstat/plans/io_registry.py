@@ -131,7 +131,7 @@ def _i8(f: Frames):
     " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}"
                        for n, t in [("raw", "raw"), ("stg", "stg"), ("energy", "energy"), ("alert", "alert"),
                                     ("oee", "oee"), ("forecast", "forecast")]),
-    "raw", "stg", "energy", "alert", "oee", "forecast"))
+    "raw", "stg", "energy", "alert", "oee", "forecast"), shared=True)
 def _i9(f: Frames):
     return build.row_counts({"raw": f.raw, "stg": f.stg, "energy": f.energy, "alert": f.alerts,
                              "oee": f.oee, "forecast": f.forecast})
@@ -183,7 +183,7 @@ def _t1(f: Frames):
     "energy", "valid"))
 def _t2(f: Frames):
     staged = scratch_path(f.spark, "staged")
-    (staging.valid_only(f.stg).repartition("event_date").write.partitionBy("event_date").parquet(staged))
+    staging.valid_only(f.stg).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(staged)
     out, ckpt = scratch_path(f.spark, "stream-energy"), scratch_path(f.spark, "stream-ckpt")
     sp.stream_energy(f.spark, staged, out, ckpt, watermark="1 hour", max_files=4)
     return f.spark.read.parquet(out)

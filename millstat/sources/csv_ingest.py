@@ -193,10 +193,14 @@ def with_event_date(raw: DataFrame) -> DataFrame:
 def write_raw(raw: DataFrame, out: str, mode: str = "append") -> None:
     """Raw readings as parquet partitioned by event date.
 
+    The rebalance hint lets AQE size the write tasks: a heavy day is split
+    over several tasks, small days are coalesced, and each task writes few
+    date folders (not every task a file in every folder).
+
     ``overwrite`` replaces only the dates present in ``raw`` (dynamic
     partition overwrite), so a day can be reloaded without touching others.
     """
-    (with_event_date(raw).repartition("event_date").write.mode(mode)
+    (with_event_date(raw).hint("rebalance", "event_date").write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_date").parquet(out))
 
@@ -205,7 +209,7 @@ def reload_raw(spark: SparkSession, src: str, out: str, glob: str = "*.csv", p:
                load_ts=None, policy: str = "CONTINUE") -> DataFrame:
     """Truncate and reload everything from the source files (sources kept)."""
     good, _ = apply_load_policy(read_sensor_csv(spark, src, glob, p, load_ts), policy)
-    (with_event_date(good.select(*RAW_COLUMNS)).repartition("event_date").write.mode("overwrite")
+    (with_event_date(good.select(*RAW_COLUMNS)).hint("rebalance", "event_date").write.mode("overwrite")
      .partitionBy("event_date").parquet(out))
     return spark.read.parquet(out)
 
@@ -266,22 +270,16 @@ def batch_names(raw: DataFrame) -> Column:
                            F.date_format(day, "yyyyMMdd"), F.date_format(F.date_add(day, 1), "yyyyMMdd"))
 
 
-def write_daily_batches(raw: DataFrame, out: str, files_per_day: int = 1) -> None:
+def write_daily_batches(raw: DataFrame, out: str) -> None:
     """One directory of CSV files (with header) per 24 h batch.
 
     ``raw`` holds the nine CSV fields (typed or already as text); a ``batch``
     column, when present, names the batch, else it is derived from the day.
-
-    ``files_per_day`` salts a day over several files so that a heavy day is
-    written by several tasks instead of one.
+    Rows are rebalanced on the batch: small days land in one file, a heavy
+    day is split over several tasks (and files) instead of one.
     """
     batch = F.col("batch") if "batch" in raw.columns else batch_names(raw)
-    named = raw.select(*[F.col(f) for f in CSV_FIELDS], batch.alias("batch"))
-    if files_per_day > 1:
-        salt = F.pmod(F.xxhash64(*CSV_FIELDS[:2]), F.lit(files_per_day))
-        named = named.repartition(F.col("batch"), salt)
-    else:
-        named = named.repartition("batch")
+    named = raw.select(*[F.col(f) for f in CSV_FIELDS], batch.alias("batch")).hint("rebalance", "batch")
     (named.write.mode("overwrite").option("header", True)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .partitionBy("batch").csv(out))
