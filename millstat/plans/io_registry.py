@@ -131,7 +131,7 @@ def _i8(f: Frames):
     " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}"
                        for n, t in [("raw", "raw"), ("stg", "stg"), ("energy", "energy"), ("alert", "alert"),
                                     ("oee", "oee"), ("forecast", "forecast")]),
-    "raw", "stg", "energy", "alert", "oee", "forecast"), shared=True)
+    "raw", "stg", "energy", "alert", "oee", "forecast"), shared=("stg", "daily"))
 def _i9(f: Frames):
     return build.row_counts({"raw": f.raw, "stg": f.stg, "energy": f.energy, "alert": f.alerts,
                              "oee": f.oee, "forecast": f.forecast})

@@ -35,21 +35,20 @@ OEE_EXPECTED = 72  # readings per equipment-day that the sf0.01 fixture calls "f
 class Frames:
     """Lazy plans over one input directory.
 
-    With ``materialize`` the intermediates (staging, the equipment-day
-    aggregate and the marts) are written once as parquet tables in the
-    session's shared folder and read back, for queries that use one of
-    them in more than one branch: otherwise each branch would re-run the
-    scan, the dedup shuffle and the aggregate (pruned branches do not share
-    exchanges).
+    ``materialize`` names the intermediates (stg, daily, energy, alerts,
+    oee, forecast) that a query reads in more than one branch; those are
+    written once as parquet tables in the session's shared folder and read
+    back. Otherwise each branch would re-run the scan, the dedup shuffle and
+    the aggregate (branches pruned differently do not share exchanges).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = DEFAULT, scale_out: bool = False,
-                 materialize: bool = False):
+                 materialize: tuple[str, ...] = ()):
         self.spark, self.sf_dir, self.p, self.scale_out = spark, sf_dir, p, scale_out
-        self.materialize = materialize
+        self.materialize = set(materialize)
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        if not self.materialize:
+        if name not in self.materialize:
             return df
         path = scratch_path(self.spark, f"tables/{name}")
         df.write.parquet(path)
@@ -73,7 +72,7 @@ class Frames:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return self._keep("alert", marts.alert_maintenance(self.stg, self.p, self.daily))
+        return self._keep("alerts", marts.alert_maintenance(self.stg, self.p, self.daily))
 
     @cached_property
     def oee(self) -> DataFrame:
@@ -89,14 +88,14 @@ class Entry:
     run: Callable[[Frames], DataFrame]
     sql: Callable[[Oracle], str] | None
     params: Params = DEFAULT
-    shared: bool = False
+    shared: tuple[str, ...] = ()
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def reg(key: str, sql: Callable[[Oracle], str] | None, params: Params = DEFAULT, shared: bool = False):
-    """Register a query; ``shared`` marks plans that read an intermediate twice."""
+def reg(key: str, sql: Callable[[Oracle], str] | None, params: Params = DEFAULT, shared: tuple[str, ...] = ()):
+    """Register a query; ``shared`` names intermediates it reads in several branches."""
     def deco(fn):
         REGISTRY[key] = Entry(fn, sql, params, shared)
         return fn
@@ -338,18 +337,18 @@ def _m2b(f: Frames):
     return f.alerts.select("alert_id", "total_anomalies", "total_readings", "anomaly_rate_pct")
 
 
-@reg("fact_oee", lambda o: o.sql("SELECT * FROM oee", "oee"), shared=True)
+@reg("fact_oee", lambda o: o.sql("SELECT * FROM oee", "oee"), shared=('daily',))
 def _m3(f: Frames):
     return f.oee
 
 
-@reg("fact_oee_x72", lambda o: o.sql("SELECT * FROM oee", "oee"), params=P72, shared=True)
+@reg("fact_oee_x72", lambda o: o.sql("SELECT * FROM oee", "oee"), params=P72, shared=('daily',))
 def _m3x(f: Frames):
     return f.oee
 
 
 @reg("oee_availability", lambda o: o.sql(
-    "SELECT oee_id, actual_readings, availability_pct FROM oee", "oee"), params=P72, shared=True)
+    "SELECT oee_id, actual_readings, availability_pct FROM oee", "oee"), params=P72, shared=('daily',))
 def _m3a(f: Frames):
     return f.oee.select("oee_id", "actual_readings", "availability_pct")
 
@@ -360,25 +359,25 @@ def _m3b(f: Frames):
 
 
 @reg("oee_performance", lambda o: o.sql(
-    "SELECT oee_id, avg_power_kw, benchmark_power_kw, performance_pct FROM oee", "oee"), shared=True)
+    "SELECT oee_id, avg_power_kw, benchmark_power_kw, performance_pct FROM oee", "oee"), shared=('daily',))
 def _m3c(f: Frames):
     return f.oee.select("oee_id", "avg_power_kw", "benchmark_power_kw", "performance_pct")
 
 
 @reg("oee_quality", lambda o: o.sql(
-    "SELECT oee_id, anomaly_count, actual_readings, quality_pct FROM oee", "oee"), shared=True)
+    "SELECT oee_id, anomaly_count, actual_readings, quality_pct FROM oee", "oee"), shared=('daily',))
 def _m3d(f: Frames):
     return f.oee.select("oee_id", "anomaly_count", "actual_readings", "quality_pct")
 
 
-@reg("oee_class", lambda o: o.sql("SELECT oee_id, oee_score, oee_class FROM oee", "oee"), params=P72, shared=True)
+@reg("oee_class", lambda o: o.sql("SELECT oee_id, oee_score, oee_class FROM oee", "oee"), params=P72, shared=('daily',))
 def _m3e(f: Frames):
     return f.oee.select("oee_id", "oee_score", "oee_class")
 
 
 @reg("oee_weakest", lambda o: o.sql(
     "SELECT oee_id, availability_pct, performance_pct, quality_pct, weakest_component FROM oee", "oee"),
-    params=P72, shared=True)
+    params=P72, shared=('daily',))
 def _m3f(f: Frames):
     return f.oee.select("oee_id", "availability_pct", "performance_pct", "quality_pct", "weakest_component")
 
@@ -540,7 +539,7 @@ def _q6(f: Frames):
 SELECT equipment_id, equipment_type, event_hour, total_power_kwh, avg_temperature_c, anomaly_count,
   {hu(f"total_power_kwh / (SELECT {eavg('total_power_kwh', 2)} FROM energy)", 2)} AS deviation_ratio
 FROM energy WHERE {W7} AND anomaly_count > 0
-ORDER BY total_power_kwh DESC, equipment_id, event_hour LIMIT {P.top_high_power}""", "energy"), shared=True)
+ORDER BY total_power_kwh DESC, equipment_id, event_hour LIMIT {P.top_high_power}""", "energy"), shared=('energy',))
 def _q7(f: Frames):
     return E.high_power(f.energy, f.p)
 
@@ -598,7 +597,7 @@ FROM (SELECT event_date, equipment_id, equipment_type, {_kwh()} AS daily_kwh,
         CAST(sum(anomaly_count) AS BIGINT) AS anomaly_hours_sum
       FROM energy GROUP BY event_date, equipment_id, equipment_type) d
 JOIN alert a ON d.event_date = a.event_date AND d.equipment_id = a.equipment_id
-             AND d.equipment_type = a.equipment_type""", "energy", "alert"), shared=True)
+             AND d.equipment_type = a.equipment_type""", "energy", "alert"), shared=('stg',))
 def _q14(f: Frames):
     return E.energy_health_join(f.energy, f.alerts, f.p)
 
@@ -607,7 +606,7 @@ def _q14(f: Frames):
 SELECT equipment_type, {hu('kwh', 2)} AS total_kwh,
   {hu(f"kwh * 100e0 / (SELECT {esum('total_power_kwh', 2)} FROM energy WHERE {W7})", 2)} AS pct_of_total
 FROM (SELECT equipment_type, {esum('total_power_kwh', 2)} AS kwh FROM energy WHERE {W7} GROUP BY equipment_type) t""",
-    "energy"), shared=True)
+    "energy"), shared=('energy',))
 def _q15(f: Frames):
     return E.energy_share(f.energy, f.p)
 
@@ -639,7 +638,7 @@ def _r2(f: Frames):
 @reg("risk_distribution", lambda o: o.sql(f"""
 SELECT risk_level, count(*) AS record_count,
   {hu('count(*) * 100e0 / (SELECT count(*) FROM alert)', 2)} AS pct_of_total
-FROM alert GROUP BY risk_level ORDER BY record_count DESC, risk_level""", "alert"), shared=True)
+FROM alert GROUP BY risk_level ORDER BY record_count DESC, risk_level""", "alert"), shared=('alerts',))
 def _r3(f: Frames):
     return R.risk_distribution(f.alerts, f.p)
 
@@ -730,7 +729,7 @@ FROM (
     FROM alert WHERE {D7}
   UNION ALL
   SELECT 'mean_days_to_failure', {hu(eavg('days_to_failure', 1), 2)}, '> 14' FROM forecast
-) t""", "alert", "forecast"), shared=True)
+) t""", "alert", "forecast"), shared=('daily', 'alerts'))
 def _r10(f: Frames):
     return R.kpi_targets(f.alerts, f.forecast, f.p)
 
@@ -762,7 +761,7 @@ FROM stg s LEFT JOIN forecast fc ON s.equipment_id = fc.equipment_id
 WHERE s.is_anomaly = 1 AND NOT s.is_out_of_range"""
 
 
-@reg("cause_rules", lambda o: o.sql(_cause_sql(), "stg", "forecast"), shared=True)
+@reg("cause_rules", lambda o: o.sql(_cause_sql(), "stg", "forecast"), shared=('stg',))
 def _r12(f: Frames):
     return R.cause_rules(f.stg, f.forecast, f.p)
 
@@ -783,14 +782,14 @@ _KPI = {"oee": "oee_score", "availability": "availability_pct", "performance": "
 
 @reg("oee_kpis", lambda o: o.sql(
     "SELECT " + ", ".join(f"{hu(eavg(c, 2), 2)} AS avg_{k}" for k, c in _KPI.items()) + " FROM oee", "oee"),
-    params=P72, shared=True)
+    params=P72, shared=('daily',))
 def _o1(f: Frames):
     return O.oee_kpis(f.oee, f.p)
 
 
 @reg("world_class_machines", lambda o: o.sql(
     "SELECT count(DISTINCT CASE WHEN oee_class = 'WORLD CLASS' THEN equipment_id END) AS world_class_machines "
-    "FROM oee", "oee"), params=P72, shared=True)
+    "FROM oee", "oee"), params=P72, shared=('daily',))
 def _o2(f: Frames):
     return O.world_class_machines(f.oee, f.p)
 
@@ -811,14 +810,14 @@ def _o4(f: Frames):
 
 @reg("oee_by_equipment", lambda o: o.sql(
     f"SELECT equipment_id, equipment_type, {hu(eavg('oee_score', 2), 2)} AS avg_oee_score, count(*) AS days "
-    "FROM oee GROUP BY equipment_id, equipment_type", "oee"), params=P72, shared=True)
+    "FROM oee GROUP BY equipment_id, equipment_type", "oee"), params=P72, shared=('daily',))
 def _o5(f: Frames):
     return O.oee_by_equipment(f.oee, f.p)
 
 
 @reg("oee_trend", lambda o: o.sql(
     "SELECT event_date, equipment_id, oee_score, availability_pct, performance_pct, quality_pct FROM oee",
-    "oee"), params=P72, shared=True)
+    "oee"), params=P72, shared=('daily',))
 def _o5b(f: Frames):
     return O.oee_trend(f.oee, f.p)
 
@@ -835,7 +834,7 @@ def _kpi_status_sql() -> str:
     return f"SELECT kpi, value, CASE {arms} ELSE 'RED' END AS status FROM ({' UNION ALL '.join(parts)}) t"
 
 
-@reg("kpi_status", lambda o: o.sql(_kpi_status_sql(), "oee"), params=P72, shared=True)
+@reg("kpi_status", lambda o: o.sql(_kpi_status_sql(), "oee"), params=P72, shared=('daily',))
 def _o6(f: Frames):
     return O.kpi_status(f.oee, f.p)
 
@@ -846,7 +845,7 @@ SELECT (SELECT {_kwh()} FROM energy WHERE {W7}) AS total_kwh_7d,
   (SELECT count(*) FILTER (WHERE risk_level = 'CRITICAL') FROM alert WHERE event_date = {date_lit(P.as_of)}) AS critical_alerts_today,
   (SELECT {hu(eavg('avg_health_score', 2), 2)} FROM alert WHERE {D7}) AS avg_health_7d,
   (SELECT count(*) FILTER (WHERE urgency_level IN ('CRITICAL NOW', 'CRITICAL')) FROM forecast) AS machines_at_critical_risk,
-  (SELECT count(*) FROM forecast) AS machines""", "energy", "oee", "alert", "forecast"), params=P72, shared=True)
+  (SELECT count(*) FROM forecast) AS machines""", "energy", "oee", "alert", "forecast"), params=P72, shared=('stg', 'daily', 'alerts', 'forecast'))
 def _o7(f: Frames):
     return O.executive_overview(f.energy, f.alerts, f.oee, f.forecast, f.p)
 
@@ -913,7 +912,7 @@ WHERE NOT EXISTS (SELECT 1 FROM energy e WHERE e.equipment_id = sp.equipment_id
 MISSING_ROWS = [("completeness:energy.hours", "warn", f"SELECT count(*) FROM ({_SPINE}) m")]
 
 
-@reg("dq_not_null", lambda o: o.sql(_dq(NOT_NULL_ROWS), "raw", "stg"), shared=True)
+@reg("dq_not_null", lambda o: o.sql(_dq(NOT_NULL_ROWS), "raw", "stg"))
 def _d1(f: Frames):
     return quality.dq_not_null(f.raw, f.stg)
 
@@ -923,12 +922,12 @@ def _d2(f: Frames):
     return quality.dq_unique(f.stg)
 
 
-@reg("dq_accepted_values", lambda o: o.sql(_dq(ACCEPTED_ROWS), "stg", "alert", "oee", "forecast"), shared=True)
+@reg("dq_accepted_values", lambda o: o.sql(_dq(ACCEPTED_ROWS), "stg", "alert", "oee", "forecast"), shared=('stg', 'daily'))
 def _d3(f: Frames):
     return quality.dq_accepted_values(f.stg, f.alerts, f.oee, f.forecast)
 
 
-@reg("dq_relationships", lambda o: o.sql(_dq(REL_ROWS), "stg", "alert", "energy"), shared=True)
+@reg("dq_relationships", lambda o: o.sql(_dq(REL_ROWS), "stg", "alert", "energy"), shared=('stg',))
 def _d4(f: Frames):
     return quality.dq_relationships(f.stg, f.energy, f.alerts)
 
@@ -940,12 +939,12 @@ def _d5(f: Frames):
 
 @reg("dq_report", lambda o: o.sql(
     _dq(NOT_NULL_ROWS + UNIQUE_ROWS + ACCEPTED_ROWS + REL_ROWS + ENERGY_ROWS + MISSING_ROWS),
-    "raw", "stg", "alert", "oee", "forecast", "energy"), shared=True)
+    "raw", "stg", "alert", "oee", "forecast", "energy"), shared=('stg', 'daily', 'energy', 'alerts', 'oee', 'forecast'))
 def _d6(f: Frames):
     return quality.dq_report(f.raw, f.stg, f.energy, f.alerts, f.oee, f.forecast, f.p)
 
 
-@reg("missing_hours", lambda o: o.sql(_SPINE, "energy"), shared=True)
+@reg("missing_hours", lambda o: o.sql(_SPINE, "energy"), shared=('energy',))
 def _d7(f: Frames):
     return quality.missing_hours(f.energy)
 
