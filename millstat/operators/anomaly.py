@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..functions import sqltext as sq
 from ..functions.numeric import exact_sum, half_up
 from ..params import DEFAULT, Params
 
@@ -53,15 +54,18 @@ def spec_value(etype: Column, sensor: str, stat: str, spec=None) -> Column:
     return out
 
 
+def _spec_sql(sensor: str, stat: str, spec=None) -> str:
+    spec = spec or SPEC
+    return sq.case("equipment_type", [(sq.quote(t), sq.dbl(v[sensor][_STAT[stat]])) for t, v in spec.items()])
+
+
 def with_spec(df: DataFrame, spec=None) -> DataFrame:
     """Adds the type's mean/std/min/max of every sensor as columns ``_<stat>_<sensor>``.
 
     Each lookup is evaluated once per row; later expressions reference the
     columns instead of repeating the CASE over types.
     """
-    etype = F.col("equipment_type")
-    return df.select("*", *[spec_value(etype, s, st, spec).alias(f"_{st}_{s}")
-                            for s in SENSORS for st in _STAT])
+    return df.selectExpr("*", *[f"{_spec_sql(s, st, spec)} AS _{st}_{s}" for s in SENSORS for st in _STAT])
 
 
 def drop_spec(df: DataFrame) -> DataFrame:
@@ -70,7 +74,17 @@ def drop_spec(df: DataFrame) -> DataFrame:
 
 def deviation(sensor: str, names=RAW_NAMES) -> Column:
     """abs z-score of one sensor (needs ``with_spec`` columns)."""
-    return F.abs(F.col(names[sensor]) - F.col(f"_mean_{sensor}")) / F.col(f"_std_{sensor}")
+    return F.expr(_deviation_sql(sensor, names))
+
+
+def _deviation_sql(sensor: str, names=RAW_NAMES) -> str:
+    return f"(ABS({names[sensor]} - _mean_{sensor}) / _std_{sensor})"
+
+
+def _threshold_sql(health: str, p: Params = DEFAULT) -> str:
+    return (f"CASE WHEN {health} > 70 THEN {sq.dbl(p.spike_sigma_healthy)} "
+            f"WHEN {health} > 50 THEN {sq.dbl(p.spike_sigma_degrading)} "
+            f"ELSE {sq.dbl(p.spike_sigma_critical)} END")
 
 
 def spike_threshold(health: Column, p: Params = DEFAULT) -> Column:
@@ -81,21 +95,18 @@ def spike_threshold(health: Column, p: Params = DEFAULT) -> Column:
 
 def with_spikes(df: DataFrame, names=RAW_NAMES, p: Params = DEFAULT, spec=None) -> DataFrame:
     """Adds boolean ``_spike_<sensor>`` columns (NULL reading: never a spike)."""
-    specced = with_spec(df, spec)
-    thr = spike_threshold(F.col(names["health"]), p)
-    flagged = specced.select("*", thr.alias("_thr"))
-    out = flagged.select("*", *[F.coalesce(deviation(s, names) > F.col("_thr"), F.lit(False)).alias(f"_spike_{s}")
-                                for s in SENSORS])
+    specced = with_spec(df, spec).selectExpr("*", f"{_threshold_sql(names['health'], p)} AS _thr")
+    out = specced.selectExpr("*", *[f"coalesce({_deviation_sql(s, names)} > _thr, false) AS _spike_{s}"
+                                    for s in SENSORS])
     return drop_spec(out).drop("_thr")
 
 
 def anomaly_columns(spiked: DataFrame):
     """(is_anomaly int, anomaly_reason text) from ``with_spikes`` columns (A2)."""
-    flags = {s: F.col(f"_spike_{s}") for s in SENSORS}
-    reason = F.concat_ws(", ", *[F.when(flags[s], F.lit(f"{s}_spike")) for s in SENSORS])
-    any_spike = flags[SENSORS[0]] | flags[SENSORS[1]] | flags[SENSORS[2]]
-    return (F.when(any_spike, 1).otherwise(0).cast("int"),
-            F.when(reason == "", F.lit(None).cast("string")).otherwise(reason))
+    any_spike = " OR ".join(f"_spike_{s}" for s in SENSORS)
+    reason = "concat_ws(', ', " + ", ".join(f"CASE WHEN _spike_{s} THEN '{s}_spike' END" for s in SENSORS) + ")"
+    return (F.expr(f"CAST(CASE WHEN {any_spike} THEN 1 ELSE 0 END AS INT)"),
+            F.expr(f"CASE WHEN {reason} = '' THEN CAST(NULL AS STRING) ELSE {reason} END"))
 
 
 def drop_spikes(df: DataFrame) -> DataFrame:

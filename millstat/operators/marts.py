@@ -20,12 +20,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..functions import sqltext as sq
 from ..functions.keys import surrogate_key
 from ..functions.numeric import exact_avg, exact_sum, half_up, least_strict, nullif, round_to_int
 from ..params import DEFAULT, Params
 from .staging import valid_only
 
 
+def _aggs(pairs: list[tuple[str, str]]) -> list[Column]:
+    """Aggregate expressions given as SQL text (one parse each, same trees as the Column helpers)."""
+    return [F.expr(text).alias(name) for text, name in pairs]
+
+
 def _with_key(df: DataFrame, name: str, *cols: str) -> DataFrame:
     return df.select(surrogate_key(df, *cols).alias(name), *df.columns)
 
@@ -35,18 +41,19 @@ def _with_key(df: DataFrame, name: str, *cols: str) -> DataFrame:
 def fact_energy(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """M1: one row per equipment-hour."""
     hourly = valid_only(stg).groupBy("event_hour", "event_date", "equipment_id", "equipment_type").agg(
-        half_up(exact_sum("power_kw", 2), 2).alias("total_power_kwh"),
-        half_up(exact_avg("power_kw", 2), 2).alias("avg_power_kw"),
-        half_up(F.max("power_kw"), 2).alias("peak_power_kw"),
-        half_up(exact_avg("temperature_celsius", 2), 2).alias("avg_temperature_c"),
-        half_up(F.max("temperature_celsius"), 2).alias("max_temperature_c"),
-        half_up(exact_avg("vibration_mm_s", 4), 4).alias("avg_vibration"),
-        half_up(F.max("vibration_mm_s"), 4).alias("max_vibration"),
-        half_up(exact_avg("health_score", 2), 2).alias("avg_health_score"),
-        half_up(F.min("health_score"), 2).alias("min_health_score"),
-        F.sum("is_anomaly").cast("long").alias("anomaly_count"),
-        F.count(F.lit(1)).alias("reading_count"),
-    )
+        *_aggs([
+            (sq.half_up(sq.exact_sum("power_kw", 2), 2), "total_power_kwh"),
+            (sq.half_up(sq.exact_avg("power_kw", 2), 2), "avg_power_kw"),
+            (sq.half_up("max(power_kw)", 2), "peak_power_kw"),
+            (sq.half_up(sq.exact_avg("temperature_celsius", 2), 2), "avg_temperature_c"),
+            (sq.half_up("max(temperature_celsius)", 2), "max_temperature_c"),
+            (sq.half_up(sq.exact_avg("vibration_mm_s", 4), 4), "avg_vibration"),
+            (sq.half_up("max(vibration_mm_s)", 4), "max_vibration"),
+            (sq.half_up(sq.exact_avg("health_score", 2), 2), "avg_health_score"),
+            (sq.half_up("min(health_score)", 2), "min_health_score"),
+            ("CAST(sum(is_anomaly) AS BIGINT)", "anomaly_count"),
+            ("count(1)", "reading_count"),
+        ]))
     return _with_key(hourly, "fact_id", "event_hour", "equipment_id")
 
 
@@ -62,18 +69,18 @@ def energy_kwh(energy: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 def daily_equipment(stg: DataFrame) -> DataFrame:
     """Equipment-day aggregate shared by M2, M3 and M4 (in-range readings)."""
-    return valid_only(stg).groupBy("event_date", "equipment_id", "equipment_type").agg(
-        half_up(exact_avg("health_score", 2), 2).alias("avg_health_score"),
-        half_up(F.min("health_score"), 2).alias("min_health_score"),
-        F.sum("is_anomaly").cast("long").alias("anomaly_count"),
-        F.count(F.lit(1)).alias("reading_count"),
-        half_up(F.max("temperature_celsius"), 2).alias("max_temperature_c"),
-        half_up(F.max("vibration_mm_s"), 4).alias("max_vibration"),
-        half_up(F.max("power_kw"), 2).alias("max_power_kw"),
-        half_up(exact_avg("power_kw", 2), 4).alias("avg_power_kw"),
-        half_up(exact_avg("temperature_celsius", 2), 2).alias("avg_temperature_c"),
-        half_up(exact_avg("vibration_mm_s", 4), 4).alias("avg_vibration"),
-    )
+    return valid_only(stg).groupBy("event_date", "equipment_id", "equipment_type").agg(*_aggs([
+        (sq.half_up(sq.exact_avg("health_score", 2), 2), "avg_health_score"),
+        (sq.half_up("min(health_score)", 2), "min_health_score"),
+        ("CAST(sum(is_anomaly) AS BIGINT)", "anomaly_count"),
+        ("count(1)", "reading_count"),
+        (sq.half_up("max(temperature_celsius)", 2), "max_temperature_c"),
+        (sq.half_up("max(vibration_mm_s)", 4), "max_vibration"),
+        (sq.half_up("max(power_kw)", 2), "max_power_kw"),
+        (sq.half_up(sq.exact_avg("power_kw", 2), 4), "avg_power_kw"),
+        (sq.half_up(sq.exact_avg("temperature_celsius", 2), 2), "avg_temperature_c"),
+        (sq.half_up(sq.exact_avg("vibration_mm_s", 4), 4), "avg_vibration"),
+    ]))
 
 
 # ----------------------------------------------------------------- M2

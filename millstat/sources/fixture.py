@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import half_up
+from ..functions import sqltext as sq
 from ..operators.anomaly import SPEC, anomaly_columns, with_spec, with_spikes
 
 # The five units, keyed by user_id % 5 (id, type, health loss
@@ -32,68 +32,56 @@ RAW_COLUMNS = [
 ]
 
 
-def _by_unit(no: Column, idx: int) -> Column:
-    out = None
-    for u in UNITS:
-        v = F.lit(u[idx])
-        out = F.when(no == u[0], v) if out is None else out.when(no == u[0], v)
-    return out
+def _by_unit(idx: int) -> str:
+    return sq.case("_no", [(str(u[0]), sq.quote(u[idx]) if isinstance(u[idx], str) else sq.dbl(u[idx]))
+                           for u in UNITS if u[idx] is not None])
 
 
-def _clamp(x: Column, lo: Column, hi: Column) -> Column:
-    return F.least(F.greatest(x, lo), hi)
-
-
-def _sensor_value(sensor: str, z: str) -> Column:
+def _sensor_value(sensor: str, z: str) -> str:
     """clamp(mean + std * z) from ``with_spec`` columns (rounded in the next step)."""
-    return _clamp(F.col(f"_mean_{sensor}") + F.col(f"_std_{sensor}") * F.col(z),
-                  F.col(f"_min_{sensor}"), F.col(f"_max_{sensor}"))
+    return (f"least(greatest(_mean_{sensor} + _std_{sensor} * {z}, _min_{sensor}), _max_{sensor})")
 
 
 def raw_from_events(events: DataFrame, scale_out: bool = False) -> DataFrame:
     """events -> raw readings (RAW columns + ``event_id`` as dedup tie-breaker).
 
     ``scale_out`` names one unit per user (``type_userid``) instead of five.
-    Built in narrow steps so that every lookup is evaluated once per row.
+    Built in narrow steps so that every lookup is evaluated once per row;
+    the expressions are SQL text, parsed once per step.
     """
-    eid = F.col("event_id")
-    base = events.select(
-        "event_id", "ts", "user_id", "value",
-        (F.col("user_id") % 5).alias("_no"),
-        F.datediff(F.to_date("ts"), F.lit(EPOCH)).alias("_dn"),
+    base = events.selectExpr(
+        "event_id", "ts", "user_id", "value", "user_id % 5 AS _no",
+        f"datediff(to_date(ts), DATE'{EPOCH.isoformat()}') AS _dn",
     )
-    no, dn = F.col("_no"), F.col("_dn")
-    units = base.select("*", _by_unit(no, 2).alias("equipment_type"), _by_unit(no, 3).alias("_loss"),
-                        (F.concat(_by_unit(no, 2), F.lit("_"), F.col("user_id").cast("string")) if scale_out
-                         else _by_unit(no, 1)).alias("equipment_id"))
-    specced = with_spec(units).select(
+    unit_id = ("concat(equipment_type, '_', CAST(user_id AS STRING))" if scale_out else _by_unit(1))
+    typed = base.selectExpr("*", f"{_by_unit(2)} AS equipment_type", f"{_by_unit(3)} AS _loss")
+    units = typed.selectExpr("*", f"{unit_id} AS equipment_id")
+    specced = with_spec(units).selectExpr(
         "*",
-        ((F.col("value") - F.lit(50.0)) / F.lit(50.0)).alias("_z_t"),
-        ((eid * 7919 % 1000 - 500) / 250).alias("_z_v"),
-        ((eid * 104729 % 1000 - 500) / 250).alias("_z_p"),
+        "(value - 50.0D) / 50.0D AS _z_t",
+        "(event_id * 7919 % 1000 - 500) / 250 AS _z_v",
+        "(event_id * 104729 % 1000 - 500) / 250 AS _z_p",
     )
-    clamped = specced.select(
+    clamped = specced.selectExpr(
         "*",
-        _sensor_value("temperature", "_z_t").alias("_c_t"),
-        _sensor_value("vibration", "_z_v").alias("_c_v"),
-        _sensor_value("power_consumption", "_z_p").alias("_c_p"),
-    )
-    health = (
-        F.when(eid % 499 == 7, F.lit(101.0))
-        .when(no == 0, F.least(F.lit(100.0), F.lit(70.0) + F.lit(0.5) * dn))
-        .otherwise(F.greatest(F.lit(0.0), F.lit(100.0) - F.col("_loss") * dn - (eid % 5) * F.lit(0.25)))
+        f"{_sensor_value('temperature', '_z_t')} AS _c_t",
+        f"{_sensor_value('vibration', '_z_v')} AS _c_v",
+        f"{_sensor_value('power_consumption', '_z_p')} AS _c_p",
     )
-    df = clamped.select(
+    health = ("CASE WHEN event_id % 499 = 7 THEN 101.0D "
+              "WHEN _no = 0 THEN least(100.0D, 70.0D + 0.5D * _dn) "
+              "ELSE greatest(0.0D, 100.0D - _loss * _dn - (event_id % 5) * 0.25D) END")
+    temperature = (f"CASE WHEN event_id % 997 = 3 THEN -60.0D WHEN event_id % 101 = 5 THEN CAST(NULL AS DOUBLE) "
+                   f"ELSE {sq.half_up('_c_t', 2)} END")
+    df = clamped.selectExpr(
         "event_id",
-        F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias("timestamp"),
+        "CAST(date_trunc('minute', ts) AS TIMESTAMP_NTZ) AS timestamp",
         "equipment_id", "equipment_type",
-        health.alias("health_score"),
-        F.when(eid % 997 == 3, F.lit(-60.0))
-        .when(eid % 101 == 5, F.lit(None).cast("double"))
-        .otherwise(half_up("_c_t", 2)).alias("temperature"),
-        half_up("_c_v", 2).alias("vibration"),
-        half_up("_c_p", 2).alias("power_consumption"),
-        F.col("ts").alias("load_timestamp"),
+        f"{health} AS health_score",
+        f"{temperature} AS temperature",
+        f"{sq.half_up('_c_v', 2)} AS vibration",
+        f"{sq.half_up('_c_p', 2)} AS power_consumption",
+        "ts AS load_timestamp",
     )
     spiked = with_spikes(df)
     flag, reason = anomaly_columns(spiked)
@@ -136,8 +124,19 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input read as fewer tasks than the cluster has cores.
+
+    A small table stored as one parquet row group is read by one task; the
+    per-row mapping is the heavy part, so it is spread round-robin first. A
+    table of many files is already read by many tasks and is left as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_readings(spark: SparkSession, sf_dir: str, scale_out: bool = False) -> DataFrame:
-    return raw_from_events(load_events(spark, sf_dir), scale_out=scale_out)
+    return raw_from_events(spread(load_events(spark, sf_dir)), scale_out=scale_out)
 
 
 __all__ = ["raw_from_events", "raw_readings", "load_events", "RAW_COLUMNS", "UNITS", "SPEC"]
