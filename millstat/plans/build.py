@@ -34,7 +34,7 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
     stg = spark.read.parquet(paths["stg"])
     if "energy" in select:
         paths["energy"] = f"{out}/energy"
-        (marts.fact_energy(stg, p).hint("rebalance", "event_date").write.mode("overwrite")
+        (with_build_time(marts.fact_energy(stg, p)).hint("rebalance", "event_date").write.mode("overwrite")
          .partitionBy("event_date").parquet(paths["energy"]))
     daily_marts = [m for m in ("alert", "oee", "forecast") if m in select]
     if daily_marts:
@@ -44,7 +44,7 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
         builders = {"alert": marts.alert_maintenance, "oee": marts.fact_oee, "forecast": marts.fact_forecast}
         for m in daily_marts:
             paths[m] = f"{out}/{m}"
-            df = builders[m](stg, p, daily)
+            df = with_build_time(builders[m](stg, p, daily))
             if "event_date" in df.columns:
                 writer = df.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date")
             else:

@@ -91,3 +91,21 @@ def test_stream_energy_drops_rows_behind_watermark(spark, tmp_dir):
     sp.stream_energy(spark, os.path.join(staged, "part1"), out, ckpt)
     assert spark.read.parquet(out).filter(F.col("event_date") == dt.date(2024, 1, 1)).count() == first_hour_rows
     assert spark.read.parquet(out).count() > n_hours
+
+
+def test_build_marts_and_export(spark, tmp_dir):
+    from millstat.plans import build
+    from millstat.plans import maintenance_reports as R
+
+    f = Frames(spark, SF)
+    paths = build.build_marts(spark, f.raw, os.path.join(tmp_dir, "wh"), select=("alert", "energy"))
+    assert set(paths) == {"stg", "energy", "daily", "alert"}
+    alerts = spark.read.parquet(paths["alert"])
+    assert "dbt_updated_at" in alerts.columns
+    assert alerts.count() == marts.alert_maintenance(f.stg).count()
+    out = os.path.join(tmp_dir, "export")
+    exported = R.export_alerts(alerts)
+    build.write_export(exported, out)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == exported.count()
+    assert back.filter(F.col("work_order_id").isNotNull()).count() == 0
