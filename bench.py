@@ -3,7 +3,7 @@
 Uses the scale-out fixture (one unit per user). Three parts, each the
 median of $BENCH_RUNS warm runs, nothing collected (no-op sink):
 * ``build_marts``: raw readings -> staging -> four marts, written as
-  parquet (the reference's "dbt run");
+  parquet (the reference's model build);
 * report queries over the written marts (what dashboards run);
 * end-to-end keys computed from the raw events in one plan.
 Prints one JSON line.
