@@ -195,3 +195,24 @@ def test_efficiency_filters_non_positive_temperature(spark):
         "avg_temperature_c double, total_power_kwh double")
     rows = E.temp_efficiency(energy, Params()).collect()
     assert [r.efficiency_ratio for r in rows] == [2.0]
+
+
+def test_oee_null_type_has_no_benchmark(spark):
+    rows = [dict(timestamp=T0 + dt.timedelta(minutes=i), equipment_id="X_1", equipment_type=None,
+                 power_consumption=5.0, event_id=i) for i in range(3)]
+    rows += [dict(timestamp=T0 + dt.timedelta(minutes=i), equipment_id="Motor_001", event_id=10 + i)
+             for i in range(3)]
+    stg = staging.stage(make_raw(spark, rows))
+    got = {r.equipment_id: r for r in marts.fact_oee(stg, Params()).collect()}
+    assert got["X_1"].benchmark_power_kw is None and got["X_1"].performance_pct is None
+    assert got["X_1"].oee_class == "POOR" and got["X_1"].weakest_component == "Quality"
+    assert got["Motor_001"].performance_pct == 100.0
+
+
+def test_forecast_ols_uses_calendar_days(spark):
+    # 2 points per day lost over the last 7 calendar days -> slope -2, (70 - 30) / 2 = 20 days
+    series = [82, 80, 78, 76, 74, 72, 70]
+    stg = _staged(spark, series)
+    as_of = stg.agg(F.max("event_date")).first()[0]
+    r = marts.forecast_ols(stg, Params(as_of=as_of)).first()
+    assert (r.days_used, r.ols_daily_decline, r.ols_days_to_failure) == (7, 2.0, 20.0)
