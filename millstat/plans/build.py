@@ -9,6 +9,8 @@ partitioned by event date, which is what the report queries prune on.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
 
     Returns table name -> path. Intermediate results are written (not
     cached), so a lost executor only recomputes from the last written table.
+    Independent writes run as concurrent jobs: energy next to the
+    equipment-day table, then alert, OEE and forecast together.
     """
     unknown = set(select) - set(MARTS)
     if unknown:
@@ -32,27 +36,50 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
     stg = staging.stage(raw, p)
     stg.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(paths["stg"])
     stg = spark.read.parquet(paths["stg"])
-    if "energy" in select:
-        paths["energy"] = f"{out}/energy"
+
+    def write_energy() -> None:
         (with_build_time(marts.fact_energy(stg, p)).hint("rebalance", "event_date").write.mode("overwrite")
          .partitionBy("event_date").parquet(paths["energy"]))
-    daily_marts = [m for m in ("alert", "oee", "forecast") if m in select]
-    if daily_marts:
-        paths["daily"] = f"{out}/daily"
+
+    def write_daily_marts() -> None:
         marts.daily_equipment(stg).write.mode("overwrite").parquet(paths["daily"])
         daily = spark.read.parquet(paths["daily"])
         builders = {"alert": marts.alert_maintenance, "oee": marts.fact_oee, "forecast": marts.fact_forecast}
-        for m in daily_marts:
-            paths[m] = f"{out}/{m}"
+
+        def write_one(m: str) -> None:
             df = with_build_time(builders[m](stg, p, daily))
             if "event_date" in df.columns:
                 writer = df.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date")
             else:
                 writer = df.write.mode("overwrite")
             writer.parquet(paths[m])
+
+        _run_all([lambda m=m: write_one(m) for m in daily_marts])
+
+    jobs = []
+    if "energy" in select:
+        paths["energy"] = f"{out}/energy"
+        jobs.append(write_energy)
+    daily_marts = [m for m in ("alert", "oee", "forecast") if m in select]
+    if daily_marts:
+        paths["daily"] = f"{out}/daily"
+        paths.update({m: f"{out}/{m}" for m in daily_marts})
+        jobs.append(write_daily_marts)
+    _run_all(jobs)
     return paths
 
 
+def _run_all(jobs) -> None:
+    """Run independent Spark jobs concurrently; re-raise the first failure."""
+    if len(jobs) <= 1:
+        for job in jobs:
+            job()
+        return
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for future in [pool.submit(job) for job in jobs]:
+            future.result()
+
+
 def with_build_time(df: DataFrame) -> DataFrame:
     """The volatile build timestamp column, added only when a mart is written."""
     return df.withColumn("dbt_updated_at", F.current_timestamp().cast("timestamp_ntz"))
