@@ -47,6 +47,18 @@ class Frames:
         self.spark, self.sf_dir, self.p, self.scale_out = spark, sf_dir, p, scale_out
         self.materialize = set(materialize)
 
+    # tables that only depend on the level before them are written together
+    LEVELS = (("stg",), ("energy", "daily"), ("alerts", "oee", "forecast"))
+
+    def prepare(self) -> "Frames":
+        """Write the requested intermediates level by level, independent ones as concurrent jobs."""
+        from .build import _run_all
+
+        for level in self.LEVELS:
+            names = [n for n in level if n in self.materialize]
+            _run_all([lambda n=n: getattr(self, n) for n in names])
+        return self
+
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.materialize:
             return df
@@ -104,7 +116,7 @@ def reg(key: str, sql: Callable[[Oracle], str] | None, params: Params = DEFAULT,
 
 def run(key: str, spark: SparkSession, sf_dir: str, scale_out: bool = False) -> DataFrame:
     e = REGISTRY[key]
-    return e.run(Frames(spark, sf_dir, e.params, scale_out=scale_out, materialize=e.shared))
+    return e.run(Frames(spark, sf_dir, e.params, scale_out=scale_out, materialize=e.shared).prepare())
 
 
 def oracle_sql(key: str) -> str | None:
