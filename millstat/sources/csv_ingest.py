@@ -153,6 +153,7 @@ def load_report(parsed: DataFrame, policy: str = "CONTINUE") -> DataFrame:
     per_file = parsed.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("rows_parsed"),
         F.sum(bad).cast("long").alias("errors_seen"),
+        F.max("load_timestamp").alias("loaded_at"),
     )
     skip = policy == "SKIP_FILE"
     loaded = (F.when(F.col("errors_seen") > 0, F.lit(0).cast("long")).otherwise(F.col("rows_parsed"))
@@ -160,7 +161,7 @@ def load_report(parsed: DataFrame, policy: str = "CONTINUE") -> DataFrame:
     status = (F.when(F.col("errors_seen") == 0, "LOADED")
               .otherwise("LOAD_FAILED" if skip else "PARTIALLY_LOADED"))
     return per_file.select("source_file", "rows_parsed", loaded.alias("rows_loaded"), "errors_seen",
-                           status.alias("status"))
+                           status.alias("status"), "loaded_at")
 
 
 def load_totals(report: DataFrame) -> DataFrame:
@@ -170,6 +171,13 @@ def load_totals(report: DataFrame) -> DataFrame:
                       F.sum("errors_seen").cast("long").alias("errors_seen"))
 
 
+def load_history(report: DataFrame, as_of, hours: int = 24) -> DataFrame:
+    """I7 history: report rows of files loaded in the ``hours`` before ``as_of``."""
+    end = F.lit(str(as_of)).cast("timestamp_ntz")
+    start = end - F.make_dt_interval(hours=F.lit(hours))
+    return report.filter((F.col("loaded_at") > start) & (F.col("loaded_at") <= end))
+
+
 def load_health_check(raw: DataFrame, min_ok: float = 30.0) -> DataFrame:
     """I8: per unit average/minimum health and readings, ok when average > ``min_ok``."""
     from ..functions.numeric import exact_avg, half_up

@@ -118,3 +118,14 @@ def test_load_report_counts(spark, tmp_dir):
     parsed = ci.read_sensor_csv(spark, tmp_dir)
     rep = ci.load_report(parsed, "SKIP_FILE").first()
     assert (rep.rows_parsed, rep.rows_loaded, rep.errors_seen, rep.status) == (2, 0, 1, "LOAD_FAILED")
+
+
+def test_load_totals_and_history(spark, tmp_dir):
+    write(tmp_dir, "batch_001.csv", [HEADER, row(), row(ts="bad")])
+    write(tmp_dir, "batch_002.csv", [HEADER, row(ts="2024-01-02 10:00:00")])
+    parsed = ci.read_sensor_csv(spark, tmp_dir, load_ts="2024-02-01 06:00:00")
+    report = ci.load_report(parsed, "CONTINUE")
+    tot = ci.load_totals(report).first()
+    assert (tot.files_processed, tot.rows_loaded, tot.errors_seen) == (2, 2, 1)
+    assert ci.load_history(report, "2024-02-01 12:00:00", hours=24).count() == 2
+    assert ci.load_history(report, "2024-02-01 12:00:00", hours=3).count() == 0
