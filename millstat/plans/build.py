@@ -69,6 +69,29 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
     return paths
 
 
+# View names under which a build is exposed, the table names the
+# reference's queries use, so those queries run unchanged.
+VIEW_NAMES = {"stg": "stg_sensor", "energy": "fact_energy_consumption", "alert": "alert_predictive_maintenance",
+              "oee": "fact_oee", "forecast": "fact_forecasting", "daily": "daily_equipment"}
+
+
+def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """Expose a finished build as temp views (one per written table) for SQL users."""
+    names = []
+    for table, path in paths.items():
+        name = VIEW_NAMES.get(table, table)
+        spark.read.parquet(path).createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
+def staging_view(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, name: str = "stg_sensor") -> DataFrame:
+    """Staging as a lazy view: nothing runs until a query reads it."""
+    stg = staging.stage(raw, p)
+    stg.createOrReplaceTempView(name)
+    return stg
+
+
 def _run_all(jobs) -> None:
     """Run independent Spark jobs concurrently; re-raise the first failure."""
     if len(jobs) <= 1:

@@ -109,3 +109,16 @@ def test_build_marts_and_export(spark, tmp_dir):
     back = spark.read.option("header", True).csv(out)
     assert back.count() == exported.count()
     assert back.filter(F.col("work_order_id").isNotNull()).count() == 0
+
+
+def test_build_views_are_queryable(spark, tmp_dir):
+    from millstat.plans import build
+
+    f = Frames(spark, SF)
+    build.staging_view(spark, f.raw)
+    assert spark.sql("SELECT count(*) FROM stg_sensor").first()[0] == f.stg.count()
+    paths = build.build_marts(spark, f.raw, os.path.join(tmp_dir, "wh"), select=("energy",))
+    names = build.register_views(spark, paths)
+    assert "fact_energy_consumption" in names
+    got = spark.sql("SELECT sum(reading_count) FROM fact_energy_consumption").first()[0]
+    assert got == f.stg.filter("NOT is_out_of_range").count()
