@@ -71,7 +71,7 @@ def build_marts(spark: SparkSession, raw: DataFrame, out: str, p: Params = DEFAU
 
 # View names under which a build is exposed, the table names the
 # reference's queries use, so those queries run unchanged.
-VIEW_NAMES = {"stg": "stg_sensor", "energy": "fact_energy_consumption", "alert": "alert_predictive_maintenance",
+VIEW_NAMES = {"stg": "stg_sensor_raw", "energy": "fact_energy_consumption", "alert": "alert_predictive_maintenance",
               "oee": "fact_oee", "forecast": "fact_forecasting", "daily": "daily_equipment"}
 
 
@@ -85,7 +85,7 @@ def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
     return names
 
 
-def staging_view(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, name: str = "stg_sensor") -> DataFrame:
+def staging_view(spark: SparkSession, raw: DataFrame, p: Params = DEFAULT, name: str = "stg_sensor_raw") -> DataFrame:
     """Staging as a lazy view: nothing runs until a query reads it."""
     stg = staging.stage(raw, p)
     stg.createOrReplaceTempView(name)

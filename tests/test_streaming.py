@@ -116,7 +116,7 @@ def test_build_views_are_queryable(spark, tmp_dir):
 
     f = Frames(spark, SF)
     build.staging_view(spark, f.raw)
-    assert spark.sql("SELECT count(*) FROM stg_sensor").first()[0] == f.stg.count()
+    assert spark.sql("SELECT count(*) FROM stg_sensor_raw").first()[0] == f.stg.count()
     paths = build.build_marts(spark, f.raw, os.path.join(tmp_dir, "wh"), select=("energy",))
     names = build.register_views(spark, paths)
     assert "fact_energy_consumption" in names
