@@ -119,6 +119,56 @@ def run(key: str, spark: SparkSession, sf_dir: str, scale_out: bool = False) ->
     return e.run(Frames(spark, sf_dir, e.params, scale_out=scale_out, materialize=e.shared).prepare())
 
 
+class BuiltFrames(Frames):
+    """Frames whose staging and marts are the tables of a finished build.
+
+    Open once per session and pass to several reports: each table is read
+    (and its partitions listed) once.
+    """
+
+    def __init__(self, spark: SparkSession, paths: dict[str, str], p: Params = DEFAULT, sf_dir: str = ""):
+        super().__init__(spark, sf_dir, p)
+        self.paths = paths
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self.paths:
+            raise KeyError(f"the build has no {name!r} table")
+        return self.spark.read.parquet(self.paths[name])
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        return self._table("stg")
+
+    @cached_property
+    def energy(self) -> DataFrame:
+        return self._table("energy")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return self._table("daily")
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return self._table("alert")
+
+    @cached_property
+    def oee(self) -> DataFrame:
+        return self._table("oee")
+
+    @cached_property
+    def forecast(self) -> DataFrame:
+        return self._table("forecast")
+
+
+def run_on_build(key: str, frames: BuiltFrames) -> DataFrame:
+    """A registered report over the tables of a finished build (``build_marts`` paths).
+
+    The build must have used the same parameters as the report (as-of date,
+    expected readings per day).
+    """
+    return REGISTRY[key].run(frames)
+
+
 def oracle_sql(key: str) -> str | None:
     e = REGISTRY[key]
     return None if e.sql is None else e.sql(Oracle(e.params))

@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from millstat.operators import marts, staging
@@ -122,3 +124,16 @@ def test_build_views_are_queryable(spark, tmp_dir):
     assert "fact_energy_consumption" in names
     got = spark.sql("SELECT sum(reading_count) FROM fact_energy_consumption").first()[0]
     assert got == f.stg.filter("NOT is_out_of_range").count()
+
+
+@pytest.mark.parametrize("key", ["energy_by_type", "risk_distribution", "failure_timeline", "oee_kpis"])
+def test_reports_on_a_build_equal_reports_from_raw(spark, tmp_dir, key):
+    from millstat.plans import build, registry
+
+    e = registry.REGISTRY[key]
+    f = Frames(spark, SF, e.params)
+    paths = build.build_marts(spark, f.raw, os.path.join(tmp_dir, "wh"), e.params)
+    on_build = registry.run_on_build(key, registry.BuiltFrames(spark, paths, e.params))
+    from_raw = registry.run(key, spark, SF)
+    cols = sorted(from_raw.columns)
+    assert sorted(on_build.select(*cols).collect()) == sorted(from_raw.select(*cols).collect())
