@@ -17,7 +17,7 @@ from ..operators import staging
 from ..session import scratch_path
 from ..sources import csv_ingest as ci
 from ..sources import fixture
-from ..streaming import pipelines as sp
+from ..streaming import jobs as sp
 from . import build
 from .oracle import date_lit, dbl, eavg, hu
 from .registry import Frames, reg

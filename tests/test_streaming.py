@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millstat.operators import marts, staging
 from millstat.plans.registry import Frames
 from millstat.sources import csv_ingest as ci
-from millstat.streaming import pipelines as sp
+from millstat.streaming import jobs as sp
 from test_ingest import HEADER, row, write
 
 SF = "/root/testdata/sf0.001"
