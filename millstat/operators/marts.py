@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions import sqltext as sq
 from ..functions.keys import surrogate_key
-from ..functions.numeric import exact_avg, exact_sum, half_up, least_strict, nullif, round_to_int
+from ..functions.numeric import half_up, least_strict, nullif, round_to_int
 from ..params import DEFAULT, Params
 from .staging import valid_only
 

@@ -25,8 +25,7 @@ from ..sources import fixture
 from . import energy_reports as E
 from . import maintenance_reports as R
 from . import oee_reports as O
-from .oracle import (Oracle, date_lit, dbl, eavg, esum, forecast_ctes, hu, least_strict,
-                     oee_ctes, q, skey, ts_text)
+from .oracle import Oracle, date_lit, dbl, eavg, esum, hu, q, skey, ts_text
 
 D20 = dt.date(2024, 1, 20)
 OEE_EXPECTED = 72  # readings per equipment-day that the sf0.01 fixture calls "full"
