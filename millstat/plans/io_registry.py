@@ -26,6 +26,9 @@ LOAD_TS = "2024-02-01 00:00:00"
 FIELDS = ", ".join(f'"{f}"' if f == "timestamp" else f for f in ci.CSV_FIELDS)
 RAW9 = f"SELECT {FIELDS} FROM raw"
 RAW9_STAMPED = f"SELECT {FIELDS}, TIMESTAMP '{LOAD_TS}' AS load_timestamp FROM raw"
+# The rows the "bad" CSV rendering corrupts (unparseable timestamp, over-long
+# id). Every row is still written and read; the oracles use this to state the
+# expected outcome: CONTINUE drops exactly these rows, SKIP_FILE their days.
 BAD_ROW = (f"(event_id % {fixture.BAD_TIMESTAMP_EVERY[0]} = {fixture.BAD_TIMESTAMP_EVERY[1]} "
            f"OR event_id % {fixture.LONG_ID_EVERY[0]} = {fixture.LONG_ID_EVERY[1]})")
 BATCH_SQL = ("printf('batch_%03d_%s_%s', date_diff('day', (SELECT min(CAST(\"timestamp\" AS DATE)) FROM raw), "
