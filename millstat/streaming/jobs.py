@@ -129,6 +129,29 @@ def stream_alerts(spark: SparkSession, src_glob: str, raw_out: str, alerts_out:
                       load_ts=load_ts, on_batch=refresh)
 
 
+_US_PER_DAY = 86_400_000_000
+
+
+def naive_as_utc_instant(ts):
+    """timestamp_ntz -> timestamp with the same wall clock in UTC, zone-free arithmetic."""
+    micros = (F.unix_date(F.to_date(ts)).cast("long") * _US_PER_DAY
+              + (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("long") * 1_000_000
+              + (F.second(ts).cast("long") * 1_000_000))
+    return F.timestamp_micros(micros)
+
+
+def utc_instant_as_naive(ts):
+    """Inverse of ``naive_as_utc_instant`` for whole-second instants."""
+    micros = F.unix_micros(ts)
+    days = F.floor(micros / _US_PER_DAY).cast("int")
+    rest = micros - days.cast("long") * _US_PER_DAY
+    day = F.date_from_unix_date(days)
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                (rest / 3_600_000_000).cast("int"),
+                                ((rest % 3_600_000_000) / 60_000_000).cast("int"),
+                                ((rest % 60_000_000) / 1_000_000).cast("decimal(8,6)"))
+
+
 def stream_energy(spark: SparkSession, staged_dir: str, out: str, checkpoint: str,
                   watermark: str = "1 hour", max_files: int = 1):
     """M1 as a tumbling one-hour event-time window with a watermark (append).
@@ -138,8 +161,9 @@ def stream_energy(spark: SparkSession, staged_dir: str, out: str, checkpoint: st
     """
     schema = spark.read.parquet(staged_dir).schema
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(staged_dir)
-           # watermarks need a zone-aware timestamp; the session zone makes it round-trip
-           .withColumn("_event_ts", F.col("event_timestamp").cast("timestamp"))
+           # watermarks need a zone-aware timestamp: take the instant whose UTC
+           # wall clock is the naive event time (no session-zone conversion)
+           .withColumn("_event_ts", naive_as_utc_instant(F.col("event_timestamp")))
            .withWatermark("_event_ts", watermark))
     agg = src.groupBy(F.window("_event_ts", "1 hour").alias("w"), "equipment_id", "equipment_type").agg(
         half_up(exact_sum("power_kw", 2), 2).alias("total_power_kwh"),
@@ -154,7 +178,7 @@ def stream_energy(spark: SparkSession, staged_dir: str, out: str, checkpoint: st
         F.sum("is_anomaly").cast("long").alias("anomaly_count"),
         F.count(F.lit(1)).alias("reading_count"),
     )
-    hour = F.col("w.start").cast("timestamp_ntz")
+    hour = utc_instant_as_naive(F.col("w.start"))
     shaped = agg.select(hour.alias("event_hour"), F.to_date(hour).alias("event_date"), "equipment_id",
                         "equipment_type", *[c for c in agg.columns if c not in ("w", "equipment_id",
                                                                                "equipment_type")])

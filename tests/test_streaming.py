@@ -137,3 +137,22 @@ def test_reports_on_a_build_equal_reports_from_raw(spark, tmp_dir, key):
     from_raw = registry.run(key, spark, SF)
     cols = sorted(from_raw.columns)
     assert sorted(on_build.select(*cols).collect()) == sorted(from_raw.select(*cols).collect())
+
+
+def test_stream_energy_is_independent_of_the_session_zone(spark, tmp_dir):
+    f = Frames(spark, SF)
+    batch = marts.fact_energy(f.stg)
+    cols = sorted(batch.columns)
+    expected = sorted(batch.select(*cols).collect())
+    staged = os.path.join(tmp_dir, "staged")
+    staging.valid_only(f.stg).write.parquet(staged)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+        sp.stream_energy(spark, staged, out, ckpt, max_files=100)
+        got = spark.read.parquet(out).select(*cols).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(got) > 0
+    assert set(got) <= set(expected)
