@@ -71,8 +71,9 @@ def dq_accepted_values(stg: DataFrame, alerts: DataFrame, oee: DataFrame, foreca
 
 def dq_relationships(stg: DataFrame, energy: DataFrame, alerts: DataFrame) -> DataFrame:
     """Every mart row points at staged readings of the same unit and period."""
-    stg_days = stg.select("event_date", "equipment_id").distinct()
-    stg_hours = stg.select("event_hour", "equipment_id").distinct()
+    # one pass over the readings: the (hour, unit) set, then days from it
+    stg_hours = stg.select("event_hour", "event_date", "equipment_id").distinct()
+    stg_days = stg_hours.select("event_date", "equipment_id").distinct()
     orphan_days = alerts.join(stg_days, ["event_date", "equipment_id"], "left_anti")
     orphan_hours = energy.join(stg_hours, ["event_hour", "equipment_id"], "left_anti")
     return (_rows(orphan_days, {"relationships:alert->stg": F.count(F.lit(1))})
