@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import documents, stored
-from .tokenize import WORD_BPE, PieceEncoder
+from .tokenize import WORD_BPE, encoder
 
 MAX_TOKENS = 2048
 END_ID = 0
@@ -42,10 +42,10 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, vocabulary: str = WORD
               ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * with_ids
 
     def cut(batches):
-        encoder = PieceEncoder(vocabulary)
+        own = encoder(vocabulary)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, packed in zip(batch["doc_id"].to_pylist(), encoder.packed(batch["text"].to_pylist())):
+            for doc_id, packed in zip(batch["doc_id"].to_pylist(), own.packed(batch["text"].to_pylist())):
                 packed += end
                 for k, at in enumerate(range(0, len(packed), 4 * max_tokens)):
                     part = packed[at: at + 4 * max_tokens]

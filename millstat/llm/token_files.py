@@ -35,7 +35,7 @@ from xxhash import xxh64_intdigest
 
 from ..session import scratch_path
 from .shared import documents
-from .tokenize import BYTE_BPE, PieceEncoder
+from .tokenize import BYTE_BPE, encoder
 
 #: fixed values of the zstandard format and its seekable extension
 SKIPPABLE = 0x184D2A5E
@@ -167,11 +167,11 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = BYTE_BPE,
 
         part = TaskContext.get().partitionId()
         path = f"{folder}/ids-{part:06d}-{uuid.uuid4().hex[:12]}.zst"
-        encoder, out = PieceEncoder(vocabulary), None
+        own, out = encoder(vocabulary), None
         for batch in batches:
             if batch.num_rows and out is None:
                 out = TokenFileWriter(path, frame_bytes)
-            for doc_id, packed in zip(batch["doc_id"].to_pylist(), encoder.packed(batch["text"].to_pylist())):
+            for doc_id, packed in zip(batch["doc_id"].to_pylist(), own.packed(batch["text"].to_pylist())):
                 out.add(doc_id, packed + end)
         if out is not None:
             out.close()

@@ -14,6 +14,7 @@ import os
 import re
 import unicodedata
 from array import array
+from functools import lru_cache
 from itertools import islice
 
 import public_tokenizers
@@ -46,8 +47,14 @@ _SPLIT = {
 }
 
 
+@lru_cache(maxsize=2)
+def encoder(vocabulary: str) -> PieceEncoder:
+    """The encoder of this Python worker: what it has learnt serves all its tasks."""
+    return PieceEncoder(vocabulary)
+
+
 class PieceEncoder:
-    """Packed ids of texts; one per task. ``limit``: pieces kept at most."""
+    """Packed ids of texts. ``limit``: pieces kept at most."""
 
     def __init__(self, vocabulary: str, limit: int = 800_000):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
