@@ -20,8 +20,6 @@ from itertools import islice
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from .words import chunks
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,6 +31,16 @@ LONG_TEXT = 2_000_000
 BLOCK = 200_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """Letter of each byte in byte-level vocabularies: printable ones stand for themselves, the others for 256, 257, ..."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(256 + rest.index(b)) if b not in own else chr(b) for b in range(256)}
+
+
+_BYTES = _byte_letters()
+
+
 def _char_class(kind: str) -> str:
     chars = [c for c in map(chr, range(_LAST + 1)) if unicodedata.category(c)[0] == kind]
     return "".join(map(re.escape, chars))
@@ -66,40 +74,37 @@ class PieceEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _learn(self, pieces: set) -> None:
-        """Encode the pieces that are not known yet, together."""
-        new = list(pieces - self.cache.keys())
-        if len(self.cache) + len(new) > self.limit:
-            self.cache, new = {}, list(pieces)
-        if new:
-            self.cache.update(zip(new, self._whole(new)))
+    def _learn(self, pieces: list[str]) -> None:
+        """Merge the pieces that are not known yet; their bytes are written in the vocabulary's letters."""
+        if len(self.cache) > self.limit:
+            self.cache = {}
+        cache, merge = self.cache, self.tokenizer.model.tokenize
+        for p in set(pieces):
+            if p not in cache:
+                found = merge(p.encode().decode("latin-1").translate(_BYTES))
+                cache[p] = array("I", [t.id for t in found]).tobytes()
 
     def _join(self, pieces: list[str]) -> bytes:
-        return b"".join(map(self.cache.__getitem__, pieces))
+        try:
+            return b"".join([self.cache[p] for p in pieces])
+        except KeyError:
+            self._learn(pieces)
+            return b"".join([self.cache[p] for p in pieces])
 
     def packed(self, texts: list) -> list[bytes]:
         """The ids of each whole text; empty for NULL."""
-        out: list[bytes] = []
-        for start, end in chunks(texts):
-            split: dict[int, list[str]] = {}
-            for i in range(start, end):
-                text = texts[i]
-                if text and len(text) <= LONG_TEXT and _SAFE.fullmatch(text):
-                    split[i] = self.split.findall(text.lower() if self.lower else text)
-            self._learn(set().union(*split.values()))
-            out += [self._join(split[i]) if i in split else self._one(texts[i]) for i in range(start, end)]
-        return out
+        return [self._one(t) for t in texts]
 
     def _one(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not _SAFE.fullmatch(text):
             return self._whole([text])[0]
-        found, parts = self.split.finditer(text.lower() if self.lower else text), []
+        if self.lower:
+            text = text.lower()
+        if len(text) <= LONG_TEXT:
+            return self._join(self.split.findall(text))
+        found, parts = self.split.finditer(text), []
         while block := [m.group() for m in islice(found, BLOCK)]:
-            keep = self.cache
-            self._learn(set(block))
             parts.append(self._join(block))
-            if self.cache is not keep:  # emptied: what the chunk learnt before goes back in
-                self.cache.update(keep)
         return b"".join(parts)
