@@ -23,6 +23,7 @@ item_id are left out; without any match there are no rows.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,12 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from .shared import documents, stored
-from .words import WordTable, _mix, chunks
+from .words import WordTable, chunks, windows
 
 WINDOW = 8
 LITERAL = 5
 FILTER_BITS = 1 << 26
 _TOKEN = re.compile(r"[^\W\d_]+|[$€£]?\d+(?:[.,]\d+)*%?|[.!?:\n]")
-_P = 0x9E3779B97F4A7C15
-_P_INVERSE = pow(_P, -1, 1 << 64)
 WORD, CAPITAL, UNIT, SLOT, BREAK = range(5)
 
 #: fixed values: unit words that are placeholders after a number
@@ -79,6 +78,12 @@ def _token_rows(tokens: list[str]) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def canonicaliser() -> Canonical:
+    """The canonicaliser of this Python worker: its tokens serve all its tasks."""
+    return Canonical()
+
+
 class Canonical:
     """Token hashes of texts: plain and as templates, and which tokens are slots."""
 
@@ -105,22 +110,6 @@ class Canonical:
         return [flat[i] for i in where] if slot.any() else flat, owner, plain, np.where(slot, rows[real, 2], plain), slot
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def _windows(codes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` codes, from prefix sums of a polynomial modulo 2^64."""
-    if len(codes) < width:
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        up, down = _powers(_P, len(codes)), _powers(_P_INVERSE, len(codes) - width + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up, dtype=np.uint64)])
-        return _mix((sums[width:] - sums[:-width]) * down + np.uint64(width))
-
-
 HITS = "id long, pos int, kind string, hash long, slots array<string>"
 
 
@@ -132,7 +121,7 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
     top = max(widths)
 
     def run(batches):
-        canonical = Canonical()
+        canonical = canonicaliser()
         for batch in batches:
             ids, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
             for start, end in chunks(texts):
@@ -154,7 +143,7 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
                         # without slots the plain window says the same
                         ok = enough & (slots[width:] > slots[:-width]) if kind == "template" else enough
                         at = np.flatnonzero(ok)
-                        h = _windows(codes, width)[at]
+                        h = windows(codes, width)[at]
                         if bitmap is not None:
                             bit = (h >> np.uint64(38)).astype(np.int64)
                             hit = (bitmap.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
@@ -209,7 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
 def _item_widths(items: DataFrame, window: int, literal: int) -> DataFrame:
     """Window widths that items need: the full one, and the lengths of shorter items."""
     def run(batches):
-        canonical = Canonical()
+        canonical = canonicaliser()
         for batch in batches:
             _, owner, *_ = canonical.tokens(batch["text"].to_pylist())
             n = np.minimum(np.bincount(owner, minlength=batch.num_rows), window)

@@ -37,15 +37,19 @@ no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from .shared import components, documents, stored
-from .words import WordTable, _mix
+from .words import WordTable, _mix, chunks, windows
 
 WORDS = 5
 PERCENT = 80  # similarity, in hundredths
@@ -57,45 +61,41 @@ CLASSES = 256
 BLOCK = 256
 FEW = 24  # members outside the largest component that are compared directly
 MAX_ROUNDS = 4
+BEST_STEPS = 3
 TEXT_CHUNK = 500_000
 
 
+@lru_cache(maxsize=2)
+def shingler(words: int) -> Shingler:
+    """The shingler of this Python worker: its word hashes serve all its tasks."""
+    return Shingler(words)
+
+
 class Shingler:
-    """Sorted distinct shingle hashes of texts; word hashes are kept per task."""
+    """Sorted distinct shingle hashes of texts."""
 
     def __init__(self, words: int = WORDS):
         self.words = words
         self.table = WordTable(lambda new: np.array([xxh3_64_intdigest(w) for w in new], np.uint64))
 
-    def sets(self, texts: list) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        pending: list[list[bytes]] = []
-        size = 0
-        for t in texts:
+    def sets(self, texts: list) -> Iterator[list[np.ndarray]]:
+        """The sets, in lists for consecutive texts of bounded size."""
+        for start, end in chunks(texts, TEXT_CHUNK):
             # bytes are lower-cased in A-Z and split at 0x20, 0x09-0x0D only
-            pending.append((t or "").encode("utf-8", "surrogatepass").lower().split())
-            size += len(t or "")
-            if size > TEXT_CHUNK:
-                out += self._hash(pending)
-                pending, size = [], 0
-        return out + self._hash(pending)
+            yield self._hash([(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts[start:end]])
 
     def _hash(self, split: list[list[bytes]]) -> list[np.ndarray]:
         at = self.table.lookup([w for words in split for w in words])
         codes = self.table.rows[at] if len(at) else np.empty(0, np.uint64)
+        full = windows(codes, self.words)
         out, pos = [], 0
-        with np.errstate(over="ignore"):
-            for words in split:
-                own = codes[pos: pos + len(words)]
-                pos += len(words)
-                if not len(own):
-                    out.append(np.empty(0, np.uint64))
-                    continue
-                n = min(self.words, len(own))
-                h = np.full(len(own) - n + 1, n, np.uint64)
-                for j in range(n):
-                    h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + own[j: len(own) - n + 1 + j])
-                out.append(np.unique(h))
+        for words in split:
+            n = len(words)
+            if n >= self.words:
+                out.append(np.unique(full[pos: pos + n - self.words + 1]))
+            else:
+                out.append(windows(codes[pos: pos + n], n) if n else np.empty(0, np.uint64))
+            pos += n
         return out
 
 
@@ -103,16 +103,28 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-n * percent // 100) + 1
 
 
-def _signature(s: np.ndarray) -> tuple[int, int]:
-    """Two order-free 64-bit sums over a set: equal for equal sets."""
-    with np.errstate(over="ignore"):
-        return (int(_mix(s + np.uint64(0x1234567)).sum(dtype=np.uint64).astype(np.int64)),
-                int(_mix(s ^ np.uint64(0x5DEECE66D1F3A9B7)).sum(dtype=np.uint64).astype(np.int64)))
+def _keys(sets: list[np.ndarray]) -> np.ndarray:
+    """64-bit key of each set: equal for equal sets; 0 for an empty one."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    out = np.zeros(len(sets), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        flat = np.concatenate([sets[i] for i in full])
+        starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+        with np.errstate(over="ignore"):
+            total = np.add.reduceat(_mix(flat + np.uint64(0x1234567)), starts)
+            out[full] = _mix(total + sizes[full].astype(np.uint64)) | np.uint64(1)
+    return out.view(np.int64)
 
 
-def _class_counts(s: np.ndarray) -> np.ndarray:
-    """How many shingles of a set fall into each hash class."""
-    return np.bincount((s >> np.uint64(20)).astype(np.int64) % CLASSES, minlength=CLASSES).astype(np.int32)
+def _class_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles of each set fall into each hash class (255 at most)."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    if not sizes.sum():
+        return np.zeros((len(sets), CLASSES), np.uint8)
+    at = (np.concatenate(sets) >> np.uint64(20)).astype(np.int64) % CLASSES
+    at += np.repeat(np.arange(len(sets)) * CLASSES, sizes)
+    return np.minimum(np.bincount(at, minlength=len(sets) * CLASSES), 255).astype(np.uint8).reshape(-1, CLASSES)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -120,32 +132,32 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _profile(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (doc_id, n, s1, s2) of documents and rows (word, bits) marking frequent shingles."""
+    """Rows (doc_id, n, k, counts) of documents and rows (word, bits) marking frequent shingles."""
+    names = ["doc_id", "n", "k", "counts", "word", "bits"]
+
     def run(batches):
-        shingler = Shingler(words)
         seen: set = set()
         for batch in batches:
-            ids, sets = batch["doc_id"].to_pylist(), shingler.sets(batch["text"].to_pylist())
-            marks = [_signature(s) for s in sets]
-            n = pa.array([len(s) for s in sets], pa.int64())
-            none = pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), n, pa.array([m[0] for m in marks], pa.int64()),
-                 pa.array([m[1] for m in marks], pa.int64()), none, none],
-                names=["doc_id", "n", "s1", "s2", "word", "bits"])
-            new = {m: s for m, s in zip(marks, sets) if len(s)}
+            ids, texts, at = batch["doc_id"], batch["text"].to_pylist(), 0
+            new: dict[int, np.ndarray] = {}
+            for sets in shingler(words).sets(texts):
+                keys, none = _keys(sets), pa.nulls(len(sets), pa.int64())
+                counts = [row.tobytes() for row in _class_counts(sets)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(at, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys),
+                     pa.array(counts, pa.binary()), none, none], names=names)
+                at += len(sets)
+                new.update((k, s) for k, s in zip(keys.tolist(), sets) if k)
             if new:
                 values, times = np.unique(np.concatenate(list(new.values())), return_counts=True)
-                hot = values[times >= FREQUENT] >> np.uint64(40)
-                hot = np.array(sorted(set(hot.astype(np.int64).tolist()) - seen), np.int64)
-                seen.update(hot.tolist())
-                if len(hot):
-                    empty = pa.nulls(len(hot), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [empty, empty, empty, empty, pa.array(hot >> 5), pa.array(1 << (hot & 31))],
-                        names=["doc_id", "n", "s1", "s2", "word", "bits"])
+                hot = set((values[times >= FREQUENT] >> np.uint64(40)).astype(np.int64).tolist()) - seen
+                seen |= hot
+                if hot:
+                    bits, empty = np.array(sorted(hot), np.int64), pa.nulls(len(hot), pa.int64())
+                    yield pa.RecordBatch.from_arrays([empty, empty, empty, pa.nulls(len(hot), pa.binary()), pa.array(bits >> 5),
+                                                      pa.array(1 << (bits & 31))], names=names)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n long, s1 long, s2 long, word long, bits long")
+    return _texts(docs).mapInArrow(run, "doc_id long, n long, k long, counts binary, word long, bits long")
 
 
 def _frequent(profile: DataFrame) -> np.ndarray:
@@ -164,30 +176,54 @@ def _ordered(s: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, words: int, percent: int, bitmap) -> DataFrame:
-    """(cell, rep) of every set's prefix."""
+    """(cell, k) of every set's prefix, once for each set of a batch."""
     def run(batches):
-        shingler, table = Shingler(words), bitmap.value
+        table = bitmap.value
         for batch in batches:
-            ids = batch["doc_id"].to_numpy()
-            cells = [_ordered(s, table)[: prefix_size(len(s), percent)] for s in shingler.sets(batch["text"].to_pylist())]
-            sizes = [len(c) for c in cells]
-            if sum(sizes):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells).view(np.int64)),
-                                                  pa.array(np.repeat(ids, sizes))], names=["cell", "rep"])
+            seen: set = set()
+            for sets in shingler(words).sets(batch["text"].to_pylist()):
+                own = []
+                for k, s in zip(_keys(sets).tolist(), sets):
+                    if k and k not in seen:
+                        seen.add(k)
+                        own.append((k, _ordered(s, table)[: prefix_size(len(s), percent)]))
+                if own:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate([c for _, c in own]).view(np.int64)),
+                         pa.array(np.repeat([k for k, _ in own], [len(c) for _, c in own]))], names=["cell", "k"])
 
-    return _texts(docs).mapInArrow(run, "cell long, rep long")
+    return _texts(docs).mapInArrow(run, "cell long, k long")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """(rep, shingles): the sorted sets, packed, of the documents given."""
+def _marked(ids: np.ndarray) -> np.ndarray:
+    return (_mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(40)).astype(np.int64)
+
+
+def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """(k, shingles): the sorted sets, packed, of the classes in ``needed`` (doc_id, k).
+
+    A bitmap of fixed size tells tasks which documents to read; the join decides.
+    """
+    def bits(batches):
+        for batch in batches:
+            at = np.unique(_marked(batch["doc_id"].to_numpy()))
+            yield pa.record_batch({"word": pa.array(at >> 5), "bits": pa.array(1 << (at & 31))})
+
+    bitmap = docs.sparkSession.sparkContext.broadcast(
+        _frequent(needed.select("doc_id").mapInArrow(bits, "word long, bits long")))
+
     def run(batches):
-        shingler = Shingler(words)
+        table = bitmap.value
         for batch in batches:
-            sets = shingler.sets(batch["text"].to_pylist())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["rep", "shingles"])
+            batch = batch.filter(pa.compute.is_valid(batch["doc_id"]))
+            at = _marked(batch["doc_id"].to_numpy())
+            batch = batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+            for sets in shingler(words).sets(batch["text"].to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(sets)), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                                 names=["k", "shingles"])
 
-    return _texts(docs).mapInArrow(run, "rep long, shingles binary")
+    found = _texts(docs).mapInArrow(run, "k long, shingles binary")
+    return found.join(needed.select("k"), "k", "left_semi").groupBy("k").agg(F.first("shingles").alias("shingles"))
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -202,8 +238,8 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(shared, pa.int64()),
                                               pa.array(total, pa.int64())], names=["a", "b", "shared", "total"])
 
-    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("sb"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
             .mapInArrow(run, "a long, b long, shared long, total long"))
 
@@ -217,73 +253,63 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     return both, len(x) + len(y) - both
 
 
-def _compare(percent: int):
-    """Links between different components among the rows of one pair of blocks (a spanning set of them)."""
+def _candidates(cells: DataFrame, counts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs of different components in cells (cell, k, label, minor, size, minors) that the class counts allow.
+
+    Minor members against all, by pairs of blocks, so that a cell of any size is dealt over tasks.
+    """
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["rep", "minor"], kind="stable")
-        sets = [np.frombuffer(b, np.uint64) for b in frame["shingles"]]
-        reps, labels = frame["rep"].to_numpy(), frame["label"].to_numpy()
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        counts = np.array([_class_counts(s) for s in sets])
-        minor = frame["minor"].to_numpy()
-        parent: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        edges = []
-        others = np.flatnonzero(~minor)
+        frame = frame.sort_values(["k", "minor"], kind="stable")
+        keys, labels, sizes, minor = (frame[c].to_numpy() for c in ("k", "label", "n", "minor"))
+        have = np.frombuffer(b"".join(frame["counts"]), np.uint8).reshape(-1, CLASSES)
+        full = (have == 255).any(axis=1)  # such a class may hold more
+        others, out = np.flatnonzero(~minor), []
         for i in np.flatnonzero(minor):
-            most = np.minimum(counts[i], counts[others]).sum(axis=1, dtype=np.int64)
+            least = np.minimum(sizes[i], sizes[others])
+            most = np.minimum(have[i], have[others]).sum(axis=1, dtype=np.int64)
+            most = np.where(full[i] | full[others], least, np.minimum(most, least))
             ok = (100 * most >= percent * (sizes[i] + sizes[others] - most)) & (labels[others] != labels[i])
-            order = others[ok][np.argsort(-most[ok], kind="stable")]
-            for j in order:
-                ti, tj = top(labels[i]), top(labels[j])
-                if ti == tj:
-                    continue
-                both, union = _overlap(sets[i], sets[j])
-                if 100 * both >= percent * union:
-                    parent[max(ti, tj)] = min(ti, tj)
-                    edges.append((int(reps[i]), int(reps[j])))
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
-
-    return run
-
-
-def _direct(cells: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links in cells (cell, rep, label, minor, size, minors): minor members against all, by pairs of blocks."""
+            j = others[ok]
+            out.append(np.stack([np.minimum(keys[i], keys[j]), np.maximum(keys[i], keys[j]), most[ok]], axis=1))
+        rows = np.concatenate(out) if out else np.empty((0, 3), np.int64)
+        return pd.DataFrame(rows, columns=["a", "b", "most"])
+
     of = lambda n: F.ceil(F.col(n) / block).cast("int")
-    home = lambda n: F.pmod(F.xxhash64("rep", "cell"), of(n)).cast("int")
+    home = lambda n: F.pmod(F.xxhash64("k", "cell"), of(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), of(n) - 1))
-    left = cells.where("minor").select("cell", "rep", "label", "minor", home("minors").alias("i"), each("size").alias("j"))
-    right = cells.select("cell", "rep", "label", F.lit(False).alias("minor"), each("minors").alias("i"), home("size").alias("j"))
-    rows = left.unionByName(right.select(left.columns)).join(sets.select("rep", "shingles"), "rep")
-    return rows.groupBy("cell", "i", "j").applyInPandas(_compare(percent), "a long, b long")
+    left = cells.where("minor").select("cell", "k", "label", "minor", home("minors").alias("i"), each("size").alias("j"))
+    right = cells.select("cell", "k", "label", F.lit(False).alias("minor"), each("minors").alias("i"), home("size").alias("j"))
+    rows = left.unionByName(right.select(left.columns)).join(counts, "k")
+    return (rows.groupBy("cell", "i", "j").applyInPandas(run, "a long, b long, most long")
+            .groupBy("a", "b").agg(F.max("most").alias("most")))
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each set of the pairs, its pair with the largest bound."""
+    ends = pairs.select("a", "b", "most", F.explode(F.array("a", "b")).alias("k"))
+    return ends.groupBy("k").agg(F.max(F.struct("most", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
 
 
 def _regions(members: DataFrame, pivots: DataFrame, dist: DataFrame, t: float, far: float) -> DataFrame:
     """Voronoi regions of each cell as new cells; boundary members are replicated, pivots are done."""
     eps = 1e-9  # rounding must not lose a partner on the bound
-    rest = members.join(pivots.select("cell", F.col("pivot").alias("rep")), ["cell", "rep"], "left_anti")
-    d = (rest.join(pivots, "cell").select("cell", "rep", "pivot", F.least("rep", "pivot").alias("a"),
-                                          F.greatest("rep", "pivot").alias("b"))
-         .join(dist, ["a", "b"]).select("cell", "rep", "pivot", "d"))
-    near = d.groupBy("cell", "rep").agg(F.min("d").alias("r"), F.collect_list(F.struct("d", "pivot")).alias("all"))
-    into = (near.where(F.col("r") < far).select("cell", "rep", "r", F.explode("all").alias("x"))
+    rest = members.join(pivots.select("cell", F.col("pivot").alias("k")), ["cell", "k"], "left_anti")
+    d = (rest.join(pivots, "cell").select("cell", "k", "pivot", F.least("k", "pivot").alias("a"),
+                                          F.greatest("k", "pivot").alias("b"))
+         .join(dist, ["a", "b"]).select("cell", "k", "pivot", "d"))
+    near = d.groupBy("cell", "k").agg(F.min("d").alias("r"), F.collect_list(F.struct("d", "pivot")).alias("all"))
+    into = (near.where(F.col("r") < far).select("cell", "k", "r", F.explode("all").alias("x"))
             .where(F.col("x.d") <= F.col("r") + 2 * t + eps)
-            .select(F.xxhash64("cell", "x.pivot").alias("cell"), "rep"))
-    outside = near.where(F.col("r") >= far - t - eps).select(F.xxhash64("cell", F.lit("far")).alias("cell"), "rep")
+            .select(F.xxhash64("cell", "x.pivot").alias("cell"), "k"))
+    outside = near.where(F.col("r") >= far - t - eps).select(F.xxhash64("cell", F.lit("far")).alias("cell"), "k")
     return into.unionByName(outside)
 
 
 def _distinct_cells(members: DataFrame) -> DataFrame:
     """One cell of those with the same members."""
     marks = members.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("k1"),
-        F.sum(F.xxhash64("rep", F.lit(1)) % 1_000_000_007).alias("k2"), F.min("rep").alias("k3"))
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("k")).alias("k1"),
+        F.sum(F.xxhash64("k", F.lit(1)) % 1_000_000_007).alias("k2"), F.min("k").alias("k3"))
     keep = marks.where("size > 1").groupBy("size", "k1", "k2", "k3").agg(F.min("cell").alias("cell")).select("cell")
     return members.join(keep, "cell", "left_semi")
 
@@ -297,73 +323,95 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     profile = stored(_profile(docs, words), "jaccard-profile")
     rows = profile.where("word is null")
     usable = rows.where("n > 0 and doc_id is not null")
-    # one representative row for each class: equal sizes and signatures are equal sets
-    classes = usable.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    # an id on several rows with different texts: its classes are one component
-    known = stored(usable.select("doc_id", "n", "s1", "s2").distinct().join(classes, ["n", "s1", "s2"]),
-                   "jaccard-classes")
     bitmap = spark.sparkContext.broadcast(_frequent(profile))
-    reps = known.where("doc_id = rep").select(F.col("rep").alias("doc_id")).distinct()
-    source = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    entries = _entries(source.join(reps, "doc_id", "left_semi"), words, percent, bitmap)
-    met = (entries.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("cell"))).where("size > 1")
-           .select("cell", "rep"))
-    members = stored(_distinct_cells(stored(met, "jaccard-cells")), "jaccard-cells")
-    alive = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(_sets(source.join(alive, "doc_id", "left_semi"), words), "jaccard-sets")
-    nodes = stored(alive.select(F.col("doc_id").alias("rep")), "jaccard-nodes")
-    labels, links = nodes.select("rep", F.col("rep").alias("label")), []
+    source = docs.where(F.col("doc_id").isNotNull())
+    over = Window.partitionBy("cell")
+    met = (_entries(source, words, percent, bitmap).withColumn("lo", F.min("k").over(over)).withColumn("hi", F.max("k").over(over))
+           .where("lo <> hi").select("cell", "k"))
+    members = stored(_distinct_cells(stored(met.distinct(), "jaccard-cells")), "jaccard-cells")
+    nodes = stored(members.select("k").distinct(), "jaccard-nodes")
+    classes = usable.join(nodes, "k", "left_semi").groupBy("k").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"))
+    classes = stored(classes, "jaccard-classes")
+    labels, links, sets = nodes.select("k", F.col("k").alias("label")), [], None
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        return stored(_distances(pairs, sets).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
+
+    def link(dist: DataFrame) -> None:
+        nonlocal labels
+        links.append(dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b"))
+        found = links[0]
+        for more in links[1:]:
+            found = found.unionByName(more)
+        top = components(found, "jaccard-components").withColumnRenamed("node", "k")
+        labels = stored(nodes.join(top, "k", "left").select("k", F.coalesce("component", "k").alias("label")), "jaccard-labels")
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        a = labels.select(F.col("k").alias("a"), F.col("label").alias("la"))
+        b = labels.select(F.col("k").alias("b"), F.col("label").alias("lb"))
+        return stored(pairs.join(a, "a").join(b, "b").where("la <> lb").select("a", "b", "most"), "jaccard-pairs")
+
     for turn in range(max_rounds + 1):
         cells = stored(_opened(members, labels), "jaccard-open")
         if cells.isEmpty():
             break
         last = turn == max_rounds
-        small = cells if last else cells.where((F.col("size") <= leaf) | (F.col("minors") <= FEW))
-        links.append(stored(_direct(small, sets, percent), "jaccard-links"))
-        if last:
-            break
-        large = cells.where((F.col("size") > leaf) & (F.col("minors") > FEW))
+        direct = F.lit(last) | (F.col("size") <= leaf) | (F.col("minors") <= FEW)
+        pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent), "jaccard-pairs")
+        large = cells.where(~direct)
+        if sets is None:  # later rounds only meet members of these cells
+            needed = (pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k")))
+                      .unionByName(large.select("k")).distinct())
+            sets = stored(_sets(source, stored(classes.join(needed, "k", "left_semi").select("doc_id", "k"), "jaccard-needed"),
+                                words), "jaccard-sets")
+        # each set's best partner first: what they connect needs no further comparison
+        for step in range(BEST_STEPS):
+            if pairs.isEmpty():
+                break
+            link(compare(_best(pairs) if step < BEST_STEPS - 1 else pairs.select("a", "b")))
+            if step < BEST_STEPS - 1:
+                pairs = apart(pairs.join(_best(pairs), ["a", "b"], "left_anti"))
         if large.isEmpty():
             break
         # cells overlap: each member takes part in its largest one, the others wait for the new labels
-        best = large.groupBy("rep").agg(F.max(F.struct("size", "cell")).alias("m")).select("m.cell").distinct()
+        best = large.groupBy("k").agg(F.max(F.struct("size", "cell")).alias("m")).select("m.cell").distinct()
         now = stored(large.join(best, "cell", "left_semi"), "jaccard-now")
-        draws = [F.min_by(F.when(F.col("minor"), F.col("rep")),
-                          F.when(F.col("minor"), F.xxhash64("rep", F.lit(1000 * turn + k)))).alias(f"p{k}")
-                 for k in range(PIVOTS)]
+        draws = [F.min_by(F.when(F.col("minor"), F.col("k")),
+                          F.when(F.col("minor"), F.xxhash64("k", F.lit(1000 * turn + i)))).alias(f"p{i}") for i in range(PIVOTS)]
         pivots = stored(now.groupBy("cell").agg(*draws).select(
-            "cell", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("pivot")), "jaccard-pivots")
-        pairs = (now.join(pivots, "cell").where("rep <> pivot")
-                 .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct())
-        dist = stored(_distances(pairs, sets).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
-        links.append(dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b"))
-        found = links[0]
-        for more in links[1:]:
-            found = found.unionByName(more)
-        labels = stored(nodes.join(components(found, "jaccard-components").withColumnRenamed("node", "rep"), "rep", "left")
-                        .select("rep", F.coalesce("component", "rep").alias("label")), "jaccard-labels")
-        waiting = large.join(best, "cell", "left_anti").select("cell", "rep")
-        regions = _regions(now.select("cell", "rep"), pivots, dist.select("a", "b", "d"), t, far)
+            "cell", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("pivot")), "jaccard-pivots")
+        dist = compare(now.join(pivots, "cell").where("k <> pivot")
+                       .select(F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b")).distinct())
+        link(dist)
+        waiting = large.join(best, "cell", "left_anti").select("cell", "k")
+        regions = _regions(now.select("cell", "k"), pivots, dist.select("a", "b", "d"), t, far)
         members = stored(_distinct_cells(stored(waiting.unionByName(regions.distinct()), "jaccard-regions")), "jaccard-cells")
-    edges = known.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # an id on several rows with different texts holds its classes together
+    known = usable.select("doc_id", "n", "k")
+    held = known.groupBy("doc_id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi")
+    edges = known.join(held, "doc_id").where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
     for more in links:
         edges = edges.unionByName(more)
-    top = components(edges, "jaccard-components").withColumnRenamed("node", "doc_id")
-    return (rows.select("doc_id", F.col("n").alias("n_shingles")).join(top, "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    top = components(edges, "jaccard-components").withColumnRenamed("node", "k")
+    found = rows.join(top, "k", "left").select("doc_id", "n", F.coalesce("component", "k").alias("label"))
+    # documents without shingles have no class; the others' component is named by its smallest id
+    ids = found.where("n > 0 and doc_id is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return (found.join(ids, "label", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(
+        (F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def _opened(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cells with members in more than one component: (cell, rep, label, minor, size, minors).
+    """Cells with members in more than one component: (cell, k, label, minor, size, minors).
 
     ``minor``: not in the cell's largest component.
     """
-    rows = members.join(labels, "rep")
+    rows = members.join(labels, "k")
     by_label = rows.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("n"))
     per_cell = (by_label.groupBy("cell").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"),
-                                             F.count(F.lit(1)).alias("k")).where("k > 1")
+                                             F.count(F.lit(1)).alias("parts")).where("parts > 1")
                 .select("cell", "size", F.col("top.label").alias("major"), (F.col("size") - F.col("top.n")).alias("minors")))
-    return rows.join(per_cell, "cell").select("cell", "rep", "label", (F.col("label") != F.col("major")).alias("minor"),
+    return rows.join(per_cell, "cell").select("cell", "k", "label", (F.col("label") != F.col("major")).alias("minor"),
                                               "size", "minors")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 CHUNK_CHARS = 1_000_000
+_P = 0x9E3779B97F4A7C15
+_P_INVERSE = pow(_P, -1, 1 << 64)
 
 
 def chunks(texts: list, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -85,3 +87,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def windows(codes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` codes, from prefix sums of a polynomial modulo 2^64."""
+    if len(codes) < width:
+        return np.empty(0, np.uint64)
+    with np.errstate(over="ignore"):
+        up, down = _powers(_P, len(codes)), _powers(_P_INVERSE, len(codes) - width + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up, dtype=np.uint64)])
+        return _mix((sums[width:] - sums[:-width]) * down + np.uint64(width))
