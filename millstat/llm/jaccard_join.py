@@ -38,7 +38,6 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,10 +45,9 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from .shared import components, documents, stored
-from .words import WordTable, _mix, chunks, windows
+from .words import INVERSE, MULTIPLIER, _mix, chunks, powers, windows
 
 WORDS = 5
 PERCENT = 80  # similarity, in hundredths
@@ -60,43 +58,69 @@ FREQUENT_BITS = 1 << 24  # size of the bitmap of frequent shingles, whatever the
 CLASSES = 256
 BLOCK = 256
 FEW = 24  # members outside the largest component that are compared directly
-MAX_ROUNDS = 4
+MAX_ROUNDS = 2
 BEST_STEPS = 3
+PAIRS_PER_SET = 4  # up to so many candidate pairs per set, all are compared at once
 TEXT_CHUNK = 500_000
 
 
-@lru_cache(maxsize=2)
-def shingler(words: int) -> Shingler:
-    """The shingler of this Python worker: its word hashes serve all its tasks."""
-    return Shingler(words)
+def _space() -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[[0x20, *range(0x09, 0x0E)]] = True
+    return out
 
 
-class Shingler:
-    """Sorted distinct shingle hashes of texts."""
+def _values() -> np.ndarray:
+    """A 64-bit value for each byte, equal for A-Z and a-z."""
+    out = np.random.default_rng(5).integers(0, 1 << 64, 256, np.uint64)
+    out[0x41:0x5B] = out[0x61:0x7B]
+    return out
 
-    def __init__(self, words: int = WORDS):
-        self.words = words
-        self.table = WordTable(lambda new: np.array([xxh3_64_intdigest(w) for w in new], np.uint64))
 
-    def sets(self, texts: list) -> Iterator[list[np.ndarray]]:
-        """The sets, in lists for consecutive texts of bounded size."""
-        for start, end in chunks(texts, TEXT_CHUNK):
-            # bytes are lower-cased in A-Z and split at 0x20, 0x09-0x0D only
-            yield self._hash([(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts[start:end]])
+_IS_SPACE, _VALUE = _space(), _values()
+_powers_of: dict[int, np.ndarray] = {}
 
-    def _hash(self, split: list[list[bytes]]) -> list[np.ndarray]:
-        at = self.table.lookup([w for words in split for w in words])
-        codes = self.table.rows[at] if len(at) else np.empty(0, np.uint64)
-        full = windows(codes, self.words)
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^64, kept for the next call."""
+    have = _powers_of.get(base)
+    if have is None or len(have) < n:
+        have = _powers_of[base] = powers(base, max(n, 2 * TEXT_CHUNK))
+    return have[:n]
+
+
+def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in a row, and how many words each text has.
+
+    Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z in lower case; a hash is a polynomial in
+    the values of a word's bytes, modulo 2^64.
+    """
+    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+    edge = np.flatnonzero(np.diff(_IS_SPACE[data], prepend=True))  # starts and ends of words by turns
+    begin, end = edge[::2], edge[1::2]
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUE[data] * _powers(MULTIPLIER, len(data)), out=sums[1:])
+        h = _mix((sums[end] - sums[begin]) * _powers(INVERSE, len(data))[begin] + (end - begin).astype(np.uint64))
+    limits = np.cumsum([len(p) + 1 for p in parts])
+    return h, np.diff(np.searchsorted(begin, limits), prepend=0)
+
+
+def shingle_sets(texts: list, words: int = WORDS) -> Iterator[list[np.ndarray]]:
+    """Sorted distinct shingle hashes of each text, in lists for consecutive texts of bounded size."""
+    for start, stop in chunks(texts, TEXT_CHUNK):
+        codes, sizes = word_hashes(texts[start:stop])
+        full = windows(codes, words)
         out, pos = [], 0
-        for words in split:
-            n = len(words)
-            if n >= self.words:
-                out.append(np.unique(full[pos: pos + n - self.words + 1]))
+        for n in sizes.tolist():
+            if n >= words:
+                own = np.sort(full[pos: pos + n - words + 1])
+                out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
             else:
                 out.append(windows(codes[pos: pos + n], n) if n else np.empty(0, np.uint64))
             pos += n
-        return out
+        yield out
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -140,7 +164,7 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             ids, texts, at = batch["doc_id"], batch["text"].to_pylist(), 0
             new: dict[int, np.ndarray] = {}
-            for sets in shingler(words).sets(texts):
+            for sets in shingle_sets(texts, words):
                 keys, none = _keys(sets), pa.nulls(len(sets), pa.int64())
                 counts = [row.tobytes() for row in _class_counts(sets)]
                 yield pa.RecordBatch.from_arrays(
@@ -181,7 +205,7 @@ def _entries(docs: DataFrame, words: int, percent: int, bitmap) -> DataFrame:
         table = bitmap.value
         for batch in batches:
             seen: set = set()
-            for sets in shingler(words).sets(batch["text"].to_pylist()):
+            for sets in shingle_sets(batch["text"].to_pylist(), words):
                 own = []
                 for k, s in zip(_keys(sets).tolist(), sets):
                     if k and k not in seen:
@@ -218,7 +242,7 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             batch = batch.filter(pa.compute.is_valid(batch["doc_id"]))
             at = _marked(batch["doc_id"].to_numpy())
             batch = batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
-            for sets in shingler(words).sets(batch["text"].to_pylist()):
+            for sets in shingle_sets(batch["text"].to_pylist(), words):
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(sets)), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["k", "shingles"])
 
@@ -253,26 +277,72 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     return both, len(x) + len(y) - both
 
 
-def _candidates(cells: DataFrame, counts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of different components in cells (cell, k, label, minor, size, minors) that the class counts allow.
+def _allowed(frame: dict, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Of the pairs of rows (i, j): keys and bound of those in different components that the class counts allow."""
+    out = []
+    for at in range(0, len(i), 50_000):
+        x, y = i[at: at + 50_000], j[at: at + 50_000]
+        apart = frame["label"][x] != frame["label"][y]
+        x, y = x[apart], y[apart]
+        cx, cy, nx, ny = frame["have"][x], frame["have"][y], frame["n"][x], frame["n"][y]
+        least, most = np.minimum(nx, ny), np.minimum(cx, cy).sum(axis=1, dtype=np.int64)
+        # a class counted up to 255 may hold more
+        most = np.where((cx == 255).any(axis=1) | (cy == 255).any(axis=1), least, np.minimum(most, least))
+        ok = 100 * most >= percent * (nx + ny - most)
+        a, b = frame["k"][x[ok]], frame["k"][y[ok]]
+        out.append(np.stack([np.minimum(a, b), np.maximum(a, b), most[ok]], axis=1))
+    return tuple(np.concatenate(out).T) if out else (np.empty(0, np.int64),) * 3
 
-    Minor members against all, by pairs of blocks, so that a cell of any size is dealt over tasks.
-    """
+
+def _frame(columns: dict) -> dict:
+    out = {c: np.asarray(columns[c]) for c in ("k", "label", "n")}
+    return out | {"have": np.frombuffer(b"".join(columns["counts"]), np.uint8).reshape(-1, CLASSES)}
+
+
+PAIRS = "a long, b long, most long"
+
+
+def _in_small(cells: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs within cells of at most LEAF members: rows of a cell stand together, sorted."""
+    def run(batches):
+        rest = None  # rows of the cell that the next batch may go on with
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            cell = table["cell"].to_numpy()
+            cut = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
+            rest = table.slice(cut)
+            if cut:
+                yield pairs(table.slice(0, cut))
+        if rest is not None and rest.num_rows:
+            yield pairs(rest)
+
+    def pairs(table):
+        cell = table["cell"].to_numpy()
+        frame = _frame({c: table[c].to_numpy() if c != "counts" else table[c].to_pylist() for c in ("k", "label", "n", "counts")})
+        i, j, step = [], [], 1
+        while True:
+            at = np.flatnonzero(cell[step:] == cell[:-step]) if step < len(cell) else []
+            if not len(at):
+                break
+            i.append(at)
+            j.append(at + step)
+            step += 1
+        found = _allowed(frame, np.concatenate(i), np.concatenate(j), percent) if i else (np.empty(0, np.int64),) * 3
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "most"])
+
+    rows = cells.select("cell", "k", "label").join(counts, "k").select("cell", "k", "label", "n", "counts")
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, PAIRS)
+
+
+def _in_blocks(cells: DataFrame, counts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Candidate pairs of minor members with all, by pairs of blocks, so that a cell of any size is dealt over tasks."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["k", "minor"], kind="stable")
-        keys, labels, sizes, minor = (frame[c].to_numpy() for c in ("k", "label", "n", "minor"))
-        have = np.frombuffer(b"".join(frame["counts"]), np.uint8).reshape(-1, CLASSES)
-        full = (have == 255).any(axis=1)  # such a class may hold more
-        others, out = np.flatnonzero(~minor), []
-        for i in np.flatnonzero(minor):
-            least = np.minimum(sizes[i], sizes[others])
-            most = np.minimum(have[i], have[others]).sum(axis=1, dtype=np.int64)
-            most = np.where(full[i] | full[others], least, np.minimum(most, least))
-            ok = (100 * most >= percent * (sizes[i] + sizes[others] - most)) & (labels[others] != labels[i])
-            j = others[ok]
-            out.append(np.stack([np.minimum(keys[i], keys[j]), np.maximum(keys[i], keys[j]), most[ok]], axis=1))
-        rows = np.concatenate(out) if out else np.empty((0, 3), np.int64)
-        return pd.DataFrame(rows, columns=["a", "b", "most"])
+        own = _frame({c: frame[c].to_numpy() if c != "counts" else frame[c].tolist() for c in ("k", "label", "n", "counts")})
+        minor = frame["minor"].to_numpy()
+        i, j = np.flatnonzero(minor), np.flatnonzero(~minor)
+        a, b, most = _allowed(own, np.repeat(i, len(j)), np.tile(j, len(i)), percent)
+        return pd.DataFrame({"a": a, "b": b, "most": most})
 
     of = lambda n: F.ceil(F.col(n) / block).cast("int")
     home = lambda n: F.pmod(F.xxhash64("k", "cell"), of(n)).cast("int")
@@ -280,10 +350,20 @@ def _candidates(cells: DataFrame, counts: DataFrame, percent: int, block: int =
     left = cells.where("minor").select("cell", "k", "label", "minor", home("minors").alias("i"), each("size").alias("j"))
     right = cells.select("cell", "k", "label", F.lit(False).alias("minor"), each("minors").alias("i"), home("size").alias("j"))
     rows = left.unionByName(right.select(left.columns)).join(counts, "k")
-    return (rows.groupBy("cell", "i", "j").applyInPandas(run, "a long, b long, most long")
+    return rows.groupBy("cell", "i", "j").applyInPandas(run, PAIRS)
+
+
+def _candidates(cells: DataFrame, counts: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """Pairs of sets in different components that share a cell (cell, k, label, minor, size, minors)."""
+    small = F.col("size") <= leaf
+    return (_in_small(cells.where(small), counts, percent).unionByName(_in_blocks(cells.where(~small), counts, percent))
             .groupBy("a", "b").agg(F.max("most").alias("most")))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+
+
 def _best(pairs: DataFrame) -> DataFrame:
     """For each set of the pairs, its pair with the largest bound."""
     ends = pairs.select("a", "b", "most", F.explode(F.array("a", "b")).alias("k"))
@@ -358,20 +438,23 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
             break
         last = turn == max_rounds
         direct = F.lit(last) | (F.col("size") <= leaf) | (F.col("minors") <= FEW)
-        pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent), "jaccard-pairs")
+        pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent, leaf), "jaccard-pairs")
         large = cells.where(~direct)
         if sets is None:  # later rounds only meet members of these cells
-            needed = (pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k")))
-                      .unionByName(large.select("k")).distinct())
+            needed = _ends(pairs).unionByName(large.select("k")).distinct()
             sets = stored(_sets(source, stored(classes.join(needed, "k", "left_semi").select("doc_id", "k"), "jaccard-needed"),
                                 words), "jaccard-sets")
-        # each set's best partner first: what they connect needs no further comparison
+        # many pairs: each set's best partner first, then those that this left apart
         for step in range(BEST_STEPS):
-            if pairs.isEmpty():
+            n = pairs.count()
+            if not n:
+                break
+            if step == BEST_STEPS - 1 or n <= PAIRS_PER_SET * _ends(pairs).count():
+                link(compare(pairs.select("a", "b")))
                 break
-            link(compare(_best(pairs) if step < BEST_STEPS - 1 else pairs.select("a", "b")))
-            if step < BEST_STEPS - 1:
-                pairs = apart(pairs.join(_best(pairs), ["a", "b"], "left_anti"))
+            best = _best(pairs)
+            link(compare(best))
+            pairs = apart(pairs.join(best, ["a", "b"], "left_anti"))
         if large.isEmpty():
             break
         # cells overlap: each member takes part in its largest one, the others wait for the new labels

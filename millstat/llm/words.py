@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 CHUNK_CHARS = 1_000_000
-_P = 0x9E3779B97F4A7C15
-_P_INVERSE = pow(_P, -1, 1 << 64)
+MULTIPLIER = 0x9E3779B97F4A7C15
+INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
 
 def chunks(texts: list, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -89,7 +89,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^64."""
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
@@ -100,6 +101,6 @@ def windows(codes: np.ndarray, width: int) -> np.ndarray:
     if len(codes) < width:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
-        up, down = _powers(_P, len(codes)), _powers(_P_INVERSE, len(codes) - width + 1)
+        up, down = powers(MULTIPLIER, len(codes)), powers(INVERSE, len(codes) - width + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * up, dtype=np.uint64)])
         return _mix((sums[width:] - sums[:-width]) * down + np.uint64(width))
