@@ -141,17 +141,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
                      .select("rep", "n", "v", F.xxhash64("v").alias("h"), F.md5(F.to_json("v")).alias("m")), "vector-classes")
     bits, tables = shape(classes.count(), threshold, miss)
     hashed = stored(_hashed(classes.select("rep", "n", "v"), bits, tables), "vector-codes")
-    entries = hashed.select("rep", F.posexplode("codes").alias("t", "code"))
-    full = entries.groupBy("t", "code").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    entries = hashed.select("rep", F.size("v").alias("dim"), F.posexplode("codes").alias("t", "code"))
+    full = entries.groupBy("dim", "t", "code").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / block).cast("int")
-    homes = (entries.join(full, ["t", "code"])
-             .select("rep", "t", "code", blocks.alias("blocks"), F.pmod(F.xxhash64("rep", "t"), blocks).cast("int").alias("block")))
+    homes = (entries.join(full, ["dim", "t", "code"])
+             .select("rep", "dim", "t", "code", blocks.alias("blocks"), F.pmod(F.xxhash64("rep", "t"), blocks).cast("int").alias("block")))
     # every row goes to the pairs of blocks that hold its own
     pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (homes.select("rep", "t", "code", "block", pair.alias("other"))
-             .select("rep", "t", "code", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    dealt = (homes.select("rep", "dim", "t", "code", "block", pair.alias("other"))
+             .select("rep", "dim", "t", "code", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
              .join(hashed, "rep"))
-    found = stored(dealt.groupBy("t", "code", "i", "j").applyInPandas(_compare(threshold), LINKED), "vector-links")
+    found = stored(dealt.groupBy("dim", "t", "code", "i", "j").applyInPandas(_compare(threshold), LINKED), "vector-links")
     links = found.where("rep is not null").groupBy("rep").agg(F.sum("n_links").alias("links"))
     # links of one id's rows: an id repeated with several vectors connects their classes
     per_class = classes.select("rep", "n", "h", "m").join(links, "rep", "left")
