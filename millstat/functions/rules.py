@@ -38,7 +38,7 @@ URGENCY_RANK = ["CRITICAL NOW", "CRITICAL", "HIGH", "MEDIUM", "LOW"]
 SEVERITY_BANDS = [("CRITICAL", 30.0), ("HIGH", 50.0), ("MEDIUM", 70.0)]
 SEVERITY_DEFAULT = "LOW"
 
-# Health -> reason band (config reason mapping).
+# Health -> reason band (above 70 none, then bands that include their lower bound).
 HEALTH_BANDS = [
     (70.0, None),
     (50.0, "equipment_degrading"),
@@ -105,7 +105,7 @@ def severity(health: Column) -> Column:
 
 
 def health_band(health: Column) -> Column:
-    cases = [(health > lim, F.lit(None).cast("string") if r is None else r)
+    cases = [((health > lim, F.lit(None).cast("string")) if r is None else (health >= lim, r))
              for lim, r in HEALTH_BANDS]
     return chain(cases, HEALTH_BAND_DEFAULT)
 

@@ -177,7 +177,7 @@ def _i13(f: Frames):
 def _t1(f: Frames):
     src = _batches(f)
     out, ckpt = scratch_path(f.spark, "stream-dedup"), scratch_path(f.spark, "stream-ckpt")
-    sp.stream_raw(f.spark, f"{src}/*/*.csv", out, ckpt, p=f.p, max_files=4, dedup=True)
+    sp.stream_raw(f.spark, f"{src}/*/*.csv", out, ckpt, p=f.p, dedup=True)
     return f.spark.read.parquet(out).select("timestamp", "equipment_id", "equipment_type")
 
 
@@ -188,7 +188,7 @@ def _t2(f: Frames):
     staged = scratch_path(f.spark, "staged")
     staging.valid_only(f.stg).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(staged)
     out, ckpt = scratch_path(f.spark, "stream-energy"), scratch_path(f.spark, "stream-ckpt")
-    sp.stream_energy(f.spark, staged, out, ckpt, watermark="1 hour", max_files=4)
+    sp.stream_energy(f.spark, staged, out, ckpt, watermark="1 hour")
     return f.spark.read.parquet(out)
 
 
@@ -200,7 +200,7 @@ def _t3(f: Frames):
     src = _batches(f, "dedup", latest)
     raw_out, alerts_out = scratch_path(f.spark, "stream-raw"), scratch_path(f.spark, "stream-alerts")
     sp.stream_alerts(f.spark, f"{src}/*/*.csv", raw_out, alerts_out, scratch_path(f.spark, "stream-ckpt"),
-                     p=f.p, max_files=4)
+                     p=f.p)
     return f.spark.read.parquet(alerts_out)
 
 
@@ -213,7 +213,7 @@ def _t4(f: Frames):
     raw_dir = scratch_path(f.spark, "raw-parquet")
     ci.write_raw(f.raw.select(*ci.RAW_COLUMNS), raw_dir, "overwrite")
     out, ckpt = scratch_path(f.spark, "stream-rows"), scratch_path(f.spark, "stream-ckpt")
-    sp.stream_row_alerts(f.spark, raw_dir, out, ckpt, p=f.p, max_files=4)
+    sp.stream_row_alerts(f.spark, raw_dir, out, ckpt, p=f.p)
     return f.spark.read.parquet(out)
 
 

@@ -172,7 +172,7 @@ def health_by_range(alerts: DataFrame, p: Params = DEFAULT, low: float = 0.0, hi
 
 
 def cause_rules(stg: DataFrame, forecast: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Maintenance action from combined symptoms of an anomalous reading.
+    """Maintenance action from combined symptoms of a reading (all valid ones).
 
     The forecast has one row per unit; the join is on unit id, and AQE
     either broadcasts it or splits a hot unit's partition (skew join).
@@ -187,7 +187,7 @@ def cause_rules(stg: DataFrame, forecast: DataFrame, p: Params = DEFAULT) -> Dat
     ]
     sev = rules.chain([(c, a[0]) for c, a in zip(cases, rules.CAUSE_ACTIONS)], rules.CAUSE_DEFAULT[0])
     act = rules.chain([(c, a[1]) for c, a in zip(cases, rules.CAUSE_ACTIONS)], rules.CAUSE_DEFAULT[1])
-    readings = stg.filter((F.col("is_anomaly") == 1) & ~F.col("is_out_of_range")).select(
+    readings = stg.filter(~F.col("is_out_of_range")).select(
         "sensor_id", "equipment_id", "event_timestamp", "anomaly_reason", "is_anomaly")
     fc = forecast.select("equipment_id", "avg_daily_decline")
     return readings.join(fc, "equipment_id", "left").select(

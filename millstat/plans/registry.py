@@ -303,9 +303,9 @@ def _a3(f: Frames):
 
 
 def _health_band_sql() -> str:
-    arms = " ".join(f"WHEN health_score > {dbl(lim)} THEN {'NULL' if r is None else q(r)}"
-                    for lim, r in rules.HEALTH_BANDS)
-    return f"CASE WHEN health_score IS NULL THEN NULL {arms} ELSE {q(rules.HEALTH_BAND_DEFAULT)} END"
+    # literals, not the rule table of the code under test
+    return ("CASE WHEN health_score IS NULL OR health_score > 70 THEN NULL WHEN health_score >= 50 THEN 'equipment_degrading' "
+            "WHEN health_score >= 30 THEN 'poor_equipment_condition' ELSE 'critical_equipment_failure' END")
 
 
 @reg("health_band", lambda o: o.sql(
@@ -819,7 +819,7 @@ SELECT s.sensor_id, s.equipment_id, s.event_timestamp, s.anomaly_reason, fc.avg_
   CASE {sev} ELSE {q(rules.CAUSE_DEFAULT[0])} END AS cause_severity,
   CASE {act} ELSE {q(rules.CAUSE_DEFAULT[1])} END AS cause_action
 FROM stg s LEFT JOIN forecast fc ON s.equipment_id = fc.equipment_id
-WHERE s.is_anomaly = 1 AND NOT s.is_out_of_range"""
+WHERE NOT s.is_out_of_range"""
 
 
 @reg("cause_rules", lambda o: o.sql(_cause_sql(), "stg", "forecast"), shared=('stg',))

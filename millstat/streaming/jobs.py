@@ -54,9 +54,13 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def csv_stream(spark: SparkSession, src_glob: str, max_files: int = 1, glob: str = "*.csv") -> DataFrame:
-    """The file stream of cell rows (each file exactly once, ``max_files`` per trigger)."""
-    reader = ci.csv_reader(spark.readStream, glob, recursive=False).option("maxFilesPerTrigger", max_files)
+def _paced(reader, max_files: int | None):
+    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+
+
+def csv_stream(spark: SparkSession, src_glob: str, max_files: int | None = None, glob: str = "*.csv") -> DataFrame:
+    """The file stream of cell rows (each file exactly once; ``max_files`` paces a trigger, by default all)."""
+    reader = _paced(ci.csv_reader(spark.readStream, glob, recursive=False), max_files)
     return ci.with_file_columns(reader.csv(src_glob))
 
 
@@ -67,11 +71,11 @@ def run_available(query) -> None:
 
 
 def stream_raw(spark: SparkSession, src_glob: str, out: str, checkpoint: str, report: str | None = None,
-               p: Params = DEFAULT, policy: str = "CONTINUE", max_files: int = 1, dedup: bool = False,
+               p: Params = DEFAULT, policy: str = "CONTINUE", max_files: int | None = None, dedup: bool = False,
                load_ts=None, on_batch=None):
     """Load every new file once into ``out`` (parquet)."""
     def batch(rows: DataFrame, batch_id: int) -> None:
-        # the micro-batch is bounded by max_files; keep it for the policy and report passes
+        # the policy and report passes read the micro-batch again
         rows = rows.persist()
         parsed = ci.parse_rows(rows, p, load_ts)
         good, _ = ci.apply_load_policy(parsed, policy)
@@ -114,7 +118,7 @@ def _merge_latest(spark: SparkSession, new: DataFrame, out: str) -> None:
 
 
 def stream_alerts(spark: SparkSession, src_glob: str, raw_out: str, alerts_out: str, checkpoint: str,
-                  p: Params = DEFAULT, policy: str = "CONTINUE", max_files: int = 1, load_ts=None):
+                  p: Params = DEFAULT, policy: str = "CONTINUE", max_files: int | None = None, load_ts=None):
     """Raw load plus an exact refresh of the alert mart for touched dates."""
 
     def refresh(good: DataFrame, batch_id: int) -> None:
@@ -153,14 +157,15 @@ def utc_instant_as_naive(ts):
 
 
 def stream_energy(spark: SparkSession, staged_dir: str, out: str, checkpoint: str,
-                  watermark: str = "1 hour", max_files: int = 1):
+                  watermark: str = "1 hour", max_files: int | None = None):
     """M1 as a tumbling one-hour event-time window with a watermark (append).
 
-    Input: staged, in-range readings (parquet files). Rows later than the
-    watermark are dropped by design; ``stream_alerts`` is the exact path.
+    Input: staged, in-range readings (parquet files). Without ``max_files`` a
+    backlog is one micro-batch, so the order of its files loses nothing; with
+    pacing, rows later than the watermark are dropped by design; ``stream_alerts`` is the exact path.
     """
     schema = spark.read.parquet(staged_dir).schema
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(staged_dir)
+    src = (_paced(spark.readStream.schema(schema), max_files).parquet(staged_dir)
            # watermarks need a zone-aware timestamp: take the instant whose UTC
            # wall clock is the naive event time (no session-zone conversion)
            .withColumn("_event_ts", naive_as_utc_instant(F.col("event_timestamp")))
@@ -201,9 +206,9 @@ def row_alerts(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def stream_row_alerts(spark: SparkSession, raw_dir: str, out: str, checkpoint: str, p: Params = DEFAULT,
-                      max_files: int = 1):
+                      max_files: int | None = None):
     """T4: stateless row alerts over a stream of raw readings (append)."""
-    src = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(raw_dir)
+    src = _paced(spark.readStream.schema(RAW_SCHEMA), max_files).parquet(raw_dir)
     q = (row_alerts(src, p).writeStream.outputMode("append").format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     run_available(q)

@@ -216,3 +216,12 @@ def test_forecast_ols_uses_calendar_days(spark):
     as_of = stg.agg(F.max("event_date")).first()[0]
     r = marts.forecast_ols(stg, Params(as_of=as_of)).first()
     assert (r.days_used, r.ols_daily_decline, r.ols_days_to_failure) == (7, 2.0, 20.0)
+
+
+def test_health_band_edges(spark):
+    from millstat.functions import rules
+
+    rows = [(70.01, None), (70.0, "equipment_degrading"), (50.0, "equipment_degrading"), (49.99, "poor_equipment_condition"),
+            (30.0, "poor_equipment_condition"), (29.99, "critical_equipment_failure")]
+    df = spark.createDataFrame([(h,) for h, _ in rows], "h double")
+    assert [r[0] for r in df.select(rules.health_band(F.col("h"))).collect()] == [r for _, r in rows]
