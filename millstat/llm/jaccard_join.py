@@ -12,7 +12,7 @@ components and skips what the triangle inequality already settles.
    member vanish: sets far from all others never meet anyone. The order is by hash,
    after shingles that are frequent (marked in a bitmap of fixed size), so
    a passage that many documents share makes no large cell.
-3. Regions. In a cell with more than ``LEAF`` members a few members become
+3. Regions. In a cell with more than ``DIRECT_LEAVES * LEAF`` members a few members become
    pivots. Every member gets its distance to them; a distance up to T is a link.
    Each member belongs to the region of its nearest pivot and is replicated
    into any region whose pivot is at most 2T further: a partner within T lives
@@ -57,10 +57,11 @@ FREQUENT = 6  # distinct sets within one task that hold a shingle, to call it fr
 FREQUENT_BITS = 1 << 24  # size of the bitmap of frequent shingles, whatever the input
 CLASSES = 256
 BLOCK = 256
+DIRECT_LEAVES = 8  # cells of up to so many leaves are compared by their class counts, without pivots
 FEW = 24  # members outside the largest component that are compared directly
 MAX_ROUNDS = 2
 BEST_STEPS = 3
-PAIRS_PER_SET = 4  # up to so many candidate pairs per set, all are compared at once
+PAIRS_PER_SET = 1  # up to so many candidate pairs per set, all are compared at once
 TEXT_CHUNK = 500_000
 
 
@@ -437,7 +438,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
         if cells.isEmpty():
             break
         last = turn == max_rounds
-        direct = F.lit(last) | (F.col("size") <= leaf) | (F.col("minors") <= FEW)
+        direct = F.lit(last) | (F.col("size") <= DIRECT_LEAVES * leaf) | (F.col("minors") <= FEW)
         pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent, leaf), "jaccard-pairs")
         large = cells.where(~direct)
         if sets is None:  # later rounds only meet members of these cells
