@@ -46,7 +46,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import components, documents, stored
+from .shared import components, documents, narrowed, stored
 from .words import INVERSE, MULTIPLIER, _mix, chunks, powers, windows
 
 WORDS = 5
@@ -62,6 +62,7 @@ FEW = 24  # members outside the largest component that are compared directly
 MAX_ROUNDS = 2
 BEST_STEPS = 3
 PAIRS_PER_SET = 1  # up to so many candidate pairs per set, all are compared at once
+PAIRS_PER_TASK = 1000
 TEXT_CHUNK = 500_000
 
 
@@ -251,8 +252,8 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return found.join(needed.select("k"), "k", "left_semi").groupBy("k").agg(F.first("shingles").alias("shingles"))
 
 
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the sizes of intersection and union of their whole sets."""
+def _distances(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """The ``n`` pairs (a, b) with the sizes of intersection and union of their whole sets."""
     def run(batches):
         for batch in batches:
             shared, total = [], []
@@ -265,7 +266,7 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("sb"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+    return (narrowed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), n, PAIRS_PER_TASK)
             .mapInArrow(run, "a long, b long, shared long, total long"))
 
 
@@ -414,24 +415,24 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     classes = usable.join(nodes, "k", "left_semi").groupBy("k").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"))
     classes = stored(classes, "jaccard-classes")
-    labels, links, sets = nodes.select("k", F.col("k").alias("label")), [], None
+    n_nodes = nodes.count()
+    labels, sets = nodes.select("k", F.col("k").alias("label")), None
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        return stored(_distances(pairs, sets).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
+    def compare(pairs: DataFrame, n: int) -> DataFrame:
+        return stored(_distances(pairs, sets, n).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
 
     def link(dist: DataFrame) -> None:
+        """Join the components that new links connect; labels stand for what earlier links joined."""
         nonlocal labels
-        links.append(dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b"))
-        found = links[0]
-        for more in links[1:]:
-            found = found.unionByName(more)
-        top = components(found, "jaccard-components").withColumnRenamed("node", "k")
-        labels = stored(nodes.join(top, "k", "left").select("k", F.coalesce("component", "k").alias("label")), "jaccard-labels")
-
-    def apart(pairs: DataFrame) -> DataFrame:
+        found = dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
+        top = components(_between(found, labels), "jaccard-components").withColumnRenamed("node", "label")
+        new = labels.join(top, "label", "left").select("k", F.coalesce("component", "label").alias("label"))
+        labels = stored(narrowed(new, n_nodes), "jaccard-labels")
+
+    def apart(pairs: DataFrame, n: int) -> DataFrame:
         a = labels.select(F.col("k").alias("a"), F.col("label").alias("la"))
         b = labels.select(F.col("k").alias("b"), F.col("label").alias("lb"))
-        return stored(pairs.join(a, "a").join(b, "b").where("la <> lb").select("a", "b", "most"), "jaccard-pairs")
+        return stored(narrowed(pairs.join(a, "a").join(b, "b").where("la <> lb").select("a", "b", "most"), n), "jaccard-pairs")
 
     for turn in range(max_rounds + 1):
         cells = stored(_opened(members, labels), "jaccard-open")
@@ -451,11 +452,11 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
             if not n:
                 break
             if step == BEST_STEPS - 1 or n <= PAIRS_PER_SET * _ends(pairs).count():
-                link(compare(pairs.select("a", "b")))
+                link(compare(pairs.select("a", "b"), n))
                 break
-            best = _best(pairs)
-            link(compare(best))
-            pairs = apart(pairs.join(best, ["a", "b"], "left_anti"))
+            best = stored(_best(pairs), "jaccard-best")
+            link(compare(best, best.count()))
+            pairs = apart(pairs.join(best, ["a", "b"], "left_anti"), n)
         if large.isEmpty():
             break
         # cells overlap: each member takes part in its largest one, the others wait for the new labels
@@ -465,8 +466,9 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
                           F.when(F.col("minor"), F.xxhash64("k", F.lit(1000 * turn + i)))).alias(f"p{i}") for i in range(PIVOTS)]
         pivots = stored(now.groupBy("cell").agg(*draws).select(
             "cell", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("pivot")), "jaccard-pivots")
-        dist = compare(now.join(pivots, "cell").where("k <> pivot")
-                       .select(F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b")).distinct())
+        spokes = stored(now.join(pivots, "cell").where("k <> pivot").select(
+            F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b")).distinct(), "jaccard-spokes")
+        dist = compare(spokes, spokes.count())
         link(dist)
         waiting = large.join(best, "cell", "left_anti").select("cell", "k")
         regions = _regions(now.select("cell", "k"), pivots, dist.select("a", "b", "d"), t, far)
@@ -474,9 +476,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     # an id on several rows with different texts holds its classes together
     known = usable.select("doc_id", "n", "k")
     held = known.groupBy("doc_id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi")
-    edges = known.join(held, "doc_id").where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
-    for more in links:
-        edges = edges.unionByName(more)
+    same = known.join(held, "doc_id").where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
+    edges = labels.where("k <> label").select(F.col("k").alias("a"), F.col("label").alias("b")).unionByName(same)
     top = components(edges, "jaccard-components").withColumnRenamed("node", "k")
     found = rows.join(top, "k", "left").select("doc_id", "n", F.coalesce("component", "k").alias("label"))
     # documents without shingles have no class; the others' component is named by its smallest id
@@ -485,6 +486,13 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
         (F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) of members as links of their components."""
+    a = labels.select(F.col("k").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("k").alias("b"), F.col("label").alias("lb"))
+    return links.join(a, "a").join(b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+
+
 def _opened(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Cells with members in more than one component: (cell, k, label, minor, size, minors).
 

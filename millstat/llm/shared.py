@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+ROWS_PER_FILE = 100_000
+
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
@@ -22,6 +24,11 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrowed(df: DataFrame, rows: int, per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """``df`` of about ``rows`` rows in tasks that have something to do, without a shuffle."""
+    return df.coalesce(8 + rows // per_file)
+
+
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
@@ -45,14 +52,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Alternating large-star and small-star steps (Kiveris et al. 2014): each
     step is one aggregate (minimum neighbour, combined before the shuffle)
-    and one join; every round is written to the shared folder. Ends when a
-    round changes nothing. Self loops and repeated edges are allowed; nodes
-    without an edge to another node are not returned.
+    and one join; every round is written to the shared folder. Ends when every
+    component is a star around its smallest node. Self loops and repeated edges
+    are allowed; nodes without an edge to another node are not returned.
     """
     cur = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .distinct(), name)
-    mark = _mark(cur)
-    while mark[0]:
+    n, open_nodes = _state(cur)
+    while open_nodes:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: neighbours above the node move to the smallest of the neighbourhood
@@ -62,17 +69,19 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        cur = stored(small, name)
-        new = _mark(cur)
-        if new == mark:
-            break
-        mark = new
+        cur = stored(narrowed(small, n), name)
+        n, open_nodes = _state(cur)
     top = cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return top.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Count and order-free checksum of an edge list."""
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007),
-                  F.bit_xor(F.xxhash64("b", "a"))).first()
-    return tuple(r)
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """How many edges there are, and how many nodes keep them from being stars.
+
+    Edges run from ``a`` to a smaller ``b``. They are stars when every ``a`` has one edge and is no one's ``b``.
+    """
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    r = nodes.agg(F.sum("up"), F.count_if((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("least") == 0)))).first()
+    return r[0] or 0, r[1]
