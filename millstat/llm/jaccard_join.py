@@ -421,11 +421,11 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     def compare(pairs: DataFrame, n: int) -> DataFrame:
         return stored(_distances(pairs, sets, n).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
 
-    def link(dist: DataFrame) -> None:
+    def link(dist: DataFrame, n: int) -> None:
         """Join the components that new links connect; labels stand for what earlier links joined."""
         nonlocal labels
         found = dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
-        top = components(_between(found, labels), "jaccard-components").withColumnRenamed("node", "label")
+        top = components(_between(found, labels), "jaccard-components", n).withColumnRenamed("node", "label")
         new = labels.join(top, "label", "left").select("k", F.coalesce("component", "label").alias("label"))
         labels = stored(narrowed(new, n_nodes), "jaccard-labels")
 
@@ -452,10 +452,11 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
             if not n:
                 break
             if step == BEST_STEPS - 1 or n <= PAIRS_PER_SET * _ends(pairs).count():
-                link(compare(pairs.select("a", "b"), n))
+                link(compare(pairs.select("a", "b"), n), n)
                 break
             best = stored(_best(pairs), "jaccard-best")
-            link(compare(best, best.count()))
+            n_best = best.count()
+            link(compare(best, n_best), n_best)
             pairs = apart(pairs.join(best, ["a", "b"], "left_anti"), n)
         if large.isEmpty():
             break
@@ -468,8 +469,9 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
             "cell", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("pivot")), "jaccard-pivots")
         spokes = stored(now.join(pivots, "cell").where("k <> pivot").select(
             F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b")).distinct(), "jaccard-spokes")
-        dist = compare(spokes, spokes.count())
-        link(dist)
+        n = spokes.count()
+        dist = compare(spokes, n)
+        link(dist, n)
         waiting = large.join(best, "cell", "left_anti").select("cell", "k")
         regions = _regions(now.select("cell", "k"), pivots, dist.select("a", "b", "d"), t, far)
         members = stored(_distinct_cells(stored(waiting.unionByName(regions.distinct()), "jaccard-regions")), "jaccard-cells")

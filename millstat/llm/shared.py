@@ -47,7 +47,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rows: int | None = None) -> DataFrame:
     """Connected components of an edge list ``(a, b)`` of longs: ``(node, component)``.
 
     Alternating large-star and small-star steps (Kiveris et al. 2014): each
@@ -55,21 +55,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     and one join; every round is written to the shared folder. Ends when every
     component is a star around its smallest node. Self loops and repeated edges
     are allowed; nodes without an edge to another node are not returned.
+    ``rows``: how many edges there are at most, where known.
     """
-    cur = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .distinct(), name)
+    cur = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    cur = stored(cur.distinct() if rows is None else narrowed(narrowed(cur, rows).distinct(), rows), name)
     n, open_nodes = _state(cur)
     while open_nodes:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = narrowed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), n)
         # large star: neighbours above the node move to the smallest of the neighbourhood
-        large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = narrowed(narrowed(large, n).distinct(), n)
         # small star: the node and its smaller neighbours move to the smallest one
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = narrowed(large.groupBy("a").agg(F.min("b").alias("m")), n)
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        cur = stored(narrowed(small, n), name)
+                 .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b"))
+        cur = stored(narrowed(narrowed(small, n).distinct(), n), name)
         n, open_nodes = _state(cur)
     top = cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return top.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
