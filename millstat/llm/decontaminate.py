@@ -8,14 +8,16 @@ the benchmark items, so a question with other numbers and names still meets
 its item. Windows of one document and one item at the same distance form a match; it
 counts if its slots are consistent: equal item slots have equal document
 slots and different ones different. A second join on the plain
-lower-cased tokens finds copies whose capitals or sentence breaks changed.
+lower-cased tokens finds copies whose capitals or sentence breaks changed,
+whatever numbers and names they hold.
 
 Before the join, tasks drop windows whose hash is not in a bitmap of the
 benchmark's hashes (a fixed size, whatever the benchmark); the join decides.
 
-Defined results: NULL and empty documents or items match nothing; windows need
-``LITERAL`` tokens that are no slots, so an item with fewer such tokens is never
-matched; items shorter than a window are one window of their own length;
+Defined results: NULL and empty documents or items match nothing; template windows
+need ``LITERAL`` tokens that are no slots, so an item with fewer such tokens is only
+matched literally; items shorter than a window are one window of their own length, and
+literal only below ``LITERAL`` tokens, down to one word;
 repeated document rows count as one document; rows with a NULL doc_id or
 item_id are left out; without any match there are no rows.
 """
@@ -136,13 +138,14 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
                     if n <= 0:
                         continue
                     inside = owner[:n] == owner[width - 1:]
-                    enough = inside & (kept[width:] - kept[:-width] >= literal)
                     if short:  # only whole items have windows shorter than the full width
-                        enough &= (sizes[owner[:n]] == width) | (width == top)
-                    for kind, codes in (("template", template), ("plain", plain)):
-                        # without slots the plain window says the same
-                        ok = enough & (slots[width:] > slots[:-width]) if kind == "template" else enough
+                        inside &= (sizes[owner[:n]] == width) | (width == top)
+                    # without slots the plain window says the same; with few other tokens a template says too little
+                    enough = inside & (slots[width:] > slots[:-width]) & (kept[width:] - kept[:-width] >= literal)
+                    for kind, codes, ok in (("template", template, enough), ("plain", plain, inside)):
                         at = np.flatnonzero(ok)
+                        if not len(at):
+                            continue
                         h = windows(codes, width)[at]
                         if bitmap is not None:
                             bit = (h >> np.uint64(38)).astype(np.int64)
@@ -176,13 +179,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
     """(doc_id, item_id, first, last, windows, kind): matched stretches of documents (token numbers)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    widths = tuple(range(literal, window + 1))
+    widths = tuple(range(1, window + 1))
     known = stored(_hits(items, widths, literal, short=True).select(
         F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "kind", "hash", F.col("slots").alias("item_slots"))
         .distinct(), "decon-items")
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(known))
     # an item shorter than the window has windows of its own length: search the widths that occur
-    used = sorted(r["n"] for r in _item_widths(items, window, literal).collect())
+    used = sorted(r["n"] for r in _item_widths(items, window).collect())
     found = _hits(texts, tuple(used) or (window,), literal, bitmap).withColumnRenamed("id", "doc_id")
     met = found.join(known, ["kind", "hash"]).where(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
@@ -195,14 +198,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
     return by_shift.where(consistent).select("doc_id", "item_id", "first", "last", "windows", "kind")
 
 
-def _item_widths(items: DataFrame, window: int, literal: int) -> DataFrame:
+def _item_widths(items: DataFrame, window: int) -> DataFrame:
     """Window widths that items need: the full one, and the lengths of shorter items."""
     def run(batches):
         canonical = canonicaliser()
         for batch in batches:
             _, owner, *_ = canonical.tokens(batch["text"].to_pylist())
             n = np.minimum(np.bincount(owner, minlength=batch.num_rows), window)
-            yield pa.record_batch({"n": pa.array(np.unique(n[n >= literal]), pa.int32())})
+            yield pa.record_batch({"n": pa.array(np.unique(n[n > 0]), pa.int32())})
 
     return items.where("id is not null and text is not null").select("text").mapInArrow(run, "n int").distinct()
 

@@ -202,6 +202,18 @@ def test_decontamination(spark, odd, empty):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_copies_with_many_slots(spark):
+    """Verbatim copies are found whatever share of their tokens are numbers or names, and however short the item is."""
+    texts = ["What is 12 * 34 + 56 - 7 / 8?", "Compute 17 + 25 + 38 + 41 + 59.", "Paris, London, Berlin, Madrid, Rome and Vienna lie in Europe.",
+             "Tom Baker has twelve apples and gives five of them to Ann before the train leaves.", "Name seven primes", "1 2 3 4 5 6 7 8 9"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(i, f"so we asked this: {t} and went on") for i, t in enumerate(texts)]
+    rows += [(10, texts[3].title()), (11, "What is 13 * 35 + 57 - 6 / 9?"), (12, "Name eight primes or seven primes"), (13, "9 8 7 6 5 4 3 2 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {i: [i] for i in range(len(texts))} | {10: [3]}
+
+
 def test_secrets(spark, odd, empty):
     trees = secrets.train(secrets.labelled_findings(spark, 3000))
     held = secrets.labelled_findings(spark, 4500).where("value is not null").limit(4500).toPandas()
