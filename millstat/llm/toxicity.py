@@ -5,7 +5,10 @@ the mean of its words; a linear softmax over two classes scores it.
 Embeddings and softmax are trained together in numpy, so a misspelling or an
 unseen ending shares the vectors of the n-grams it has in common. Because
 the model is linear after the averages, scoring needs one number per distinct
-word and a mean per text.
+word and a mean per text. Only n-grams whose share of texts differs between the
+classes by ``MIN_Z`` standard errors are learned, the others count as 0: a toxic
+word is some 2 % of a text, which the chance weights of tens of thousands of
+n-grams would cover.
 
 Training reads a bounded, documented sample: about ``MAX_PER_CLASS`` rows of
 each label, chosen by hash; the softmax bias is then corrected for the share
@@ -32,10 +35,11 @@ from .words import WordTable, char_ngrams, chunks
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 17
 DIM = 8
-EPOCHS = 8
+EPOCHS = 30
 BATCH = 64
-RATE = 0.3
+RATE = 1.0
 MIN_DOCS = 3
+MIN_Z = 3.0  # standard errors between the classes' shares of texts with an n-gram that is learned
 MAX_PER_CLASS = 2000
 PRIOR_WEIGHT = 0.25  # the averaged logit is flatter than a log-likelihood, so is its prior
 
@@ -94,10 +98,15 @@ def train(texts: list, y: np.ndarray, taken: tuple[float, float] = (1.0, 1.0), e
     if n1 in (0, len(y)):
         return Model(np.zeros(BUCKETS), float(np.log((n1 + 1) / (len(y) - n1 + 1))))
     bags = [bag(t) for t in texts]
-    seen = np.zeros(BUCKETS, np.int64)
-    for ids, _ in bags:
-        seen[ids] += 1
-    known = seen >= min(MIN_DOCS, max(1, n1 // 4))
+    n0 = len(y) - n1
+    pos, neg = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for (ids, _), label in zip(bags, y):
+        (pos if label else neg)[ids] += 1
+    share = (pos + neg) / len(y)
+    error = np.sqrt(np.maximum(share * (1 - share) * (1 / n1 + 1 / n0), 1e-12))
+    # z is at most the root of the number of texts
+    known = ((pos + neg >= min(MIN_DOCS, max(1, n1 // 4)))
+             & (np.abs(pos / n1 - neg / n0) / error >= min(MIN_Z, len(y) ** 0.5 / 2)))
     bags = [(ids[known[ids]], w[known[ids]]) for ids, w in bags]
     sizes = np.array([len(ids) for ids, _ in bags])
     starts = np.concatenate([[0], np.cumsum(sizes)])
@@ -106,9 +115,6 @@ def train(texts: list, y: np.ndarray, taken: tuple[float, float] = (1.0, 1.0), e
     rng = np.random.default_rng(seed)
     emb = ((rng.random((BUCKETS, DIM)) - 0.5) / DIM).astype(np.float32)
     # the first dimension starts at the smoothed log-ratio of the classes that the n-gram occurs in
-    pos = np.bincount(ids[np.repeat(y == 1, sizes)], minlength=BUCKETS)
-    neg = np.bincount(ids[np.repeat(y == 0, sizes)], minlength=BUCKETS)
-    n0 = len(y) - n1
     emb[:, 0] = np.where(known, np.log((pos + 1) / (n1 + 2)) - np.log((neg + 1) / (n0 + 2)), 0)
     soft = np.zeros((DIM, 2), np.float32)
     soft[0] = (-4.0, 4.0)

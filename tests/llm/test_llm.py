@@ -236,6 +236,17 @@ def test_classifiers_held_out(spark, key, label, least):
     assert (got.predicted == got[label]).mean() >= least and got.score.between(0, 1).all()
 
 
+def test_toxicity_held_out_by_language(spark):
+    """Toxic documents are found in every language, not only in the one with most of them."""
+    sf = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    got = queries.QUERIES["op7_toxicity"](spark, sf).join(marks, "doc_id").where("held_out").toPandas()
+    rate = got.groupby(["toxic", "lang"]).predicted.mean()
+    print(got.groupby(["toxic", "lang"]).predicted.agg(["sum", "count"]))
+    assert set(rate[1].index) == {"de", "en", "es", "fr"}
+    assert rate[1].min() >= 0.6 and rate[0].max() <= 0.05, rate
+
+
 def test_classifiers_odd_rows(odd, empty):
     texts = [r[1] for r in odd_rows()]
     model = toxicity.train(["you idiot", "fine words here", "idiots all", "good day"] * 4, np.array([1, 0, 1, 0] * 4))
