@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embed_dedup, jaccard_join, langid, packing, quality, secrets, sharding, token_files, toxicity
+from . import (decontaminate, embed_dedup, jaccard_join, langid, license_scan, packing, periodic_runs, quality, secrets,
+               sharding, token_align, token_files, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": embed_dedup.op1_embedding_dedup,
@@ -20,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_token_files": token_files.op9_token_files,
     "op10_quality": quality.op10_quality,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_license_scan": license_scan.op12_license_scan,
+    "op13_token_align": token_align.op13_token_align,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -53,5 +57,6 @@ top AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(top.component_id, w.doc_id)) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN top ON top.id = w.doc_id""",
 }
+ORACLE_SQL["op12_license_scan"] = license_scan.oracle_sql()
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
