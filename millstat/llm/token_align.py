@@ -7,8 +7,9 @@ itself. Both encode the text in full. Then:
 * anchors: byte offsets where a space-marked token of A and one of B begin,
   verified by the ends of the tokens before them, cut a text into windows of
   token ids;
-* a window's alignment depends on its ids alone, so each task keeps the
-  alignments by id tuples and aligns a window it has seen by one lookup;
+* a window's alignment depends on its ids alone, so each worker keeps the
+  alignments by id tuples, and the new windows of a block of texts are aligned
+  in one pass;
 * groups: the offsets where tokens of A and of B both end cut the tokens into
   groups; the two tokens that end there are a link.
 
@@ -26,10 +27,9 @@ rows. Columns besides doc_id and text are not looked at.
 from __future__ import annotations
 
 import re
-import struct
-from array import array
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +37,18 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .shared import documents, stored
-from .tokenize import _BYTES, BYTE_BPE, encoder
+from .tokenize import _BYTES, BYTE_BPE
 from .words import chunks
 
 PIECE_BPE = "piece_bpe_32k.model"
 SPACE = "▁"
-KEPT = 400_000  #: parts, and windows, that a worker keeps
+KEPT = 100_000  #: parts, and windows, that a worker keeps in each of two generations
 LONG = 64       #: longer ones are not kept
 WIDTH = 1 << 15  #: a pair of ids as one number: a * WIDTH + b, below 2^31
 
-_PACK = struct.Struct("<I").pack
-
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 GRADED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -59,11 +58,11 @@ class Entries:
 
     def __init__(self, values: list[bytes]):
         self.values = values
-        self.lengths = [len(v) for v in values]
-        self.spaced = [v[:1] == b" " for v in values]
+        self.lengths = np.array([len(v) for v in values], np.int64)
+        self.spaced = np.array([v[:1] == b" " for v in values])
 
-    def spell(self, ids: list[int], data: bytes) -> bool:
-        return b"".join(map(self.values.__getitem__, ids)) == data
+    def joined(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.values.__getitem__, ids.tolist()))
 
 
 class PieceModel:
@@ -85,11 +84,33 @@ class PieceModel:
 
 
 @lru_cache(maxsize=1)
-def _byte_entries() -> Entries:
+def _byte_model() -> tuple[Tokenizer, Entries]:
+    tok = Tokenizer.from_file(public_tokenizers.path(BYTE_BPE))
+    tok.encode_special_tokens = True  # their strings in a text are ordinary text
     own = {letter: b for b, letter in _BYTES.items()}
-    tok = encoder(BYTE_BPE).tokenizer
     names = [tok.id_to_token(i) for i in range(tok.get_vocab_size())]
-    return Entries([bytes(own[c] for c in n) if all(c in own for c in n) else b"" for n in names])
+    return tok, Entries([bytes(own[c] for c in n) if all(c in own for c in n) else b"" for n in names])
+
+
+class Memory:
+    """What was met lately: two generations, the older one goes when the newer one is full."""
+
+    def __init__(self):
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def recall(self, keys) -> list:
+        """Brings known keys to the newer generation; the others are returned."""
+        if len(self.new) > KEPT:
+            self.new, self.old = {}, self.new
+        new, old, unknown = self.new, self.old, []
+        for k in keys:
+            if k not in new:
+                if k in old:
+                    new[k] = old[k]
+                else:
+                    unknown.append(k)
+        return unknown
 
 
 class Aligner:
@@ -97,92 +118,110 @@ class Aligner:
 
     Neither vocabulary has an entry with a space after another character, and A's
     split pattern begins a piece at a space after a character that is none. So the
-    ids of a text are those of its parts between such places, and a part that is
-    known already is neither encoded nor verified nor cut again.
+    ids of a text are those of its parts between such places: a part met lately is
+    not encoded again.
     """
 
     PARTS = re.compile(r"(?<=\S)(?= )")
 
     def __init__(self):
-        self.a, self.b = encoder(BYTE_BPE), PieceModel()
-        self.of_a, self.of_b = _byte_entries(), self.b.entries()
-        self.windows: dict[tuple, tuple[bytes, bytes]] = {}
-        self.parts: dict[str, tuple | None] = {}
-
-    def anchors(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]]:
-        """Token numbers at which windows begin in A and in B, and the ends."""
-        cuts = []
-        for ids, entries in ((ids_a, self.of_a), (ids_b, self.of_b)):
-            spaced = list(map(entries.spaced.__getitem__, ids))
-            if True not in spaced[1:]:
-                return [0, len(ids_a)], [0, len(ids_b)]
-            ends = list(accumulate(map(entries.lengths.__getitem__, ids)))
-            cuts.append({ends[i - 1]: i for i in range(1, len(ids)) if spaced[i]})  # of tokens before space-marked ones
-        shared = [e for e in cuts[0] if e in cuts[1]]
-        return ([0, *(cuts[0][e] for e in shared), len(ids_a)], [0, *(cuts[1][e] for e in shared), len(ids_b)])
-
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[bytes, bytes]:
-        """Groups as text, and packed links, of the ids of one window."""
-        if len(a) == 1 or len(b) == 1:  # one group
-            return (",".join(map(str, a)) + "|" + ",".join(map(str, b))).encode(), _PACK(a[-1] * WIDTH + b[-1])
-        at_b = dict(zip(accumulate(map(self.of_b.lengths.__getitem__, b)), range(1, len(b) + 1)))
-        groups, links = [], []
-        i = from_i = from_j = 0
-        for e in accumulate(map(self.of_a.lengths.__getitem__, a)):
-            i += 1
-            if e in at_b:
-                j = at_b[e]
-                if i - from_i == 1 == j - from_j:
-                    groups.append(f"{a[from_i]}|{b[from_j]}")
+        (self.a, self.of_a), self.b = _byte_model(), PieceModel()
+        self.of_b = self.b.entries()
+        self.parts = Memory()    # part -> n_a, n_b, groups, links; None if its tokens do not spell it
+        self.windows = Memory()  # window (ids of A, ids of B) -> groups as text, packed links
+        # an id with what follows it: in A "," or, last of its group, "|"; in B "," or ";" or, last of its window, a line end
+        self.text_a = [x for i in range(len(self.of_a.values)) for x in (f"{i},", f"{i}|")]
+        self.text_b = [x for i in range(len(self.of_b.values)) for x in (f"{i},", f"{i};", f"{i}\n")]
+        self.write = [*self.text_a, *self.text_b].__getitem__
+
+    def _encode(self, parts: list[str]) -> Iterator[tuple[str, list | None]]:
+        """Parts and their tokens, cut into windows (ids of A, ids of B) at verified anchors; None if the tokens do not spell the part."""
+        parts.sort(key=lambda p: p[-1].isspace())  # stable; those that end with a space cannot stand before another
+        n = next((k for k, p in enumerate(parts) if p[-1].isspace()), len(parts))
+        texts = ["".join(parts[:n]), *parts[n:]]
+        ids_a = np.fromiter(chain.from_iterable([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]), np.uint32)
+        ids_b = np.fromiter(chain.from_iterable(self.b.ids(parts)), np.uint32)
+        data = [p.encode() for p in parts]
+        last, whole = np.cumsum([len(d) for d in data]), b"".join(data)
+        # anchors: ends before space-marked tokens that A and B share; a part's end must be one
+        ends_a, ends_b = np.cumsum(self.of_a.lengths[ids_a]), np.cumsum(self.of_b.lengths[ids_b])
+        cuts = [np.append(ends[np.flatnonzero(entries.spaced[ids[1:]])], last[-1])
+                for ids, ends, entries in ((ids_a, ends_a, self.of_a), (ids_b, ends_b, self.of_b))]
+        cut = np.intersect1d(*cuts)
+        if self.of_a.joined(ids_a) != whole or self.of_b.joined(ids_b) != whole or not np.isin(last, cut).all():
+            if len(parts) == 1:
+                yield parts[0], None
+            else:
+                yield from self._encode(parts[: len(parts) // 2])
+                yield from self._encode(parts[len(parts) // 2:])
+            return
+        keys = list(zip(_slices(ids_a, np.searchsorted(ends_a, cut) + 1), _slices(ids_b, np.searchsorted(ends_b, cut) + 1)))
+        first = 0
+        for part, end in zip(parts, (np.searchsorted(cut, last) + 1).tolist()):
+            yield part, keys[first:end]
+            first = end
+
+    def _align(self, keys: list[tuple[bytes, bytes]]) -> None:
+        """Groups and links of windows not met lately, all in one pass over their tokens."""
+        ids_a, ids_b = (np.frombuffer(b"".join([k[side] for k in keys]), np.uint32) for side in (0, 1))
+        ends_a, ends_b = np.cumsum(self.of_a.lengths[ids_a]), np.cumsum(self.of_b.lengths[ids_b])
+        _, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)  # last tokens of the groups
+        of_a, of_b = np.searchsorted(i, np.arange(len(ids_a))), np.searchsorted(j, np.arange(len(ids_b)))
+        ends_window = np.cumsum([len(k[1]) // 4 for k in keys]) - 1  # last token of B
+        follows_b = np.zeros(len(ids_b), np.int64)
+        follows_b[j] = 1
+        follows_b[ends_window] = 2
+        follows_a = np.zeros(len(ids_a), np.int64)
+        follows_a[i] = 1
+        code = np.empty(len(ids_a) + len(ids_b), np.int64)
+        code[np.arange(len(ids_a)) + np.concatenate([[0], j + 1])[of_a]] = ids_a.astype(np.int64) * 2 + follows_a
+        code[np.arange(len(ids_b)) + (i + 1)[of_b]] = len(self.text_a) + ids_b.astype(np.int64) * 3 + follows_b
+        groups = "".join(map(self.write, code.tolist())).split("\n")
+        links = ids_a[i] * np.uint32(WIDTH) + ids_b[j]
+        self.windows.new.update(zip(keys, zip(groups, _slices(links, np.searchsorted(j, ends_window) + 1))))
+
+    def texts(self, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
+        """n_a, n_b, groups, packed links of whole texts."""
+        # B writes a space for U+2581
+        split = [self.PARTS.split(" " + t) if t and SPACE not in t else [] for t in texts]
+        unknown = self.parts.recall(dict.fromkeys(chain.from_iterable(split)))
+        rows = self.parts.new
+        if unknown:
+            cut = list(self._encode(unknown))
+            unmet = self.windows.recall(dict.fromkeys(chain.from_iterable(k for _, k in cut if k)))
+            if unmet:
+                self._align(unmet)
+            windows = self.windows.new
+            for part, keys in cut:
+                if keys is None:
+                    rows[part] = None
+                elif len(keys) == 1:
+                    rows[part] = (len(keys[0][0]) // 4, len(keys[0][1]) // 4, *windows[keys[0]])
                 else:
-                    groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                links.append(a[i - 1] * WIDTH + b[j - 1])
-                from_i, from_j = i, j
-        return ";".join(groups).encode(), array("I", links).tobytes()
-
-    def _part(self, part: str, packed_a: bytes, ids_b: list[int]) -> tuple | None:
-        """n_a, n_b, groups, links of a part; None if its tokens do not spell it."""
-        ids_a, data = memoryview(packed_a).cast("I").tolist(), part.encode()
-        if not self.of_a.spell(ids_a, data) or not self.of_b.spell(ids_b, data):
-            return None
-        cut_a, cut_b = self.anchors(ids_a, ids_b)
-        found = []
-        for x, y, u, v in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = (tuple(ids_a[x:y]), tuple(ids_b[u:v]))
-            aligned = self.windows.get(key)
-            if aligned is None:
-                aligned = self.window(*key)
-                if y - x <= LONG:
-                    self.windows[key] = aligned
-            found.append(aligned)
-        groups, links = found[0] if len(found) == 1 else (b";".join([f[0] for f in found]), b"".join([f[1] for f in found]))
-        return len(ids_a), len(ids_b), groups, links
-
-    def _rows(self, parts: list[str]) -> list[tuple | None]:
-        """What each part gives; those not known yet are encoded together."""
-        known = self.parts
-        if len(known) > KEPT or len(self.windows) > KEPT:
-            known.clear()
-            self.windows.clear()
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        long = {}
-        for p, a, b in zip(new, self.a.packed(new), self.b.ids(new)):
-            (known if len(p) <= LONG else long)[p] = self._part(p, a, b)
-        return [known[p] if p in known else long[p] for p in parts] if long else [known[p] for p in parts]
-
-    def text(self, text: str | None) -> tuple[int, int, bytes, bytes]:
-        """n_a, n_b, groups, packed links of a whole text."""
-        if not text or SPACE in text:  # B writes a space for U+2581
-            return 0, 0, b"", b""
-        parts = self.PARTS.split(" " + text)
-        try:
-            rows = [self.parts[p] for p in parts]
-        except KeyError:
-            rows = self._rows(parts)
-        if None in rows:
-            return 0, 0, b"", b""
-        n_a, n_b, groups, links = zip(*rows)
-        return sum(n_a), sum(n_b), b";".join(groups), b"".join(links)
+                    groups, links = zip(*[windows[k] for k in keys])
+                    n_a, n_b = (sum(map(len, side)) // 4 for side in zip(*keys))
+                    rows[part] = (n_a, n_b, ";".join(groups), b"".join(links))
+            for key in unmet:
+                if len(key[0]) > 4 * LONG:
+                    del windows[key]
+        out = []
+        for parts in split:
+            found = [rows[p] for p in parts]
+            if not found or None in found:
+                out.append((0, 0, "", b""))
+            else:
+                n_a, n_b, groups, links = zip(*found)
+                out.append((sum(n_a), sum(n_b), ";".join(groups), b"".join(links)))
+        for p in unknown:
+            if len(p) > LONG:
+                del rows[p]
+        return out
+
+
+def _slices(values: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The values up to each end, as packed bytes."""
+    data, cuts = values.tobytes(), [0, *(4 * ends).tolist()]
+    return [data[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -192,7 +231,7 @@ def _aligner() -> Aligner:
 
 def possible_pairs() -> int:
     """How many id pairs can be linked at all: one entry's bytes end with the other's."""
-    a, b = _byte_entries().values, PieceModel().entries().values
+    a, b = _byte_model()[1].values, PieceModel().entries().values
     own = [{}, {}]
     for seen, values in zip(own, (a, b)):
         for v in values:
@@ -208,13 +247,13 @@ def align(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             for start, end in chunks(texts):
-                rows = [own.text(t) for t in texts[start:end]]
+                rows = own.texts(texts[start:end])
                 n = pa.array([len(r[3]) // 4 for r in rows], pa.int64())  # a group ends with a link
                 yield pa.record_batch({
                     "doc_id": pa.array(ids[start:end], pa.int64()),
                     "n_a": pa.array([r[0] for r in rows], pa.int64()), "n_b": pa.array([r[1] for r in rows], pa.int64()),
                     "n_groups": n, "n_links": n,
-                    "groups": pa.array([r[2].decode() for r in rows], pa.string()),
+                    "groups": pa.array([r[2] for r in rows], pa.string()),
                     "links": pa.array([r[3] for r in rows], pa.binary())})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
