@@ -38,22 +38,30 @@ def _with_key(df: DataFrame, name: str, *cols: str) -> DataFrame:
 
 # ----------------------------------------------------------------- M1
 
+#: hourly aggregates of M1, shared by the batch and the stream
+ENERGY_KEYS = ("event_hour", "event_date", "equipment_id", "equipment_type")
+ENERGY_AGGS = [
+    (sq.half_up(sq.exact_sum("power_kw", 2), 2), "total_power_kwh"),
+    (sq.half_up(sq.exact_avg("power_kw", 2), 2), "avg_power_kw"),
+    (sq.half_up("max(power_kw)", 2), "peak_power_kw"),
+    (sq.half_up(sq.exact_avg("temperature_celsius", 2), 2), "avg_temperature_c"),
+    (sq.half_up("max(temperature_celsius)", 2), "max_temperature_c"),
+    (sq.half_up(sq.exact_avg("vibration_mm_s", 4), 4), "avg_vibration"),
+    (sq.half_up("max(vibration_mm_s)", 4), "max_vibration"),
+    (sq.half_up(sq.exact_avg("health_score", 2), 2), "avg_health_score"),
+    (sq.half_up("min(health_score)", 2), "min_health_score"),
+    ("CAST(sum(is_anomaly) AS BIGINT)", "anomaly_count"),
+    ("count(1)", "reading_count"),
+]
+
+
+def energy_aggs() -> list[Column]:
+    return _aggs(ENERGY_AGGS)
+
+
 def fact_energy(stg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """M1: one row per equipment-hour."""
-    hourly = valid_only(stg).groupBy("event_hour", "event_date", "equipment_id", "equipment_type").agg(
-        *_aggs([
-            (sq.half_up(sq.exact_sum("power_kw", 2), 2), "total_power_kwh"),
-            (sq.half_up(sq.exact_avg("power_kw", 2), 2), "avg_power_kw"),
-            (sq.half_up("max(power_kw)", 2), "peak_power_kw"),
-            (sq.half_up(sq.exact_avg("temperature_celsius", 2), 2), "avg_temperature_c"),
-            (sq.half_up("max(temperature_celsius)", 2), "max_temperature_c"),
-            (sq.half_up(sq.exact_avg("vibration_mm_s", 4), 4), "avg_vibration"),
-            (sq.half_up("max(vibration_mm_s)", 4), "max_vibration"),
-            (sq.half_up(sq.exact_avg("health_score", 2), 2), "avg_health_score"),
-            (sq.half_up("min(health_score)", 2), "min_health_score"),
-            ("CAST(sum(is_anomaly) AS BIGINT)", "anomaly_count"),
-            ("count(1)", "reading_count"),
-        ]))
+    hourly = valid_only(stg).groupBy(*ENERGY_KEYS).agg(*energy_aggs())
     return _with_key(hourly, "fact_id", "event_hour", "equipment_id")
 
 
@@ -90,15 +98,16 @@ def anomaly_rate(anomalies: Column, readings: Column) -> Column:
     return half_up(anomalies * F.lit(100.0) / nullif(readings, 0), 2)
 
 
-def alert_maintenance(stg: DataFrame, p: Params = DEFAULT, daily: DataFrame | None = None) -> DataFrame:
-    """M2: one row per equipment-day with risk level and action."""
+def alert_maintenance(stg: DataFrame, p: Params = DEFAULT, daily: DataFrame | None = None,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """M2: one row per equipment-day with risk level and action. ``keep``: columns of ``daily`` to pass on."""
     d = daily if daily is not None else daily_equipment(stg)
     base = d.select(
         "event_date", "equipment_id", "equipment_type", "avg_health_score", "min_health_score",
         F.col("anomaly_count").alias("total_anomalies"),
         F.col("reading_count").alias("total_readings"),
         anomaly_rate(F.col("anomaly_count"), F.col("reading_count")).alias("anomaly_rate_pct"),
-        "max_temperature_c", "max_vibration", "max_power_kw",
+        "max_temperature_c", "max_vibration", "max_power_kw", *keep,
     )
     level, action = rules.risk_columns(F.col("min_health_score"), F.col("anomaly_rate_pct"))
     out = base.select("*", level.alias("risk_level"), action.alias("recommended_action"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import staging
@@ -106,8 +106,8 @@ def _i6(f: Frames):
     src = _batches(f)
     out, ledger = scratch_path(f.spark, "raw"), scratch_path(f.spark, "ledger")
     day = dt.date(2024, 2, 1)
-    ci.load_new(f.spark, src, out, ledger, day, p=f.p)
-    ci.load_new(f.spark, src, out, ledger, day + dt.timedelta(days=1), p=f.p)  # nothing new
+    sp.load_new(f.spark, src, out, ledger, day, p=f.p)
+    sp.load_new(f.spark, src, out, ledger, day + dt.timedelta(days=1), p=f.p)  # nothing new
     return f.spark.read.parquet(out).select(*ci.CSV_FIELDS)
 
 
@@ -122,6 +122,33 @@ def _i7(f: Frames):
     return rep.select(_batch_of().alias("batch"), "rows_parsed", "rows_loaded", "errors_seen", "status")
 
 
+_REPORT = f"""(SELECT batch, count(*) AS n, count(*) FILTER (WHERE {BAD_ROW}) AS bad
+  FROM (SELECT *, {BATCH_SQL} AS batch FROM raw) t GROUP BY batch) r"""
+
+
+@reg("load_totals", lambda o: o.sql(f"""
+SELECT count(*) AS files_processed, CAST(coalesce(sum(CASE WHEN bad = 0 THEN n ELSE 0 END), 0) AS BIGINT) AS rows_loaded,
+  CAST(sum(bad) AS BIGINT) AS errors_seen FROM {_REPORT}""", "raw"))
+def _i7b(f: Frames):
+    # one row per batch: files of a batch that was cut are taken together
+    parsed = ci.read_sensor_csv(f.spark, _batches(f, "bad"), p=f.p, load_ts=LOAD_TS)
+    return ci.load_totals(ci.load_report(parsed.withColumn("source_file", _batch_of()), "SKIP_FILE"))
+
+
+# a day's batch is loaded at noon of the next day; the history covers the 72 hours before an instant
+@reg("load_history", lambda o: o.sql(f"""
+SELECT batch, n AS rows_parsed, n - bad AS rows_loaded, bad AS errors_seen FROM (
+  SELECT *, CAST(strptime(split_part(batch, '_', 4), '%Y%m%d') AS TIMESTAMP) + INTERVAL 12 HOUR AS loaded_at FROM {_REPORT}) h
+WHERE loaded_at > TIMESTAMP '2024-01-20 12:00:00' AND loaded_at <= TIMESTAMP '2024-01-23 12:00:00'""", "raw"))
+def _i7c(f: Frames):
+    parsed = ci.read_sensor_csv(f.spark, _batches(f, "bad"), p=f.p, load_ts=LOAD_TS)
+    batch = parsed.withColumn("source_file", _batch_of())
+    stamp = F.to_timestamp_ntz(F.element_at(F.split("source_file", "_"), 4), F.lit("yyyyMMdd")) + F.expr("INTERVAL 12 HOURS")
+    report = ci.load_report(batch.withColumn("load_timestamp", stamp), "CONTINUE")
+    return ci.load_history(report, "2024-01-23 12:00:00", hours=72).select(
+        F.col("source_file").alias("batch"), "rows_parsed", "rows_loaded", "errors_seen")
+
+
 @reg("load_health_check", lambda o: o.sql(f"""
 SELECT equipment_id, {hu(eavg('h', 2), 2)} AS avg_health, min(h) AS min_health, count(*) AS readings,
   coalesce({hu(eavg('h', 2), 2)} > 30e0, false) AS health_ok
@@ -145,11 +172,11 @@ def _i10(f: Frames):
     return ci.merge_batches(f.spark, _batches(f), scratch_path(f.spark, "merged"), p=f.p)
 
 
-@reg("write_daily_batches", lambda o: o.sql(
-    f"SELECT batch, count(*) AS readings FROM (SELECT {BATCH_SQL} AS batch FROM raw) t GROUP BY batch", "raw"))
+@reg("write_daily_batches", lambda o: o.sql(f"SELECT {BATCH_SQL} AS batch, {FIELDS} FROM raw", "raw"))
 def _i11(f: Frames):
-    parsed = ci.read_sensor_csv(f.spark, _batches(f), p=f.p)
-    return parsed.groupBy(_batch_of().alias("batch")).agg(F.count(F.lit(1)).alias("readings"))
+    cells = ci.stage_cells(f.spark, _batches(f), glob="*batch*.csv")  # by the files' own names
+    parsed = ci.parse_rows(cells, p=f.p)
+    return parsed.select(F.regexp_extract("source_file", r"(batch_\d+_\d+_\d+)_\d+\.csv$", 1).alias("batch"), *ci.CSV_FIELDS)
 
 
 @reg("load_stamp", lambda o: o.sql(f"SELECT \"timestamp\", equipment_id, TIMESTAMP '{LOAD_TS}' AS load_timestamp "
@@ -172,36 +199,56 @@ def _i13(f: Frames):
 
 # ----------------------------------------------------------------- T1-T4
 
-@reg("stream_dedup", lambda o: o.sql(
-    "SELECT event_timestamp AS \"timestamp\", equipment_id, equipment_type FROM stg", "stg"))
+def _deliver(rows: DataFrame, out: str) -> None:
+    """Adds readings to ``out`` as CSV files in which the loads of a reading stand in the order of their load times.
+
+    All loads of a reading that are delivered together share a file: the range is cut by reading.
+    """
+    reading = ["batch", "timestamp", "equipment_id"]
+    txt = fixture.csv_text(rows, keep=("load_timestamp", "event_id"))
+    (txt.repartitionByRange(*reading).sortWithinPartitions(*reading, "_load_timestamp", "_event_id")
+     .select(*ci.CSV_FIELDS, "batch").write.mode("append").option("header", True).partitionBy("batch").csv(out))
+
+
+# the second delivery holds every other event: repeats meet within files and across deliveries, and an
+# older load that is delivered later wins
+@reg("stream_dedup", lambda o: o.sql(f"""
+SELECT {FIELDS} FROM (SELECT *, row_number() OVER (PARTITION BY "timestamp", equipment_id
+  ORDER BY event_id % 2 DESC, load_timestamp DESC, event_id DESC) AS rn FROM raw) t WHERE rn = 1""", "raw"))
 def _t1(f: Frames):
-    src = _batches(f)
-    out, ckpt = scratch_path(f.spark, "stream-dedup"), scratch_path(f.spark, "stream-ckpt")
-    sp.stream_raw(f.spark, f"{src}/*/*.csv", out, ckpt, p=f.p, dedup=True)
-    return f.spark.read.parquet(out).select("timestamp", "equipment_id", "equipment_type")
+    src = scratch_path(f.spark, "deliveries")
+    out, ckpt = scratch_path(f.spark, "stream-latest"), scratch_path(f.spark, "stream-ckpt")
+    for half in (0, 1):
+        _deliver(f.raw.where(F.col("event_id") % 2 == half), src)
+        sp.stream_latest(f.spark, f"{src}/*/*.csv", out, ckpt, p=f.p)
+    return sp.latest_readings(f.spark, out).select(*ci.CSV_FIELDS)
 
 
-@reg("stream_energy", lambda o: o.sql(
-    "SELECT * FROM energy WHERE event_hour + INTERVAL 2 HOUR <= (SELECT max(event_timestamp) FROM valid)",
-    "energy", "valid"))
+# every other day is delivered in a second run, when its hours have been closed
+@reg("stream_energy", lambda o: o.sql("SELECT * FROM energy", "energy"), shared=("stg",))
 def _t2(f: Frames):
     staged = scratch_path(f.spark, "staged")
-    staging.valid_only(f.stg).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(staged)
     out, ckpt = scratch_path(f.spark, "stream-energy"), scratch_path(f.spark, "stream-ckpt")
-    sp.stream_energy(f.spark, staged, out, ckpt, watermark="1 hour")
-    return f.spark.read.parquet(out)
+    for half in (0, 1):
+        (staging.valid_only(f.stg).where(F.dayofyear("event_date") % 2 == half).hint("rebalance", "event_date")
+         .write.mode("append").partitionBy("event_date").parquet(staged))
+        sp.stream_energy(f.spark, staged, out, ckpt, watermark="1 hour")
+    return sp.energy(f.spark, out)
 
 
+# the newest load of every third reading comes in a second delivery and supersedes what was counted
 @reg("stream_alerts", lambda o: o.sql("SELECT * FROM alert", "alert"))
 def _t3(f: Frames):
-    # latest load per reading is resolved before the files are cut: inside one
-    # file all rows share a load time, so the stream cannot order them
-    latest = staging.dedup_latest(f.raw, tie_breakers=[F.col("event_id").desc()])
-    src = _batches(f, "dedup", latest)
+    newest = F.max(F.struct("load_timestamp", "event_id")).over(Window.partitionBy("timestamp", "equipment_id"))
+    late = (F.col("event_id") % 3 == 0) & (F.col("_newest.event_id") == F.col("event_id"))
+    rows = f.raw.withColumn("_newest", newest)
+    src = scratch_path(f.spark, "deliveries")
     raw_out, alerts_out = scratch_path(f.spark, "stream-raw"), scratch_path(f.spark, "stream-alerts")
-    sp.stream_alerts(f.spark, f"{src}/*/*.csv", raw_out, alerts_out, scratch_path(f.spark, "stream-ckpt"),
-                     p=f.p)
-    return f.spark.read.parquet(alerts_out)
+    ckpt = scratch_path(f.spark, "stream-ckpt")
+    for part in (~late, late):
+        _deliver(rows.where(part), src)
+        sp.stream_alerts(f.spark, f"{src}/*/*.csv", raw_out, alerts_out, ckpt, p=f.p)
+    return sp.current_alerts(f.spark, alerts_out)
 
 
 @reg("stream_row_alerts", lambda o: o.sql(f"""

@@ -1,23 +1,25 @@
-"""Sensor CSV ingestion.
+"""Sensor CSV ingestion.
 
 Spark's CSV reader maps columns by position. The reference loads by
 column name, and a file whose header lists the fields in another order
-must still load correctly. So every line is read by the CSV source as
-nine text cells (one parse per line, quotes handled by Spark) together
-with its file path; each file's header row, found by content, gives the
-position of every field, and data rows pick their fields by those
-positions. The only shuffle is the join of data rows to their
-(one-per-file) header row, which AQE broadcasts when the header table is
-small and splits with skew-join when one file is huge.
+must still load correctly. A load therefore parses the CSV once: every line
+is read as nine text cells (quotes handled by Spark) with its file and its
+place in it, and written as Parquet (``stage_cells``). There ``layout`` is NULL
+but for header rows, so one narrow aggregate of two columns finds the files
+whose header is missing or in another order: the odd files. Rows of all other files
+take their fields by position; only the odd files' layouts, a small
+written table, are joined, so no row moves by its file.
 
 Row error policy:
 * CONTINUE  - drop only the bad rows;
-* SKIP_FILE - drop every row of a file that has a bad row (anti-join
-  against the distinct set of bad files).
+* SKIP_FILE - drop every row of a file that has a bad row (the bad files are
+  a small written table as well).
 A row is bad when its file has no header, it is malformed (field count,
 quoting), a
 non-NULL field does not parse as its type, the timestamp or equipment id
 is NULL, or a text field is longer than the raw table allows.
+
+Incremental loads (I6) are ``streaming.jobs.load_new``.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import DEFAULT, Params
+from ..session import scratch_path
 
 # CSV fields in the order the generator writes them, and their types.
 CSV_FIELDS = [
@@ -62,14 +65,57 @@ def with_file_columns(rows: DataFrame) -> DataFrame:
         *CELLS, "_corrupt_record",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
+        F.col("_metadata.file_block_start").alias("block_start"),
     )
 
 
+#: place of a row inside its file, where rows carry it (``with_positions``)
+POSITION = ["block_start", "line"]
+
+
+def with_positions(rows: DataFrame) -> DataFrame:
+    """Adds ``line``: ascending within each block of a file, so (block_start, line) is the order of a file's rows.
+
+    For cell rows as read, before any shuffle.
+    """
+    return rows.withColumn("line", F.monotonically_increasing_id())
+
+
 def read_rows(spark: SparkSession, path, glob: str = "*.csv") -> DataFrame:
     """Cell rows of every matching file (recursively) with file path and time."""
     return with_file_columns(csv_reader(spark.read, glob).csv(path))
 
 
+STANDARD = ",".join(CSV_FIELDS)
+
+
+def with_layout(rows: DataFrame) -> DataFrame:
+    """Adds ``layout``: of a header row the field names in their order, else NULL."""
+    if "layout" in rows.columns:
+        return rows
+    names = F.array(*[F.lower(F.trim(F.col(c))) for c in CELLS])
+    fields = F.array(*[F.lit(f) for f in CSV_FIELDS])
+    is_header = (F.array_sort(names) == F.array_sort(fields)) & F.col("_corrupt_record").isNull()
+    return rows.withColumn("layout", F.when(is_header, F.array_join(names, ",")))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder: computed once, and its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_cells(spark: SparkSession, path, glob: str = "*.csv") -> DataFrame:
+    """The one CSV parse of a load: cell rows as Parquet."""
+    return written(with_layout(read_rows(spark, path, glob)), "csv-cells")
+
+
+def file_layouts(cells: DataFrame) -> DataFrame:
+    """Per file its header's layout (NULL: no header); reads two columns."""
+    return with_layout(cells).groupBy("source_file").agg(F.min("layout").alias("file_layout"))
+
+
 def normalise_nulls(c: Column, tokens=DEFAULT.null_tokens) -> Column:
     """The textual NULL tokens become NULL (before any cast)."""
     return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
@@ -89,23 +135,21 @@ def parse_rows(rows: DataFrame, p: Params = DEFAULT, load_ts=None) -> DataFrame:
     ``load_ts`` stamps every row (I12, batch loads); when None the file's
     modification time is used (stream loads).
     """
-    n = len(CSV_FIELDS)
-    names = F.array(*[F.lower(F.trim(F.col(c))) for c in CELLS])
-    is_header = (F.array_sort(names) == F.array_sort(F.array(*[F.lit(f) for f in CSV_FIELDS]))) & \
-        F.col("_corrupt_record").isNull()
-    headers = (rows.filter(is_header)
-               .select("source_file", *[F.array_position(names, f).cast("int").alias(f"_pos_{f}")
-                                        for f in CSV_FIELDS])
-               .groupBy("source_file").agg(*[F.min(f"_pos_{f}").alias(f"_pos_{f}") for f in CSV_FIELDS]))
-    data = rows.filter(~is_header).join(headers, "source_file", "left")
-
-    cells = F.array(*[F.col(c) for c in CELLS])
-    text = {f: normalise_nulls(F.try_element_at(cells, F.col(f"_pos_{f}")), p.null_tokens) for f in CSV_FIELDS}
+    cells = with_layout(rows)
+    odd = written(file_layouts(cells).where(F.col("file_layout").isNull() | (F.col("file_layout") != STANDARD))
+                  .withColumn("is_odd", F.lit(True)), "csv-odd-files")
+    data = cells.where(F.col("layout").isNull()).join(odd, "source_file", "left")
+
+    listed = F.array(*[F.col(c) for c in CELLS])
+    order = F.split("file_layout", ",")
+    by_name = {f: F.try_element_at(listed, F.array_position(order, f).cast("int")) for f in CSV_FIELDS}
+    text = {f: normalise_nulls(F.when(F.col("is_odd"), by_name[f]).otherwise(F.col(c)), p.null_tokens)
+            for f, c in zip(CSV_FIELDS, CELLS)}
     typed = {f: (text[f] if FIELD_TYPES[f] == "string" else text[f].try_cast(FIELD_TYPES[f]))
              for f in CSV_FIELDS}
     limits = {"equipment_id": p.max_id_len, "equipment_type": p.max_type_len,
               "anomaly_reason": p.max_reason_len}
-    checks = [(F.col(f"_pos_{CSV_FIELDS[0]}").isNull(), "no_header"),
+    checks = [(F.col("is_odd") & F.col("file_layout").isNull(), "no_header"),
               (F.col("_corrupt_record").isNotNull(), "malformed")]
     checks += [(text[f].isNotNull() & typed[f].isNull(), f"unparseable:{f}")
                for f in CSV_FIELDS if FIELD_TYPES[f] != "string"]
@@ -117,10 +161,10 @@ def parse_rows(rows: DataFrame, p: Params = DEFAULT, load_ts=None) -> DataFrame:
     stamp = _load_ts(load_ts)
     if stamp is None:
         stamp = F.col("file_mtime").cast("timestamp_ntz")
+    place = POSITION if "line" in rows.columns else []
     verdict = data.select(*[typed[f].alias(f) for f in CSV_FIELDS], stamp.alias("load_timestamp"),
-                          "source_file", reason.alias("_reason"))
-    assert n == len(CELLS)
-    return verdict.select(*CSV_FIELDS, "load_timestamp", "source_file",
+                          "source_file", *place, reason.alias("_reason"))
+    return verdict.select(*CSV_FIELDS, "load_timestamp", "source_file", *place,
                           (F.col("_reason") != "").alias("is_bad"),
                           F.when(F.col("_reason") != "", F.col("_reason")).alias("bad_reason"))
 
@@ -128,7 +172,7 @@ def parse_rows(rows: DataFrame, p: Params = DEFAULT, load_ts=None) -> DataFrame:
 def read_sensor_csv(spark: SparkSession, path, glob: str = "*.csv", p: Params = DEFAULT,
                     load_ts=None) -> DataFrame:
     """Parsed readings of every matching file (verdict columns included)."""
-    return parse_rows(read_rows(spark, path, glob), p, load_ts)
+    return parse_rows(stage_cells(spark, path, glob), p, load_ts)
 
 
 def apply_load_policy(parsed: DataFrame, policy: str = "CONTINUE") -> tuple[DataFrame, DataFrame]:
@@ -140,21 +184,28 @@ def apply_load_policy(parsed: DataFrame, policy: str = "CONTINUE") -> tuple[Data
         good = parsed.filter(~bad)
         rejected = parsed.filter(bad)
     else:
-        bad_files = parsed.filter(bad).select("source_file").distinct()
+        bad_files = written(parsed.filter(bad).select("source_file").distinct(), "csv-bad-files")
         good = parsed.filter(~bad).join(bad_files, "source_file", "left_anti")
         rejected = (parsed.join(bad_files, "source_file", "left_semi")
                     .withColumn("bad_reason", F.coalesce("bad_reason", F.lit("file_skipped"))))
     return good.drop("is_bad", "bad_reason"), rejected
 
 
-def load_report(parsed: DataFrame, policy: str = "CONTINUE") -> DataFrame:
-    """Per file rows parsed, rows loaded and errors seen, with a status."""
+def load_report(parsed: DataFrame, policy: str = "CONTINUE", files: DataFrame | None = None) -> DataFrame:
+    """Per file rows parsed, rows loaded and errors seen, with a status.
+
+    ``files`` (source_file, loaded_at) adds the files of which no data row was parsed.
+    """
     bad = F.col("is_bad").cast("int")
     per_file = parsed.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("rows_parsed"),
         F.sum(bad).cast("long").alias("errors_seen"),
         F.max("load_timestamp").alias("loaded_at"),
     )
+    if files is not None:
+        none = files.join(per_file, "source_file", "left_anti")
+        per_file = per_file.unionByName(none.select("source_file", F.lit(0).cast("long").alias("rows_parsed"),
+                                                    F.lit(0).cast("long").alias("errors_seen"), "loaded_at"))
     skip = policy == "SKIP_FILE"
     loaded = (F.when(F.col("errors_seen") > 0, F.lit(0).cast("long")).otherwise(F.col("rows_parsed"))
               if skip else F.col("rows_parsed") - F.col("errors_seen"))
@@ -222,46 +273,6 @@ def reload_raw(spark: SparkSession, src: str, out: str, glob: str = "*.csv", p:
     return spark.read.parquet(out)
 
 
-def list_files(spark: SparkSession, src: str, glob: str = "*.csv") -> DataFrame:
-    """Matching files with size and time; file contents are not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(src)
-            .select(F.col("path").alias("source_file"), F.col("modificationTime").alias("file_mtime"),
-                    "length"))
-
-
-def load_new(spark: SparkSession, src: str, out: str, ledger: str, as_of: dt.date,
-             glob: str = "*.csv", p: Params = DEFAULT, policy: str = "CONTINUE") -> DataFrame:
-    """Load only files the ledger has not seen in the last ``ledger_days``.
-
-    The ledger is a parquet table (source_file, load_date, rows_loaded,
-    errors_seen, status). Returns the load report of this run. The list of
-    new file paths (metadata only) goes to the reader; file contents never
-    pass through the driver.
-    """
-    files = list_files(spark, src, glob)
-    try:
-        seen = (spark.read.parquet(ledger)
-                .filter(F.col("load_date") >= F.date_sub(F.lit(as_of), p.ledger_days))
-                .select("source_file"))
-        new = files.join(seen, "source_file", "left_anti")
-    except Exception as e:  # no ledger yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        new = files
-    paths = [r.source_file for r in new.select("source_file").collect()]
-    if not paths:
-        return spark.createDataFrame([], "source_file string, rows_parsed long, rows_loaded long, "
-                                         "errors_seen long, status string, load_date date")
-    parsed = parse_rows(with_file_columns(csv_reader(spark.read, glob, recursive=False).csv(paths)), p,
-                        load_ts=as_of)
-    good, _ = apply_load_policy(parsed, policy)
-    write_raw(good.select(*RAW_COLUMNS), out, "append")
-    report = load_report(parsed, policy).withColumn("load_date", F.lit(as_of))
-    report.write.mode("append").parquet(ledger)
-    return spark.read.parquet(ledger).filter(F.col("load_date") == F.lit(as_of))
-
-
 def merge_batches(spark: SparkSession, src: str, out: str, glob: str = "*.csv",
                   p: Params = DEFAULT) -> DataFrame:
     """Combine all batch files into one parquet dataset."""
@@ -279,7 +290,7 @@ def batch_names(raw: DataFrame) -> Column:
 
 
 def write_daily_batches(raw: DataFrame, out: str) -> None:
-    """One directory of CSV files (with header) per 24 h batch.
+    """CSV files (with header) per 24 h batch, named ``<batch>_<n>.csv`` in a folder per batch.
 
     ``raw`` holds the nine CSV fields (typed or already as text); a ``batch``
     column, when present, names the batch, else it is derived from the day.
@@ -291,3 +302,27 @@ def write_daily_batches(raw: DataFrame, out: str) -> None:
     (named.write.mode("overwrite").option("header", True)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .partitionBy("batch").csv(out))
+    name_batches(raw.sparkSession, out)
+
+
+def name_batches(spark: SparkSession, out: str) -> int:
+    """Names the part files of each ``batch=<name>`` folder ``<name>_<n>.csv``; returns how many got a name.
+
+    Names only, no contents; files that have their name already are left, so a
+    run that was cut short is finished by the next.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(out)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    moved = 0
+    for folder in fs.listStatus(top):
+        name = folder.getPath().getName()
+        if not name.startswith("batch="):
+            continue
+        batch = name.removeprefix("batch=")
+        files = sorted(x.getPath().getName() for x in fs.listStatus(folder.getPath()))
+        taken = sum(f.startswith(f"{batch}_") for f in files)
+        for n, f in enumerate((f for f in files if f.startswith("part-")), taken + 1):
+            fs.rename(hadoop(folder.getPath(), f), hadoop(folder.getPath(), f"{batch}_{n:03d}.csv"))
+            moved += 1
+    return moved

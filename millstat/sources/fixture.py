@@ -97,11 +97,12 @@ LONG_ID_EVERY = (991, 13)           # event_id % 991 == 13: 51-character equipme
 
 
 def csv_text(raw: DataFrame, rotate_null_tokens: bool = False, bad_rows: bool = False,
-             tokens=("", "NULL", "null", "NaN", "nan")) -> DataFrame:
+             tokens=("", "NULL", "null", "NaN", "nan"), keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw readings rendered as the nine CSV text fields plus their batch name.
 
     ``rotate_null_tokens`` writes each NULL as one of the textual NULL
     tokens (chosen by event id); ``bad_rows`` corrupts a fixed subset of rows.
+    ``keep`` adds columns of ``raw`` as ``_<name>``.
     """
     from .csv_ingest import CSV_FIELDS, batch_names
 
@@ -117,7 +118,8 @@ def csv_text(raw: DataFrame, rotate_null_tokens: bool = False, bad_rows: bool =
     if rotate_null_tokens:
         token = F.element_at(F.array(*[F.lit(t) for t in tokens]), (F.pmod(eid, F.lit(len(tokens))) + 1).cast("int"))
         text = {f: F.coalesce(c, token) for f, c in text.items()}
-    return raw.select(*[c.alias(f) for f, c in text.items()], batch_names(raw).alias("batch"))
+    return raw.select(*[c.alias(f) for f, c in text.items()], batch_names(raw).alias("batch"),
+                      *[F.col(c).alias(f"_{c}") for c in keep])
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 
 from millstat.sources import csv_ingest as ci
+from millstat.streaming import jobs as sp
 
 HEADER = ",".join(ci.CSV_FIELDS)
 
@@ -104,12 +105,12 @@ def test_incremental_load_skips_seen_files(spark, tmp_dir):
     os.makedirs(src)
     write(src, "batch_001.csv", [HEADER, row()])
     out, ledger = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ledger")
-    ci.load_new(spark, src, out, ledger, dt.date(2024, 2, 1))
+    sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 1))
     write(src, "batch_002.csv", [HEADER, row(ts="2024-01-02 10:00:00")])
-    report = ci.load_new(spark, src, out, ledger, dt.date(2024, 2, 2))
+    report = sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 2))
     assert report.count() == 1
     assert spark.read.parquet(out).count() == 2
-    ci.load_new(spark, src, out, ledger, dt.date(2024, 2, 3))
+    sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 3))
     assert spark.read.parquet(out).count() == 2
 
 
@@ -129,3 +130,106 @@ def test_load_totals_and_history(spark, tmp_dir):
     assert (tot.files_processed, tot.rows_loaded, tot.errors_seen) == (2, 2, 1)
     assert ci.load_history(report, "2024-02-01 12:00:00", hours=24).count() == 2
     assert ci.load_history(report, "2024-02-01 12:00:00", hours=3).count() == 0
+
+
+# ----------------------------------------------------------------- one parse, ledger
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_final_plans_have_no_csv_parse_and_no_exchange(spark, tmp_dir):
+    write(tmp_dir, "batch_001.csv", [HEADER, row(), row(ts="bad")])
+    fields = list(reversed(ci.CSV_FIELDS))
+    values = dict(zip(ci.CSV_FIELDS, row(ts="2024-01-02 10:00:00").split(",")))
+    write(tmp_dir, "batch_002.csv", [",".join(fields), ",".join(values[f] for f in fields)])
+    parsed = ci.read_sensor_csv(spark, tmp_dir, load_ts="2024-02-01 00:00:00")
+    good, rejected = ci.apply_load_policy(parsed, "SKIP_FILE")
+    assert good.count() == 1 and rejected.count() == 2
+    for df in (parsed, *ci.apply_load_policy(parsed, "CONTINUE"), good, rejected):
+        plan = _plan(df)
+        assert "csv" not in plan.lower().replace("csv-", "") and "Exchange hashpartitioning" not in plan
+        assert "SortMergeJoin" not in plan
+
+
+def test_layouts_of_all_kinds_in_one_load(spark, tmp_dir):
+    values = dict(zip(ci.CSV_FIELDS, row().split(",")))
+    for n, shift in enumerate((0, 3, 5)):
+        fields = ci.CSV_FIELDS[shift:] + ci.CSV_FIELDS[:shift]
+        write(tmp_dir, f"batch_{n}.csv", [",".join(x.upper() for x in fields), ",".join(values[f] for f in fields)])
+    write(tmp_dir, "batch_8.csv", [row()])
+    write(tmp_dir, "batch_9.csv", [HEADER])
+    parsed = ci.read_sensor_csv(spark, tmp_dir)
+    good = ci.apply_load_policy(parsed)[0]
+    assert {tuple(r)[1:8] for r in good.select(*ci.CSV_FIELDS).collect()} == {("Motor_001", "Motor", 90.5, 45.0, 2.5, 8.5, 0)}
+    assert good.count() == 3
+    assert [r.bad_reason.split(";")[0] for r in parsed.filter("is_bad").collect()] == ["no_header"]
+    cells = ci.stage_cells(spark, tmp_dir)
+    layouts = {r.source_file[-5]: r.file_layout for r in ci.file_layouts(cells).collect()}
+    assert layouts["0"] == layouts["9"] == ci.STANDARD and layouts["8"] is None and layouts["1"] not in (None, ci.STANDARD)
+
+
+def test_batches_get_their_names(spark, tmp_dir):
+    rows = [(f"2024-01-0{d} 10:0{m}:00", "U1", "Motor", 90.0, 1.0, 1.0, 1.0, 0, None) for d in (1, 2) for m in range(3)]
+    raw = spark.createDataFrame(rows, ", ".join(f"{f} string" if ci.FIELD_TYPES[f] in ("string", "timestamp_ntz") else
+                                                f"{f} {ci.FIELD_TYPES[f]}" for f in ci.CSV_FIELDS))
+    out = os.path.join(tmp_dir, "out")
+    ci.write_daily_batches(raw.withColumn("timestamp", raw["timestamp"].cast("timestamp_ntz")), out)
+    names = sorted(f for _, _, fs in os.walk(out) for f in fs if f.endswith(".csv"))
+    assert names == ["batch_001_20240101_20240102_001.csv", "batch_002_20240102_20240103_001.csv"]
+    assert ci.name_batches(spark, out) == 0
+    assert load(spark, out, glob="*batch*.csv")[0].count() == 6
+
+
+def test_ledger_enters_files_without_rows_and_bad_files(spark, tmp_dir):
+    import datetime as dt
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(os.path.join(src, "sub"))
+    write(src, "batch_001.csv", [HEADER])
+    write(os.path.join(src, "sub"), "batch_002.csv", [HEADER, row(), row(ts="bad")])
+    out, ledger = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ledger")
+    assert sp.load_entries(spark, ledger).count() == 0
+    report = sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 1), policy="SKIP_FILE")
+    assert {(r.source_file[-13:], r.rows_parsed, r.rows_loaded, r.status) for r in report.collect()} == {
+        ("batch_001.csv", 0, 0, "LOADED"), ("batch_002.csv", 2, 0, "LOAD_FAILED")}
+    assert sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 2)).count() == 0
+    write(src, "batch_003.csv", [HEADER, row()])
+    report = sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 3))
+    assert [(r.rows_loaded, str(r.load_date)) for r in report.collect()] == [(1, "2024-02-03")]
+    assert spark.read.parquet(out).count() == 1 and sp.load_entries(spark, ledger).count() == 3
+
+
+def test_a_load_that_dies_before_its_entry_adds_nothing_twice(spark, tmp_dir, monkeypatch):
+    import datetime as dt
+
+    import pytest
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    write(src, "batch_001.csv", [HEADER, row(), row(ts="2024-01-02 10:00:00")])
+    out, ledger = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ledger")
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ci, "load_report", dies)
+    with pytest.raises(Exception, match="lost"):
+        sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 1))
+    monkeypatch.undo()
+    assert sp.load_entries(spark, ledger).count() == 0
+    write(src, "batch_002.csv", [HEADER, row(ts="2024-01-03 10:00:00")])
+    report = sp.load_new(spark, src, out, ledger, dt.date(2024, 2, 1))
+    assert sum(r.rows_loaded for r in report.collect()) == 3
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_report_with_files_of_no_rows(spark, tmp_dir):
+    write(tmp_dir, "batch_001.csv", [HEADER])
+    write(tmp_dir, "batch_002.csv", [HEADER, row()])
+    cells = ci.stage_cells(spark, tmp_dir)
+    from pyspark.sql import functions as F
+
+    files = cells.select("source_file").distinct().withColumn("loaded_at", F.lit("2024-02-01").cast("timestamp_ntz"))
+    report = ci.load_report(ci.parse_rows(cells), files=files)
+    assert sorted(r.rows_parsed for r in report.collect()) == [0, 1]
