@@ -7,9 +7,9 @@ itself. Both encode the text in full. Then:
 * anchors: byte offsets where a space-marked token of A and one of B begin,
   verified by the ends of the tokens before them, cut a text into windows of
   token ids;
-* a window's alignment depends on its ids alone, so each worker keeps the
-  alignments by id tuples, and the new windows of a block of texts are aligned
-  in one pass;
+* a window's alignment depends on its ids alone: the windows of a block of texts
+  are aligned once per id tuples, in one pass, and a worker keeps the alignments by the
+  words that they spell, one to one with the ids of A;
 * groups: the offsets where tokens of A and of B both end cut the tokens into
   groups; the two tokens that end there are a link.
 
@@ -45,7 +45,7 @@ from .words import chunks
 
 PIECE_BPE = "piece_bpe_32k.model"
 SPACE = "▁"
-KEPT = 100_000  #: parts, and windows, that a worker keeps in each of two generations
+KEPT = 250_000  #: parts that a worker keeps in each of two generations
 LONG = 64       #: longer ones are not kept
 WIDTH = 1 << 15  #: a pair of ids as one number: a * WIDTH + b, below 2^31
 
@@ -127,8 +127,7 @@ class Aligner:
     def __init__(self):
         (self.a, self.of_a), self.b = _byte_model(), PieceModel()
         self.of_b = self.b.entries()
-        self.parts = Memory()    # part -> n_a, n_b, groups, links; None if its tokens do not spell it
-        self.windows = Memory()  # window (ids of A, ids of B) -> groups as text, packed links
+        self.parts = Memory()  # part -> n_a, n_b, groups, links of its windows; None if its tokens do not spell it
         # an id with what follows it: in A "," or, last of its group, "|"; in B "," or ";" or, last of its window, a line end
         self.text_a = [x for i in range(len(self.of_a.values)) for x in (f"{i},", f"{i}|")]
         self.text_b = [x for i in range(len(self.of_b.values)) for x in (f"{i},", f"{i};", f"{i}\n")]
@@ -161,8 +160,8 @@ class Aligner:
             yield part, keys[first:end]
             first = end
 
-    def _align(self, keys: list[tuple[bytes, bytes]]) -> None:
-        """Groups and links of windows not met lately, all in one pass over their tokens."""
+    def _align(self, keys: list[tuple[bytes, bytes]]) -> dict[tuple[bytes, bytes], tuple[str, bytes]]:
+        """Groups and links by window (ids of A, ids of B), all in one pass over their tokens."""
         ids_a, ids_b = (np.frombuffer(b"".join([k[side] for k in keys]), np.uint32) for side in (0, 1))
         ends_a, ends_b = np.cumsum(self.of_a.lengths[ids_a]), np.cumsum(self.of_b.lengths[ids_b])
         _, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)  # last tokens of the groups
@@ -178,7 +177,7 @@ class Aligner:
         code[np.arange(len(ids_b)) + (i + 1)[of_b]] = len(self.text_a) + ids_b.astype(np.int64) * 3 + follows_b
         groups = "".join(map(self.write, code.tolist())).split("\n")
         links = ids_a[i] * np.uint32(WIDTH) + ids_b[j]
-        self.windows.new.update(zip(keys, zip(groups, _slices(links, np.searchsorted(j, ends_window) + 1))))
+        return dict(zip(keys, zip(groups, _slices(links, np.searchsorted(j, ends_window) + 1))))
 
     def texts(self, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
         """n_a, n_b, groups, packed links of whole texts."""
@@ -188,10 +187,8 @@ class Aligner:
         rows = self.parts.new
         if unknown:
             cut = list(self._encode(unknown))
-            unmet = self.windows.recall(dict.fromkeys(chain.from_iterable(k for _, k in cut if k)))
-            if unmet:
-                self._align(unmet)
-            windows = self.windows.new
+            unmet = list(dict.fromkeys(chain.from_iterable(k for _, k in cut if k)))
+            windows = self._align(unmet) if unmet else {}
             for part, keys in cut:
                 if keys is None:
                     rows[part] = None
@@ -201,9 +198,6 @@ class Aligner:
                     groups, links = zip(*[windows[k] for k in keys])
                     n_a, n_b = (sum(map(len, side)) // 4 for side in zip(*keys))
                     rows[part] = (n_a, n_b, ";".join(groups), b"".join(links))
-            for key in unmet:
-                if len(key[0]) > 4 * LONG:
-                    del windows[key]
         out = []
         for parts in split:
             found = [rows[p] for p in parts]
