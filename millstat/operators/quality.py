@@ -100,24 +100,50 @@ def dq_energy_rules(energy: DataFrame, p: Params = DEFAULT) -> DataFrame:
                                   "energy:positive_energy": "warn"})
 
 
-def missing_hours(energy: DataFrame) -> DataFrame:
-    """Equipment-hours between a unit's first and last hour with no mart row.
+PIECE = 24 * 31  #: hours that one step of the expansion makes of a gap at most
+
 
-    A gap scan: each unit's hours in order, the next hour by ``lead``, and
-    only the gaps expanded into their missing hours. One shuffle by unit;
-    a unit holds at most one row per hour (and type), so the window is
-    bounded by the time span, not by the number of readings.
+def missing_ranges(energy: DataFrame, since=None, until=None) -> DataFrame:
+    """D7 as ranges: per gap between a unit's hours its first and last missing hour and their number.
+
+    A gap scan: each unit's hours in order, the next hour by ``lead``. One shuffle
+    by unit; a unit holds at most one row per hour (and type), so the window is
+    bounded by the time span, not by the number of readings. ``since`` and ``until``
+    bound the plausible hours (both included): rows outside them, of a broken clock say, open no gap.
     """
+    hours = energy.select("equipment_id", "event_hour")
+    if since is not None:
+        hours = hours.where(F.col("event_hour") >= F.lit(str(since)).cast("timestamp_ntz"))
+    if until is not None:
+        hours = hours.where(F.col("event_hour") <= F.lit(str(until)).cast("timestamp_ntz"))
     w = Window.partitionBy("equipment_id").orderBy("event_hour")
+    h, nxt = F.col("event_hour"), F.col("_next")
+    # by days and hours of the day: no session zone takes part
+    steps = F.datediff(F.to_date(nxt), F.to_date(h)).cast("long") * 24 + F.hour(nxt) - F.hour(h)
     one_hour = F.expr("INTERVAL 1 HOUR")
-    gaps = (energy.select("equipment_id", "event_hour", F.lead("event_hour").over(w).alias("_next"))
-            .filter(F.col("_next") > F.col("event_hour") + one_hour))
-    return gaps.select("equipment_id", F.explode(
-        F.sequence(F.col("event_hour") + one_hour, F.col("_next") - one_hour, one_hour)).alias("event_hour"))
+    return (hours.withColumn("_next", F.lead("event_hour").over(w)).withColumn("_steps", steps).where("_steps > 1")
+            .select("equipment_id", (h + one_hour).alias("first_hour"), (nxt - one_hour).alias("last_hour"),
+                    (F.col("_steps") - 1).alias("hours")))
+
+
+def missing_hours(energy: DataFrame, since=None, until=None) -> DataFrame:
+    """Equipment-hours between a unit's first and last hour with no mart row.
+
+    The ranges cut into pieces of at most ``PIECE`` hours, then expanded piece by piece:
+    a gap of a century makes many rows, but never one large array.
+    """
+    pieces = missing_ranges(energy, since, until).select(
+        "equipment_id", "first_hour", "hours",
+        F.explode(F.sequence(F.lit(0), ((F.col("hours") - 1) / PIECE).cast("int"))).alias("_piece"))
+    left = F.col("hours").cast("int") - F.col("_piece") * PIECE
+    steps = pieces.select("equipment_id", "first_hour", "_piece", F.explode(
+        F.sequence(F.lit(0), F.least(left, F.lit(PIECE)) - 1)).alias("_step"))
+    return steps.select("equipment_id", (F.col("first_hour") + F.make_dt_interval(
+        hours=F.col("_piece") * PIECE + F.col("_step"))).alias("event_hour"))
 
 
 def dq_missing_hours(energy: DataFrame) -> DataFrame:
-    return _rows(missing_hours(energy), {"completeness:energy.hours": F.count(F.lit(1))},
+    return _rows(missing_ranges(energy), {"completeness:energy.hours": F.coalesce(F.sum("hours"), F.lit(0))},
                  {"completeness:energy.hours": "warn"})
 
 

@@ -186,15 +186,33 @@ def _i12(f: Frames):
     return good.select("timestamp", "equipment_id", "load_timestamp")
 
 
-@reg("build_marts", lambda o: o.sql(
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}"
-                       for n, t in [("stg", "stg"), ("energy", "energy"), ("alert", "alert"), ("oee", "oee"),
-                                    ("forecast", "forecast")]),
-    "stg", "energy", "alert", "oee", "forecast"))
+# per table a count and exact sums of its measures, in hundredths; staged readings also by their newest load
+BUILD_SUMS = {
+    "stg": ("temperature_celsius", "power_kw", "health_score"),
+    "energy": ("total_power_kwh", "max_temperature_c", "reading_count"),
+    "alert": ("avg_health_score", "anomaly_rate_pct", "total_readings"),
+    "oee": ("availability_pct", "performance_pct", "oee_score"),
+    "forecast": ("current_health_score", "current_min_health", "reading_count"),
+}
+
+
+@reg("build_marts", lambda o: o.sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT {key}) AS distinct_keys, "
+    + ", ".join(f"CAST(sum(CAST(round({c} * 100e0) AS BIGINT)) AS BIGINT) AS sum_{n}" for n, c in enumerate(cols, 1)) + f" FROM {t}"
+    for (t, cols), key in zip(BUILD_SUMS.items(), ("sensor_id", "fact_id", "alert_id", "oee_id", "forecast_id"))),
+    *BUILD_SUMS))
 def _i13(f: Frames):
     paths = build.build_marts(f.spark, f.raw, scratch_path(f.spark, "warehouse"), f.p)
-    return build.row_counts({n: f.spark.read.parquet(paths[n])
-                             for n in ("stg", "energy", "alert", "oee", "forecast")})
+    parts = []
+    for (t, cols), key in zip(BUILD_SUMS.items(), ("sensor_id", "fact_id", "alert_id", "oee_id", "forecast_id")):
+        parts.append(f.spark.read.parquet(paths[t]).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("distinct_keys"),
+            *[F.sum(F.round(F.col(c) * 100.0).cast("long")).alias(f"sum_{n}") for n, c in enumerate(cols, 1)])
+            .select(F.lit(t).alias("table_name"), "*"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 # ----------------------------------------------------------------- T1-T4

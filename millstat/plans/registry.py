@@ -1010,5 +1010,15 @@ def _d7(f: Frames):
     return quality.missing_hours(f.energy)
 
 
+@reg("missing_ranges", lambda o: o.sql("""
+SELECT equipment_id, event_hour + INTERVAL 1 HOUR AS first_hour, nxt - INTERVAL 1 HOUR AS last_hour,
+  date_diff('hour', event_hour, nxt) - 1 AS hours
+FROM (SELECT *, lead(event_hour) OVER (PARTITION BY equipment_id ORDER BY event_hour) AS nxt
+  FROM (SELECT DISTINCT equipment_id, event_hour FROM energy) d) g
+WHERE nxt > event_hour + INTERVAL 1 HOUR""", "energy"))
+def _d7b(f: Frames):
+    return quality.missing_ranges(f.energy)
+
+
 # ingestion, build and streaming keys register themselves on import
 from . import io_registry  # noqa: E402,F401

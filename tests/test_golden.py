@@ -225,3 +225,38 @@ def test_health_band_edges(spark):
             (30.0, "poor_equipment_condition"), (29.99, "critical_equipment_failure")]
     df = spark.createDataFrame([(h,) for h, _ in rows], "h double")
     assert [r[0] for r in df.select(rules.health_band(F.col("h"))).collect()] == [r for _, r in rows]
+
+
+# ----------------------------------------------------------------- D7 gaps
+
+def _hours(spark, *rows):
+    import datetime as dt
+
+    return spark.createDataFrame([(u, dt.datetime(*h)) for u, h in rows], "equipment_id string, event_hour timestamp_ntz")
+
+
+def test_gap_of_a_century_is_a_range_and_expands_in_pieces(spark):
+    from millstat.operators import quality
+
+    energy = _hours(spark, ("A", (1900, 1, 1, 0)), ("A", (2024, 1, 1, 0)), ("A", (2024, 1, 1, 3)), ("B", (2024, 1, 1, 0)))
+    ranges = {(str(r.first_hour), r.hours) for r in quality.missing_ranges(energy).collect()}
+    assert ranges == {("1900-01-01 01:00:00", 1_086_959), ("2024-01-01 01:00:00", 2)}
+    assert quality.missing_hours(energy).count() == 1_086_961
+    assert quality.missing_hours(energy).distinct().count() == 1_086_961
+    near = quality.missing_hours(energy, since="2020-01-01", until="2025-01-01")
+    assert sorted(str(r.event_hour) for r in near.collect()) == ["2024-01-01 01:00:00", "2024-01-01 02:00:00"]
+    assert quality.missing_ranges(energy, until="2023-01-01").count() == 0
+    assert quality.dq_missing_hours(energy).first()["failures"] == 1_086_961
+
+
+def test_gaps_at_the_edge_of_a_piece(spark):
+    import datetime as dt
+
+    from millstat.operators import quality
+
+    start = dt.datetime(2024, 1, 1)
+    for n in (1, quality.PIECE - 1, quality.PIECE, quality.PIECE + 1, 2 * quality.PIECE):
+        end = start + dt.timedelta(hours=n + 1)
+        energy = spark.createDataFrame([("A", start), ("A", end)], "equipment_id string, event_hour timestamp_ntz")
+        got = sorted(r.event_hour for r in quality.missing_hours(energy).collect())
+        assert got == [start + dt.timedelta(hours=i) for i in range(1, n + 1)]
