@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, fold, labels
+from .shared import documents, fold, labels, stored
 from .words import WordTable, char_ngrams, chunks
 
 SIZES = (3, 4, 5)
@@ -146,27 +146,36 @@ def train(texts: list, y: np.ndarray, taken: tuple[float, float] = (1.0, 1.0), e
     return Model((emb @ diff).astype(np.float64) * known, float(bias[1] - bias[0] + PRIOR_WEIGHT * prior))
 
 
-def labelled(docs: DataFrame, marks: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
-    """(doc_id, text, y) of documents with a label outside the held-out fold."""
-    y = (marks.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
-         .agg((F.max(label) > 0).cast("int").alias("y")))
-    rows = docs.where(F.col("doc_id").isNotNull() & (fold("doc_id", modulus) != held))
-    return rows.select("doc_id", F.col("text").cast("string").alias("text")).join(y, "doc_id")
+def labelled(docs: DataFrame, y: DataFrame, per_class: int) -> tuple[DataFrame, tuple[float, float]]:
+    """(doc_id, text, y) of about ``per_class`` labelled documents of each class (a share by hash), and the shares taken.
 
-
-def bounded_sample(rows: DataFrame, per_class: int) -> tuple[list, np.ndarray, tuple[float, float]]:
-    """About ``per_class`` texts of each class (a share by hash), their labels and the shares taken."""
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ``y``: (doc_id, y). The draw reads labels only and is written, so that the few drawn ids
+    go to the documents and no text is shuffled.
+    """
+    counts = {r["y"]: r["n"] for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     taken = tuple(min(1.0, per_class / max(counts.get(k, 0), 1)) for k in (0, 1))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     limit = F.when(F.col("y") == 1, int(taken[1] * (1 << 20))).otherwise(int(taken[0] * (1 << 20)))
-    got = rows.where(draw < limit).select("doc_id", "text", "y").toPandas().sort_values("doc_id")
+    drawn = stored(y.where(draw < limit).coalesce(1), "label-draw")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(drawn, "doc_id"), taken
+
+
+def marked(marks: DataFrame) -> DataFrame:
+    """(doc_id, y) of toxicity labels outside the held-out fold."""
+    own = marks.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0))
+    return own.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+
+
+def bounded_sample(docs: DataFrame, y: DataFrame, per_class: int) -> tuple[list, np.ndarray, tuple[float, float]]:
+    """Texts, labels and shares of ``labelled``."""
+    rows, taken = labelled(docs, y, per_class)
+    got = rows.select("doc_id", "text", "y").toPandas().sort_values(["doc_id", "text"], kind="stable")
     return got["text"].tolist(), got["y"].to_numpy(np.int64), taken
 
 
-def learn(rows: DataFrame, per_class: int = MAX_PER_CLASS) -> Model:
-    texts, y, taken = bounded_sample(rows, per_class)
-    return train(texts, y, taken)
+def learn(docs: DataFrame, y: DataFrame, per_class: int = MAX_PER_CLASS) -> Model:
+    """Model from documents and their labels (doc_id, y)."""
+    return train(*bounded_sample(docs, y, per_class))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -187,6 +196,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text; labels of the held-out fold are not read."""
     docs = documents(spark, sf_dir)
-    model = learn(labelled(docs, labels(spark, sf_dir), "toxic", 5, 0))
+    model = learn(docs, marked(labels(spark, sf_dir)))
     return score(docs, model).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
                                      "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -226,3 +226,21 @@ def test_one_part_that_its_tokens_do_not_spell(monkeypatch):
     ids = lossy.b.ids
     monkeypatch.setattr(lossy.b, "ids", lambda parts: [i[:-1] if "q" in p else i for p, i in zip(parts, ids(parts))])
     assert lossy.texts(["one two", "a quiet one", "three four"]) == [want[0], (0, 0, "", b""), want[1]]
+
+
+# ----------------------------------------------------------------- labelled samples
+
+def test_samples_draw_on_labels_and_move_no_text(spark):
+    from millstat.llm import quality, shared, toxicity
+
+    docs, marks = shared.documents(spark, SF), shared.labels(spark, SF)
+    for own, held, modulus in ((toxicity, 0, 5), (quality, 2, 4)):
+        y = own.marked(marks)
+        rows, taken = toxicity.labelled(docs, y, 20)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        ids = [r["doc_id"] for r in rows.collect()]
+        assert 0 < len(ids) < y.count() and all(0 < t <= 1 for t in taken)
+        assert all(zlib.crc32(str(i).encode()) % modulus != held for i in ids)
+        everything, shares = toxicity.labelled(docs, y, 10 ** 6)
+        assert shares == (1.0, 1.0) and everything.count() == y.join(docs, "doc_id").count()
