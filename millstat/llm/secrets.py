@@ -34,7 +34,7 @@ MASK = "[SECRET]"
 _NAME = r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key|private_?key|auth|credential)"
 _ASSIGN = _NAME + r"[\"']?\s?[:=]\s?[\"']?"
 CANDIDATE = (rf"{_ASSIGN}[^\s\"'<>,;]{{6,}}"
-             r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,64}[0-9])[A-Za-z0-9_+/-]{8,}={0,2}")
+             r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{8,}={0,2}")
 
 #: fixed values: words that cover parts of identifiers, paths and placeholders
 DICTIONARY = ("password secret token key user name test example sample demo dummy change your here value default none null true "
@@ -78,7 +78,7 @@ def features(value: Column, before: Column, after: Column, path: Column) -> list
 
 def labelled_findings(spark: SparkSession, rows: int = LABELLED_ROWS) -> DataFrame:
     """(value, before, after, path, label): findings with their verdicts, a fixed function of ``rows``."""
-    ids = spark.range(rows)
+    ids = spark.range(0, rows, 1, 1)
     text = lambda salt: F.concat(F.lit(salt), F.col("id").cast("string"))
     draw = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     pick = lambda salt, options: F.element_at(F.array(*map(F.lit, options)), draw(salt, len(options)) + 1)
@@ -89,11 +89,14 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED_ROWS) -> DataFra
                          "passwd=", "access_key = \""])
     prose = pick("prose", ["of the ", "see ", "and then ", "the. ", "a ", "we, ", "for ", "mit der ", "dans le ", "de la ", "und ", "| "])
     word = pick("word", DICTIONARY)
+    # a chosen password: letters that are no dictionary word
+    made = F.substr(F.lower(F.regexp_replace(base, "[^A-Za-z]", "")), F.lit(1), draw("m", 5) + 4)
     kinds = [  # value, before, label
         (F.substring(hexes, 1, 40), name, 1), (F.substr(hexes, F.lit(1), short), name, 1),
         (F.substr(base, F.lit(1), short + 8), name, 1), (F.concat(F.lit("AKIA"), F.upper(F.substring(base, 1, 16))), F.when(draw("p", 2) == 0, name).otherwise(prose), 1),
         (F.concat(pick("pre", ["ghp_", "sk_live_", "xoxb-", "glpat-"]), F.substring(base, 1, 36)), F.when(draw("p", 2) == 0, name).otherwise(prose), 1),
         (F.substring(base, 1, 40), name, 1),
+        (F.concat(made, draw("d", 99).cast("string"), made), name, 1), (F.concat(made, draw("d", 99).cast("string"), F.lower(made), F.lit("7")), name, 1),
         (F.substring(hexes, 1, 40), pick("o", ["commit ", "sha1 ", "checksum: ", "hash ", "digest=", "md5: "]), 0),
         (F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4), F.substring(hexes, 17, 4), F.substring(hexes, 21, 12)),
          F.when(draw("p", 2) == 0, F.lit("id: ")).otherwise(prose), 0),
@@ -113,10 +116,14 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED_ROWS) -> DataFra
 
 
 def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> list[str]:
-    """Random forest on labelled findings: each tree's rules as text."""
+    """Random forest on labelled findings: each tree's rules as text.
+
+    ``labelled`` is a bounded table (``LABELLED_ROWS`` here). Its rows are one partition, as
+    the trees' samples are drawn per partition: equal rows give equal trees on any number of cores.
+    """
     rows = labelled.select(*features(*[F.coalesce(F.col(c), F.lit("")) for c in ("value", "before", "after", "path")]),
                            F.col("label").cast("double").alias("label"))
-    rows = stored(rows, "secret-labels")
+    rows = stored(rows.coalesce(1), "secret-labels").coalesce(1)
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(assembled)
     return [tree.toDebugString for tree in model.trees]
@@ -143,25 +150,40 @@ def vote(rules: str, of: Column) -> Column:
     return node()
 
 
+def _running(sizes: Column) -> Column:
+    """Running sums of an array: each step adds the sum that ends 1, 2, 4, ... places before."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(sizes), F.lit(1)))).cast("int"))
+
+    def add(sums: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(sums, lambda x, i: x + F.when(i >= back, F.get(sums, i - back)).otherwise(0))
+
+    return F.aggregate(steps, sizes, add)
+
+
 def scan(docs: DataFrame, trees: list[str], text: str = "text", path: str = "source") -> DataFrame:
-    """Adds ``findings``: array of (start, length, value, score) of every candidate of the whole text."""
+    """Adds ``findings``: array of (start, length, value, score) of every candidate of the whole text.
+
+    Each step is a ``transform`` over the array of the step before, and its function reads
+    nothing but its own element: the work grows with the candidates of a text, not with their square.
+    """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     place = F.coalesce(F.col(path).cast("string"), F.lit(""))
-    lit = F.lit(CANDIDATE)
-    found = docs.withColumn("_hits", F.when(body.rlike(CANDIDATE), F.regexp_extract_all(body, lit, F.lit(0))))
+    found = docs.withColumn("_hits", F.when(body.rlike(CANDIDATE), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0))))
     found = found.withColumn("_gaps", F.when(F.col("_hits").isNotNull(), F.split(body, CANDIDATE, -1)))
-    found = found.withColumn("_sizes", F.zip_with(F.transform("_gaps", F.length), F.transform("_hits", F.length),
-                                                  lambda g, h: g + F.coalesce(h, F.lit(0))))
+    hits = F.size("_hits")
+    sizes = F.zip_with(F.slice("_gaps", F.lit(1), hits), "_hits", lambda g, h: F.length(g) + F.length(h))
+    parts = F.arrays_zip(F.col("_hits").alias("hit"), F.slice("_gaps", F.lit(1), hits).alias("gap"),
+                         F.slice("_gaps", F.lit(2), hits).alias("next"), _running(sizes).alias("end"))
 
-    def describe(hit: Column, i: Column) -> Column:
-        value = F.regexp_replace(hit, "^" + _ASSIGN, "")
-        before = F.concat(F.right(F.element_at("_gaps", i + 1), F.lit(60)), F.substr(hit, F.lit(1), F.length(hit) - F.length(value)))
-        after = F.left(F.element_at("_gaps", i + 2), F.lit(20))
-        end = F.aggregate(F.slice("_sizes", F.lit(1), i + 1), F.lit(0), lambda x, y: x + y)
-        return F.struct((end - F.length(value)).alias("start"), F.length(value).alias("length"), value.alias("value"),
-                        F.struct(*features(value, before, after, place)).alias("f"))
+    def cut(x: Column) -> Column:
+        return F.struct(F.regexp_replace(x["hit"], "^" + _ASSIGN, "").alias("value"), x["hit"].alias("hit"),
+                        F.right(x["gap"], F.lit(60)).alias("gap"), F.left(x["next"], F.lit(20)).alias("after"), x["end"].alias("end"))
 
-    found = found.withColumn("_described", F.transform("_hits", describe))
+    def describe(x: Column) -> Column:
+        before = F.concat(x["gap"], F.substr(x["hit"], F.lit(1), F.length(x["hit"]) - F.length(x["value"])))
+        return F.struct((x["end"] - F.length(x["value"])).alias("start"), F.length(x["value"]).alias("length"), x["value"].alias("value"),
+                        F.struct(*features(x["value"], before, x["after"], place)).alias("f"))
 
     def judge(x: Column) -> Column:
         votes = [vote(rules, x["f"]) for rules in trees]
@@ -171,7 +193,8 @@ def scan(docs: DataFrame, trees: list[str], text: str = "text", path: str = "sou
         return F.struct(x["start"].alias("start"), x["length"].alias("length"), x["value"].alias("value"),
                         (total / len(votes)).alias("score"))
 
-    return found.withColumn("findings", F.transform("_described", judge)).drop("_hits", "_gaps", "_sizes", "_described")
+    judged = F.transform(F.transform(F.transform(parts, cut), describe), judge)
+    return found.withColumn("findings", F.when(F.col("_hits").isNotNull(), judged)).drop("_hits", "_gaps")
 
 
 def findings(docs: DataFrame, trees: list[str]) -> DataFrame:
