@@ -6,7 +6,7 @@ again. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millstat.llm import decontaminate, jaccard_join, langid, packing, secrets
@@ -14,26 +14,43 @@ from millstat.llm.shared import numbered, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in no learned language go."""
+    """Texts whose letters are hardly in a script of the learned languages, or that have none, go."""
     return langid.accepted(docs, langid.learn(langid.learnable(docs)))
 
 
+def _rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` as c0, c1, ... with a number ``row`` of their own, written: stages decide on rows, whatever their ids are."""
+    return stored(numbered(docs).withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def _texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(F.col("row").alias("doc_id"), F.col(f"c{docs.columns.index('text')}").alias("text"))
+
+
+def _without(rows: DataFrame, gone: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """The rows not in ``gone``. These numbers are written first: the join then knows their size, and few are broadcast."""
+    return rows.join(stored(gone.select("row").distinct(), name), "row", "left_anti").drop("row").toDF(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays; of its repeated rows, one."""
-    found = jaccard_join.jaccard_join(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    own = numbered(docs)
-    key = f"c{docs.columns.index('doc_id')}"
-    rest = own.join(gone, own[key].cast("long") == gone["doc_id"], "left_anti")
-    first = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    return (rest.withColumn("row", first).where((F.col("row") == 1) | F.col(key).isNull()).drop("row").toDF(*docs.columns))
+    """Of each group of near-duplicates the row with the smallest id stays (NULL ids last; ties: any one).
+
+    Rows that share an id with different texts are told apart; rows with a NULL id take part.
+    """
+    rows = _rows(docs, "pipeline-rows")
+    found = jaccard_join.jaccard_join(_texts(rows, docs)).select(F.col("doc_id").alias("row"), "component_id")
+    key = F.col(f"c{docs.columns.index('doc_id')}").cast("long").alias("id")
+    ranked = found.join(rows.select("row", key), "row")
+    first = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+    gone = found.join(first.select(F.col("first.row").alias("row")), "row", "left_anti")
+    return _without(rows, gone, docs, "pipeline-copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark content go."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
-    own = numbered(docs)
-    return own.join(found, own[f"c{docs.columns.index('doc_id')}"].cast("long") == found["doc_id"], "left_anti").toDF(*docs.columns)
+    """Documents with benchmark content go, whatever their ids."""
+    rows = _rows(docs, "pipeline-rows")
+    found = decontaminate.contaminated(_texts(rows, docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, found.select(F.col("doc_id").alias("row")), docs, "pipeline-leaks")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
