@@ -116,9 +116,29 @@ def alert_maintenance(stg: DataFrame, p: Params = DEFAULT, daily: DataFrame | No
 
 # ----------------------------------------------------------------- M3
 
-def oee_availability(readings: Column, expected: int) -> Column:
+def expected_readings(daily: DataFrame) -> DataFrame:
+    """Readings that a full day of each unit holds: the median (lower of two) of its daily counts.
+
+    The median stands for the usual day: days cut short by outages, the first and the last day, or a burst
+    of repeats don't move it until they are half of all days. One aggregate of the equipment-day
+    frame, at most one value per day and unit; the readings are not read again. A unit with a
+    single day is its own measure (100 %). NULL ids are one unit.
+    """
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY reading_count)").cast("long")
+    return daily.groupBy("equipment_id").agg(median.alias("expected_readings"))
+
+
+def _with_expected(daily: DataFrame, p: Params) -> DataFrame:
+    """``daily`` with the expected readings as ``_expected``: the parameter, or each unit's cadence."""
+    if p.expected_per_day is not None:
+        return daily.withColumn("_expected", F.lit(p.expected_per_day))
+    usual = expected_readings(daily).select(F.col("equipment_id").alias("_unit"), F.col("expected_readings").alias("_expected"))
+    return daily.join(usual, daily["equipment_id"].eqNullSafe(usual["_unit"]), "left").drop("_unit")
+
+
+def oee_availability(readings: Column, expected: Column) -> Column:
     """Captured share of expected readings, capped at 1, 4 dp."""
-    return half_up(F.least(readings / F.lit(expected), F.lit(1.0)), 4)
+    return half_up(F.least(readings / expected, F.lit(1.0)), 4)
 
 
 def oee_performance(avg_power: Column, benchmark: Column) -> Column:
@@ -148,10 +168,10 @@ def fact_oee(stg: DataFrame, p: Params = DEFAULT, daily: DataFrame | None = None
     d = daily if daily is not None else daily_equipment(stg)
     bench = oee_benchmark(d)
     # left join on type: a NULL type finds no benchmark, as in the reference
-    joined = d.join(bench, on="equipment_type", how="left")
+    joined = _with_expected(d, p).join(bench, on="equipment_type", how="left")
     comp = joined.select(
         "*",
-        oee_availability(F.col("reading_count"), p.expected_per_day).alias("_a"),
+        oee_availability(F.col("reading_count"), F.col("_expected")).alias("_a"),
         oee_performance(F.col("avg_power_kw"), F.col("benchmark_power_kw")).alias("_p"),
         oee_quality(F.col("anomaly_count"), F.col("reading_count")).alias("_q"),
     )

@@ -34,8 +34,9 @@ class Params:
     limits: RangeLimits = field(default_factory=RangeLimits)
     # alternative policy (S8): readings outside these bounds become NULL
     null_temp_max: float = 100.0
-    # OEE availability denominator: readings expected per equipment-day
-    expected_per_day: int = 1440
+    # OEE availability denominator: readings expected per equipment-day;
+    # None: each unit's own cadence, estimated from its days (marts.expected_readings)
+    expected_per_day: int | None = 1440
     # forecast: health at or below this is failure; lag span in daily rows
     critical_health: float = 30.0
     lag_span: int = 6

@@ -203,14 +203,18 @@ def oee_ctes(p: Params, name: str = "oee") -> dict[str, tuple[list[str], str]]:
     prod = "a_ * p_ * q_ * 100e0"
     classes = " ".join(f"WHEN {prod} >= {dbl(lim)} THEN {q(n)}" for n, lim in rules.OEE_CLASSES)
     low = least_strict("a_", "p_", "q_")
+    usual = "x.expected_readings" if p.expected_per_day is None else str(int(p.expected_per_day))
     return {
+        "cadence": (["daily"], """
+  SELECT equipment_id, CAST(quantile_disc(reading_count, 0.5) AS BIGINT) AS expected_readings FROM daily GROUP BY equipment_id"""),
         "bench": (["daily"], "SELECT equipment_type, max(avg_power_kw) AS benchmark_power_kw FROM daily GROUP BY equipment_type"),
-        f"{name}_c": (["daily", "bench"], f"""
+        f"{name}_c": (["daily", "bench", "cadence"], f"""
   SELECT d.*, b.benchmark_power_kw,
-    {hu(f'least(d.reading_count / {int(p.expected_per_day)}, 1e0)', 4)} AS a_,
+    {hu(f'least(d.reading_count / {usual}, 1e0)', 4)} AS a_,
     {hu(f'CASE WHEN b.benchmark_power_kw = 0 THEN 0e0 ELSE {least_strict(ratio, "1e0")} END', 4)} AS p_,
     {hu('1e0 - d.anomaly_count / NULLIF(d.reading_count, 0)', 4)} AS q_
-  FROM daily d LEFT JOIN bench b ON d.equipment_type = b.equipment_type"""),
+  FROM daily d LEFT JOIN bench b ON d.equipment_type = b.equipment_type
+  LEFT JOIN cadence x ON d.equipment_id IS NOT DISTINCT FROM x.equipment_id"""),
         name: ([f"{name}_c"], f"""
   SELECT {skey('CAST(event_date AS VARCHAR)', 'equipment_id')} AS oee_id,
     event_date, equipment_id, equipment_type,

@@ -28,7 +28,6 @@ from . import oee_reports as O
 from .oracle import Oracle, date_lit, dbl, eavg, esum, hu, q, skey, ts_text
 
 D20 = dt.date(2024, 1, 20)
-OEE_EXPECTED = 72  # readings per equipment-day that the sf0.01 fixture calls "full"
 
 
 class Frames:
@@ -176,7 +175,7 @@ def oracle_sql(key: str) -> str | None:
 # ============================================================== helpers (SQL)
 
 P = DEFAULT
-P72 = DEFAULT.with_(expected_per_day=OEE_EXPECTED)
+CADENCE = DEFAULT.with_(expected_per_day=None)  # the usual day of each unit, at any size of input
 P20 = DEFAULT.with_(as_of=D20)
 SINCE = P.as_of - dt.timedelta(days=P.lookback_days)
 W7 = f"event_date >= {date_lit(SINCE)} AND event_hour >= CAST({date_lit(SINCE)} AS TIMESTAMP)"
@@ -403,13 +402,23 @@ def _m3(f: Frames):
     return f.oee
 
 
-@reg("fact_oee_x72", lambda o: o.sql("SELECT * FROM oee", "oee"), params=P72, shared=('daily',))
+@reg("fact_oee_x72", lambda o: o.sql("SELECT * FROM oee", "oee"), params=DEFAULT.with_(expected_per_day=72), shared=('daily',))
 def _m3x(f: Frames):
     return f.oee
 
 
+@reg("fact_oee_cadence", lambda o: o.sql("SELECT * FROM oee", "oee"), params=CADENCE, shared=('daily',))
+def _m3y(f: Frames):
+    return f.oee
+
+
+@reg("oee_expected_readings", lambda o: o.sql("SELECT equipment_id, expected_readings FROM cadence", "cadence"))
+def _m3z(f: Frames):
+    return marts.expected_readings(f.daily)
+
+
 @reg("oee_availability", lambda o: o.sql(
-    "SELECT oee_id, actual_readings, availability_pct FROM oee", "oee"), params=P72, shared=('daily',))
+    "SELECT oee_id, actual_readings, availability_pct FROM oee", "oee"), params=CADENCE, shared=('daily',))
 def _m3a(f: Frames):
     return f.oee.select("oee_id", "actual_readings", "availability_pct")
 
@@ -431,14 +440,14 @@ def _m3d(f: Frames):
     return f.oee.select("oee_id", "anomaly_count", "actual_readings", "quality_pct")
 
 
-@reg("oee_class", lambda o: o.sql("SELECT oee_id, oee_score, oee_class FROM oee", "oee"), params=P72, shared=('daily',))
+@reg("oee_class", lambda o: o.sql("SELECT oee_id, oee_score, oee_class FROM oee", "oee"), params=CADENCE, shared=('daily',))
 def _m3e(f: Frames):
     return f.oee.select("oee_id", "oee_score", "oee_class")
 
 
 @reg("oee_weakest", lambda o: o.sql(
     "SELECT oee_id, availability_pct, performance_pct, quality_pct, weakest_component FROM oee", "oee"),
-    params=P72, shared=('daily',))
+    params=CADENCE, shared=('daily',))
 def _m3f(f: Frames):
     return f.oee.select("oee_id", "availability_pct", "performance_pct", "quality_pct", "weakest_component")
 
@@ -843,14 +852,14 @@ _KPI = {"oee": "oee_score", "availability": "availability_pct", "performance": "
 
 @reg("oee_kpis", lambda o: o.sql(
     "SELECT " + ", ".join(f"{hu(eavg(c, 2), 2)} AS avg_{k}" for k, c in _KPI.items()) + " FROM oee", "oee"),
-    params=P72, shared=('daily',))
+    params=CADENCE, shared=('daily',))
 def _o1(f: Frames):
     return O.oee_kpis(f.oee, f.p)
 
 
 @reg("world_class_machines", lambda o: o.sql(
     "SELECT count(DISTINCT CASE WHEN oee_class = 'WORLD CLASS' THEN equipment_id END) AS world_class_machines "
-    "FROM oee", "oee"), params=P72, shared=('daily',))
+    "FROM oee", "oee"), params=CADENCE, shared=('daily',))
 def _o2(f: Frames):
     return O.world_class_machines(f.oee, f.p)
 
@@ -871,14 +880,14 @@ def _o4(f: Frames):
 
 @reg("oee_by_equipment", lambda o: o.sql(
     f"SELECT equipment_id, equipment_type, {hu(eavg('oee_score', 2), 2)} AS avg_oee_score, count(*) AS days "
-    "FROM oee GROUP BY equipment_id, equipment_type", "oee"), params=P72, shared=('daily',))
+    "FROM oee GROUP BY equipment_id, equipment_type", "oee"), params=CADENCE, shared=('daily',))
 def _o5(f: Frames):
     return O.oee_by_equipment(f.oee, f.p)
 
 
 @reg("oee_trend", lambda o: o.sql(
     "SELECT event_date, equipment_id, oee_score, availability_pct, performance_pct, quality_pct FROM oee",
-    "oee"), params=P72, shared=('daily',))
+    "oee"), params=CADENCE, shared=('daily',))
 def _o5b(f: Frames):
     return O.oee_trend(f.oee, f.p)
 
@@ -895,7 +904,7 @@ def _kpi_status_sql() -> str:
     return f"SELECT kpi, value, CASE {arms} ELSE 'RED' END AS status FROM ({' UNION ALL '.join(parts)}) t"
 
 
-@reg("kpi_status", lambda o: o.sql(_kpi_status_sql(), "oee"), params=P72, shared=('daily',))
+@reg("kpi_status", lambda o: o.sql(_kpi_status_sql(), "oee"), params=CADENCE, shared=('daily',))
 def _o6(f: Frames):
     return O.kpi_status(f.oee, f.p)
 
@@ -906,7 +915,7 @@ SELECT (SELECT {_kwh()} FROM energy WHERE {W7}) AS total_kwh_7d,
   (SELECT count(*) FILTER (WHERE risk_level = 'CRITICAL') FROM alert WHERE event_date = {date_lit(P.as_of)}) AS critical_alerts_today,
   (SELECT {hu(eavg('avg_health_score', 2), 2)} FROM alert WHERE {D7}) AS avg_health_7d,
   (SELECT count(*) FILTER (WHERE urgency_level IN ('CRITICAL NOW', 'CRITICAL')) FROM forecast) AS machines_at_critical_risk,
-  (SELECT count(*) FROM forecast) AS machines""", "energy", "oee", "alert", "forecast"), params=P72, shared=('stg', 'daily', 'alerts', 'forecast'))
+  (SELECT count(*) FROM forecast) AS machines""", "energy", "oee", "alert", "forecast"), params=CADENCE, shared=('stg', 'daily', 'alerts', 'forecast'))
 def _o7(f: Frames):
     return O.executive_overview(f.energy, f.alerts, f.oee, f.forecast, f.p)
 

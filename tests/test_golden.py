@@ -260,3 +260,23 @@ def test_gaps_at_the_edge_of_a_piece(spark):
         energy = spark.createDataFrame([("A", start), ("A", end)], "equipment_id string, event_hour timestamp_ntz")
         got = sorted(r.event_hour for r in quality.missing_hours(energy).collect())
         assert got == [start + dt.timedelta(hours=i) for i in range(1, n + 1)]
+
+
+def test_oee_expected_readings_follow_each_units_usual_day(spark):
+    def days(unit, counts, step):
+        return [dict(timestamp=dt.datetime(2024, 1, d + 1) + dt.timedelta(minutes=step * i), equipment_id=unit, event_id=1000 * d + i)
+                for d, n in enumerate(counts) for i in range(n)]
+
+    # one unit reads every 10 minutes, one every hour; each has short days, one a day of a single reading only
+    rows = days("Motor_001", [144, 144, 36, 144], 10) + days("Motor_002", [24, 12, 24, 24, 6], 60) + days("Motor_003", [1], 60)
+    daily = marts.daily_equipment(staging.stage(make_raw(spark, rows)))
+    assert {r.equipment_id: r.expected_readings for r in marts.expected_readings(daily).collect()} == {
+        "Motor_001": 144, "Motor_002": 24, "Motor_003": 1}
+    got = marts.fact_oee(None, Params(expected_per_day=None), daily).collect()
+    share = {(r.equipment_id, r.event_date.day): r.availability_pct for r in got}
+    assert len(got) == 10 and share == {("Motor_001", 1): 100.0, ("Motor_001", 2): 100.0, ("Motor_001", 3): 25.0, ("Motor_001", 4): 100.0,
+                                        ("Motor_002", 1): 100.0, ("Motor_002", 2): 50.0, ("Motor_002", 3): 100.0, ("Motor_002", 4): 100.0,
+                                        ("Motor_002", 5): 25.0, ("Motor_003", 1): 100.0}
+    # the fixed parameter stays as it was
+    fixed = marts.fact_oee(None, Params(expected_per_day=288), daily).where("equipment_id = 'Motor_001' and availability_pct = 50")
+    assert fixed.count() == 3 and marts.expected_readings(daily.limit(0)).count() == 0
