@@ -37,13 +37,21 @@ def _rows(df: DataFrame, counts: dict[str, Column], severity: dict[str, str] | N
                        (F.col("failures") == 0).alias("passed"))
 
 
+def _nulls(table: str, columns: tuple[str, ...]) -> dict[str, Column]:
+    return {f"not_null:{table}.{c}": F.count_if(F.col(c).isNull()) for c in columns}
+
+
+def _outside(table: str, column: str) -> dict[str, Column]:
+    return {f"accepted_values:{table}.{column}": F.count_if(~F.col(column).isin(ACCEPTED[column]))}
+
+
+RAW_KEYS = ("timestamp", "equipment_id")
+STG_KEYS = ("sensor_id", "event_timestamp", "equipment_id")
+
+
 def dq_not_null(raw: DataFrame, stg: DataFrame) -> DataFrame:
     """NULL counts of the key columns of raw and staged readings."""
-    raw_part = _rows(raw, {f"not_null:raw.{c}": F.count_if(F.col(c).isNull())
-                           for c in ("timestamp", "equipment_id")})
-    stg_part = _rows(stg, {f"not_null:stg.{c}": F.count_if(F.col(c).isNull())
-                           for c in ("sensor_id", "event_timestamp", "equipment_id")})
-    return raw_part.unionByName(stg_part)
+    return _rows(raw, _nulls("raw", RAW_KEYS)).unionByName(_rows(stg, _nulls("stg", STG_KEYS)))
 
 
 def dq_unique(stg: DataFrame) -> DataFrame:
@@ -52,21 +60,14 @@ def dq_unique(stg: DataFrame) -> DataFrame:
     return _rows(dup, {"unique:stg.sensor_id": F.count(F.lit(1))})
 
 
+def _accepted_marts(alerts: DataFrame, oee: DataFrame, forecast: DataFrame) -> DataFrame:
+    return (_rows(alerts, _outside("alert", "risk_level")).unionByName(_rows(oee, _outside("oee", "oee_class")))
+            .unionByName(_rows(forecast, _outside("forecast", "urgency_level"))))
+
+
 def dq_accepted_values(stg: DataFrame, alerts: DataFrame, oee: DataFrame, forecast: DataFrame) -> DataFrame:
     """D3: categorical columns stay within their accepted set (NULL not counted)."""
-    def bad(col: str) -> Column:
-        return F.count_if(~F.col(col).isin(ACCEPTED[col]))
-
-    parts = [
-        _rows(stg, {"accepted_values:stg.equipment_type": bad("equipment_type")}),
-        _rows(alerts, {"accepted_values:alert.risk_level": bad("risk_level")}),
-        _rows(oee, {"accepted_values:oee.oee_class": bad("oee_class")}),
-        _rows(forecast, {"accepted_values:forecast.urgency_level": bad("urgency_level")}),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return _rows(stg, _outside("stg", "equipment_type")).unionByName(_accepted_marts(alerts, oee, forecast))
 
 
 def dq_relationships(stg: DataFrame, energy: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -149,9 +150,13 @@ def dq_missing_hours(energy: DataFrame) -> DataFrame:
 
 def dq_report(raw: DataFrame, stg: DataFrame, energy: DataFrame, alerts: DataFrame,
               oee: DataFrame, forecast: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Every rule stacked in one result."""
-    parts = [dq_not_null(raw, stg), dq_unique(stg),
-             dq_accepted_values(stg, alerts, oee, forecast),
+    """Every rule stacked in one result.
+
+    All counts over one table are one conditional aggregate, so one read; besides
+    these, uniqueness, relationships and gaps group the rows by other keys and read theirs.
+    """
+    parts = [_rows(raw, _nulls("raw", RAW_KEYS)), _rows(stg, _nulls("stg", STG_KEYS) | _outside("stg", "equipment_type")),
+             dq_unique(stg), _accepted_marts(alerts, oee, forecast),
              dq_relationships(stg, energy, alerts), dq_energy_rules(energy, p),
              dq_missing_hours(energy)]
     out = parts[0]
