@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.numeric import exact_avg, half_up, nullif
 from ..params import DEFAULT, Params
+from .filters import page_filter
 
 OPEN_RISKS = ["CRITICAL", "WARNING"]
 
@@ -153,22 +154,12 @@ def kpi_targets(alerts: DataFrame, forecast: DataFrame, p: Params = DEFAULT) ->
     return long.select("kpi", "value", goal.alias("goal"), F.coalesce(met, F.lit(False)).alias("met"))
 
 
-def health_by_range(alerts: DataFrame, p: Params = DEFAULT, low: float = 0.0, high: float = 80.0,
-                    types=("Motor", "ConveyorBelt"), units=None, risks=("WARNING", "WATCH"),
+def health_by_range(alerts: DataFrame, low: float = 0.0, high: float = 100.0, types=None, units=None, risks=None,
                     start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Composable dashboard filter (health range, type, unit, risk, dates)."""
-    start = start or (p.as_of - dt.timedelta(days=2 * p.lookback_days))
-    end = end or p.as_of
-    cond = F.col("min_health_score").between(low, high) & F.col("event_date").between(
-        F.lit(start), F.lit(end))
-    if types:
-        cond = cond & F.col("equipment_type").isin(list(types))
-    if units:
-        cond = cond & F.col("equipment_id").isin(list(units))
-    if risks:
-        cond = cond & F.col("risk_level").isin(list(risks))
-    return alerts.filter(cond).select("alert_id", "event_date", "equipment_id", "equipment_type",
-                                      "min_health_score", "risk_level")
+    """Page filter of the alert mart (health range, type, unit, risk, dates); only what is given filters."""
+    return page_filter(alerts, start, end, {"min_health_score": (low, high)}, equipment_type=types, equipment_id=units,
+                       risk_level=risks).select("alert_id", "event_date", "equipment_id", "equipment_type",
+                                                "min_health_score", "risk_level")
 
 
 def cause_rules(stg: DataFrame, forecast: DataFrame, p: Params = DEFAULT) -> DataFrame:

@@ -25,6 +25,7 @@ from ..sources import fixture
 from . import energy_reports as E
 from . import maintenance_reports as R
 from . import oee_reports as O
+from .filters import page_filter
 from .oracle import Oracle, date_lit, dbl, eavg, esum, hu, q, skey, ts_text
 
 D20 = dt.date(2024, 1, 20)
@@ -810,7 +811,35 @@ def _r10(f: Frames):
     f"{date_lit(P.as_of - dt.timedelta(days=2 * P.lookback_days))} AND {date_lit(P.as_of)} "
     "AND equipment_type IN ('Motor', 'ConveyorBelt') AND risk_level IN ('WARNING', 'WATCH')", "alert"))
 def _r11(f: Frames):
-    return R.health_by_range(f.alerts, f.p)
+    return R.health_by_range(f.alerts, 0.0, 80.0, ("Motor", "ConveyorBelt"), risks=("WARNING", "WATCH"),
+                             start=f.p.as_of - dt.timedelta(days=2 * f.p.lookback_days), end=f.p.as_of)
+
+
+@reg("energy_page_filter", lambda o: o.sql(
+    "SELECT equipment_type, count(*) AS hourly_readings, " f"{_kwh()} AS total_kwh, "
+    f"{hu(eavg('avg_power_kw', 2), 2)} AS avg_power_kw, {hu(eavg('avg_temperature_c', 2), 2)} AS avg_temp "
+    f"FROM energy WHERE event_date BETWEEN {date_lit(SINCE)} AND {date_lit(P.as_of)} "
+    "AND equipment_type IN ('Motor', 'Chiller') GROUP BY equipment_type", "energy"))
+def _page_energy(f: Frames):
+    start = f.p.as_of - dt.timedelta(days=f.p.lookback_days)
+    return E.mart_sample_energy(page_filter(f.energy, start, f.p.as_of, equipment_type=("Motor", "Chiller")), f.p)
+
+
+@reg("oee_page_filter", lambda o: o.sql(
+    "SELECT oee_id, event_date, equipment_id, equipment_type, oee_score, oee_class FROM oee "
+    "WHERE equipment_type IN ('Motor', 'ConveyorBelt') AND oee_class IN ('WORLD CLASS', 'GOOD', 'POOR')", "oee"),
+    params=CADENCE, shared=('daily',))
+def _page_oee(f: Frames):
+    return page_filter(f.oee, equipment_type=("Motor", "ConveyorBelt"), oee_class=("WORLD CLASS", "GOOD", "POOR")).select(
+        "oee_id", "event_date", "equipment_id", "equipment_type", "oee_score", "oee_class")
+
+
+@reg("forecast_page_filter", lambda o: o.sql(
+    "SELECT equipment_id, equipment_type, current_health_score, urgency_level FROM forecast "
+    "WHERE equipment_type IN ('ConveyorBelt', 'Chiller') AND urgency_level IN ('CRITICAL NOW', 'CRITICAL', 'HIGH')", "forecast"))
+def _page_forecast(f: Frames):
+    return page_filter(f.forecast, equipment_type=("ConveyorBelt", "Chiller"), urgency_level=("CRITICAL NOW", "CRITICAL", "HIGH")).select(
+        "equipment_id", "equipment_type", "current_health_score", "urgency_level")
 
 
 def _cause_sql() -> str:

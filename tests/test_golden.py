@@ -280,3 +280,15 @@ def test_oee_expected_readings_follow_each_units_usual_day(spark):
     # the fixed parameter stays as it was
     fixed = marts.fact_oee(None, Params(expected_per_day=288), daily).where("equipment_id = 'Motor_001' and availability_pct = 50")
     assert fixed.count() == 3 and marts.expected_readings(daily.limit(0)).count() == 0
+
+
+def test_page_filter_only_filters_what_is_given(spark):
+    from millstat.plans.filters import page_filter
+
+    rows = [(dt.date(2024, 1, d), t, h) for d, t, h in [(1, "Motor", 10.0), (2, "Motor", None), (3, None, 80.0), (4, "Chiller", 80.5)]]
+    mart = spark.createDataFrame(rows, "event_date date, equipment_type string, min_health_score double")
+    days = lambda **kw: sorted(r.event_date.day for r in page_filter(mart, **kw).collect())
+    assert days() == days(equipment_type=None) == [1, 2, 3, 4]
+    assert days(start=dt.date(2024, 1, 2), end=dt.date(2024, 1, 3)) == [2, 3]
+    assert days(equipment_type=["Motor"]) == [1, 2] and days(equipment_type=[]) == []
+    assert days(ranges={"min_health_score": (10, 80)}) == [1, 3]
