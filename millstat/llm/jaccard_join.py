@@ -21,11 +21,14 @@ components and skips what the triangle inequality already settles.
    next round; a region whose members are all in one component is done.
 4. In small regions, and when splitting no longer pays, members of different
    components are compared directly (all but those of the region's largest
-   component, with everyone).
+   component, with everyone): first along a spanning forest of the pairs that their
+   bounds allow, so that a task returns fewer pairs than members; where a pair of
+   the forest turned out to be no link, all pairs of cells that are still apart follow.
 
 Every comparison first bounds the intersection from the sets' counts in 256
 hash classes (distances to 256 fixed pivots in the symmetric-difference
-metric) and then compares the whole sets. All steps are exact; shingles are
+metric); long sets, whose classes are full, then from their counts in more classes;
+at last the whole sets are compared. All steps are exact; shingles are
 told apart by 64-bit hashes.
 
 Defined results: NULL, empty and wordless texts have an empty set (size 0) and
@@ -56,14 +59,16 @@ PIVOTS = 3
 FREQUENT = 6  # distinct sets within one task that hold a shingle, to call it frequent
 FREQUENT_BITS = 1 << 24  # size of the bitmap of frequent shingles, whatever the input
 CLASSES = 256
+LONG = 512  # sets with more shingles also have counts in about half as many classes as shingles
+MAX_CLASSES = 1 << 16
 BLOCK = 256
 DIRECT_LEAVES = 8  # cells of up to so many leaves are compared by their class counts, without pivots
 FEW = 24  # members outside the largest component that are compared directly
 MAX_ROUNDS = 2
-BEST_STEPS = 3
-PAIRS_PER_SET = 1  # up to so many candidate pairs per set, all are compared at once
 PAIRS_PER_TASK = 1000
 TEXT_CHUNK = 500_000
+PAIRS = "a long, b long"
+HELD = 2_000_000  # shingles that a task holds to find the frequent ones
 
 
 def _space() -> np.ndarray:
@@ -153,37 +158,57 @@ def _class_counts(sets: list[np.ndarray]) -> np.ndarray:
     return np.minimum(np.bincount(at, minlength=len(sets) * CLASSES), 255).astype(np.uint8).reshape(-1, CLASSES)
 
 
+def _fine_counts(s: np.ndarray) -> bytes | None:
+    """Counts of a long set in a power of two of hash classes (255 at most); None for a short set."""
+    if len(s) <= LONG:
+        return None
+    classes = min(1 << (len(s) // 2).bit_length(), MAX_CLASSES)
+    at = (s >> np.uint64(20)).astype(np.int64) % classes
+    return np.minimum(np.bincount(at, minlength=classes), 255).astype(np.uint8).tobytes()
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def _profile(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (doc_id, n, k, counts) of documents and rows (word, bits) marking frequent shingles."""
-    names = ["doc_id", "n", "k", "counts", "word", "bits"]
+    """Rows (doc_id, n, k, counts, fine) of documents and rows (word, bits) marking frequent shingles."""
+    names = ["doc_id", "n", "k", "counts", "fine", "word", "bits"]
+
+    def frequent(new: dict, seen: set) -> Iterator[pa.RecordBatch]:
+        values, times = np.unique(np.concatenate(list(new.values())), return_counts=True)
+        hot = set((values[times >= FREQUENT] >> np.uint64(40)).astype(np.int64).tolist()) - seen
+        seen |= hot
+        if hot:
+            bits, empty = np.array(sorted(hot), np.int64), pa.nulls(len(hot), pa.int64())
+            none = pa.nulls(len(hot), pa.binary())
+            yield pa.RecordBatch.from_arrays([empty, empty, empty, none, none, pa.array(bits >> 5), pa.array(1 << (bits & 31))],
+                                             names=names)
 
     def run(batches):
         seen: set = set()
+        new: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
             ids, texts, at = batch["doc_id"], batch["text"].to_pylist(), 0
-            new: dict[int, np.ndarray] = {}
             for sets in shingle_sets(texts, words):
                 keys, none = _keys(sets), pa.nulls(len(sets), pa.int64())
                 counts = [row.tobytes() for row in _class_counts(sets)]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys),
-                     pa.array(counts, pa.binary()), none, none], names=names)
+                     pa.array(counts, pa.binary()), pa.array(map(_fine_counts, sets), pa.binary()), none, none], names=names)
                 at += len(sets)
-                new.update((k, s) for k, s in zip(keys.tolist(), sets) if k)
-            if new:
-                values, times = np.unique(np.concatenate(list(new.values())), return_counts=True)
-                hot = set((values[times >= FREQUENT] >> np.uint64(40)).astype(np.int64).tolist()) - seen
-                seen |= hot
-                if hot:
-                    bits, empty = np.array(sorted(hot), np.int64), pa.nulls(len(hot), pa.int64())
-                    yield pa.RecordBatch.from_arrays([empty, empty, empty, pa.nulls(len(hot), pa.binary()), pa.array(bits >> 5),
-                                                      pa.array(1 << (bits & 31))], names=names)
+                for k, s in zip(keys.tolist(), sets):
+                    if k and k not in new:
+                        new[k] = s
+                        held += len(s)
+                if held >= HELD:
+                    yield from frequent(new, seen)
+                    new, held = {}, 0
+        if new:
+            yield from frequent(new, seen)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n long, k long, counts binary, word long, bits long")
+    return _texts(docs).mapInArrow(run, "doc_id long, n long, k long, counts binary, fine binary, word long, bits long")
 
 
 def _frequent(profile: DataFrame) -> np.ndarray:
@@ -252,6 +277,32 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return found.join(needed.select("k"), "k", "left_semi").groupBy("k").agg(F.first("shingles").alias("shingles"))
 
 
+def _plausible(pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that the fine counts of long sets allow; pairs with a short set all stay."""
+    def run(batches):
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("na", "nb", "fa", "fb"))
+            keep = pa.array([_fine_allows(*x, percent) for x in zip(*columns)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
+
+    long = classes.where("fine is not null").join(stored(_ends(pairs), "jaccard-ends"), "k", "left_semi")
+    left = long.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
+    right = long.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
+    rows = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "na", "nb", "fa", "fb")
+    return narrowed(rows, n, 10 * PAIRS_PER_TASK).mapInArrow(run, PAIRS)
+
+
+def _fine_allows(nx: int, ny: int, x: bytes | None, y: bytes | None, percent: int) -> bool:
+    if x is None or y is None:
+        return True
+    cx, cy = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if (cx == 255).any() or (cy == 255).any():  # may hold more
+        return True
+    few = min(len(cx), len(cy))  # classes of the larger table fold into those of the smaller one
+    most = int(np.minimum(cx.reshape(-1, few).sum(axis=0, dtype=np.int64), cy.reshape(-1, few).sum(axis=0, dtype=np.int64)).sum())
+    return 100 * most >= percent * (nx + ny - most)
+
+
 def _distances(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
     """The ``n`` pairs (a, b) with the sizes of intersection and union of their whole sets."""
     def run(batches):
@@ -264,6 +315,8 @@ def _distances(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(shared, pa.int64()),
                                               pa.array(total, pa.int64())], names=["a", "b", "shared", "total"])
 
+    # the ends are written first: few are broadcast, and only their sets travel
+    sets = sets.join(stored(_ends(pairs), "jaccard-ends"), "k", "left_semi")
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("sb"))
     return (narrowed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), n, PAIRS_PER_TASK)
@@ -279,8 +332,31 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     return both, len(x) + len(y) - both
 
 
-def _allowed(frame: dict, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
-    """Of the pairs of rows (i, j): keys and bound of those in different components that the class counts allow."""
+def _forest(la: np.ndarray, lb: np.ndarray, most: np.ndarray) -> list[int]:
+    """Places of the edges (la, lb) in a spanning forest with the largest bounds."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    order = np.lexsort((lb, la, -most))
+    kept = []
+    for at, x, y in zip(order.tolist(), la[order].tolist(), lb[order].tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(at)
+    return kept
+
+
+def _allowed(frame: dict, i: np.ndarray, j: np.ndarray, percent: int, tree: bool) -> tuple[np.ndarray, ...]:
+    """Of the pairs of rows (i, j): keys of those in different components that the class counts allow.
+
+    With ``tree`` only those of a spanning forest of the components.
+    """
     out = []
     for at in range(0, len(i), 50_000):
         x, y = i[at: at + 50_000], j[at: at + 50_000]
@@ -291,9 +367,14 @@ def _allowed(frame: dict, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[n
         # a class counted up to 255 may hold more
         most = np.where((cx == 255).any(axis=1) | (cy == 255).any(axis=1), least, np.minimum(most, least))
         ok = 100 * most >= percent * (nx + ny - most)
-        a, b = frame["k"][x[ok]], frame["k"][y[ok]]
-        out.append(np.stack([np.minimum(a, b), np.maximum(a, b), most[ok]], axis=1))
-    return tuple(np.concatenate(out).T) if out else (np.empty(0, np.int64),) * 3
+        x, y, most = x[ok], y[ok], most[ok]
+        a, b, la, lb = frame["k"][x], frame["k"][y], frame["label"][x], frame["label"][y]
+        found = np.stack([np.minimum(a, b), np.maximum(a, b), np.minimum(la, lb), np.maximum(la, lb), most], axis=1)
+        out.append(found[_forest(*found.T[2:])] if tree else found)
+    if not out:
+        return (np.empty(0, np.int64),) * 2
+    found = np.concatenate(out)
+    return tuple((found[_forest(*found.T[2:])] if tree and len(out) > 1 else found).T[:2])
 
 
 def _frame(columns: dict) -> dict:
@@ -301,10 +382,7 @@ def _frame(columns: dict) -> dict:
     return out | {"have": np.frombuffer(b"".join(columns["counts"]), np.uint8).reshape(-1, CLASSES)}
 
 
-PAIRS = "a long, b long, most long"
-
-
-def _in_small(cells: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+def _in_small(cells: DataFrame, counts: DataFrame, percent: int, tree: bool) -> DataFrame:
     """Candidate pairs within cells of at most LEAF members: rows of a cell stand together, sorted."""
     def run(batches):
         rest = None  # rows of the cell that the next batch may go on with
@@ -330,21 +408,21 @@ def _in_small(cells: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
             i.append(at)
             j.append(at + step)
             step += 1
-        found = _allowed(frame, np.concatenate(i), np.concatenate(j), percent) if i else (np.empty(0, np.int64),) * 3
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b", "most"])
+        found = _allowed(frame, np.concatenate(i), np.concatenate(j), percent, tree) if i else (np.empty(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b"])
 
     rows = cells.select("cell", "k", "label").join(counts, "k").select("cell", "k", "label", "n", "counts")
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, PAIRS)
 
 
-def _in_blocks(cells: DataFrame, counts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def _in_blocks(cells: DataFrame, counts: DataFrame, percent: int, tree: bool, block: int = BLOCK) -> DataFrame:
     """Candidate pairs of minor members with all, by pairs of blocks, so that a cell of any size is dealt over tasks."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         own = _frame({c: frame[c].to_numpy() if c != "counts" else frame[c].tolist() for c in ("k", "label", "n", "counts")})
         minor = frame["minor"].to_numpy()
         i, j = np.flatnonzero(minor), np.flatnonzero(~minor)
-        a, b, most = _allowed(own, np.repeat(i, len(j)), np.tile(j, len(i)), percent)
-        return pd.DataFrame({"a": a, "b": b, "most": most})
+        a, b = _allowed(own, np.repeat(i, len(j)), np.tile(j, len(i)), percent, tree)
+        return pd.DataFrame({"a": a, "b": b})
 
     of = lambda n: F.ceil(F.col(n) / block).cast("int")
     home = lambda n: F.pmod(F.xxhash64("k", "cell"), of(n)).cast("int")
@@ -355,23 +433,17 @@ def _in_blocks(cells: DataFrame, counts: DataFrame, percent: int, block: int = B
     return rows.groupBy("cell", "i", "j").applyInPandas(run, PAIRS)
 
 
-def _candidates(cells: DataFrame, counts: DataFrame, percent: int, leaf: int) -> DataFrame:
+def _candidates(cells: DataFrame, counts: DataFrame, percent: int, leaf: int, tree: bool) -> DataFrame:
     """Pairs of sets in different components that share a cell (cell, k, label, minor, size, minors)."""
     small = F.col("size") <= leaf
-    return (_in_small(cells.where(small), counts, percent).unionByName(_in_blocks(cells.where(~small), counts, percent))
-            .groupBy("a", "b").agg(F.max("most").alias("most")))
+    return (_in_small(cells.where(small), counts, percent, tree)
+            .unionByName(_in_blocks(cells.where(~small), counts, percent, tree)).distinct())
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """For each set of the pairs, its pair with the largest bound."""
-    ends = pairs.select("a", "b", "most", F.explode(F.array("a", "b")).alias("k"))
-    return ends.groupBy("k").agg(F.max(F.struct("most", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-
-
 def _regions(members: DataFrame, pivots: DataFrame, dist: DataFrame, t: float, far: float) -> DataFrame:
     """Voronoi regions of each cell as new cells; boundary members are replicated, pivots are done."""
     eps = 1e-9  # rounding must not lose a partner on the bound
@@ -413,10 +485,10 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     members = stored(_distinct_cells(stored(met.distinct(), "jaccard-cells")), "jaccard-cells")
     nodes = stored(members.select("k").distinct(), "jaccard-nodes")
     classes = usable.join(nodes, "k", "left_semi").groupBy("k").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"))
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
     classes = stored(classes, "jaccard-classes")
-    n_nodes = nodes.count()
     labels, sets = nodes.select("k", F.col("k").alias("label")), None
+    joined = []  # (node, component) of every step: labels that became others
 
     def compare(pairs: DataFrame, n: int) -> DataFrame:
         return stored(_distances(pairs, sets, n).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
@@ -426,37 +498,39 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
         nonlocal labels
         found = dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
         top = components(_between(found, labels), "jaccard-components").withColumnRenamed("node", "label")
-        new = labels.join(top, "label", "left").select("k", F.coalesce("component", "label").alias("label"))
-        labels = stored(narrowed(new, n_nodes), "jaccard-labels")
-
-    def apart(pairs: DataFrame, n: int) -> DataFrame:
-        a = labels.select(F.col("k").alias("a"), F.col("label").alias("la"))
-        b = labels.select(F.col("k").alias("b"), F.col("label").alias("lb"))
-        return stored(narrowed(pairs.join(a, "a").join(b, "b").where("la <> lb").select("a", "b", "most"), n), "jaccard-pairs")
+        joined.append(top.where("label <> component").select(F.col("label").alias("a"), F.col("component").alias("b")))
+        labels = stored(labels.join(top, "label", "left").select("k", F.coalesce("component", "label").alias("label")),
+                        "jaccard-labels")
 
+    large = None
     for turn in range(max_rounds + 1):
-        cells = stored(_opened(members, labels), "jaccard-open")
-        if cells.isEmpty():
-            break
         last = turn == max_rounds
-        direct = F.lit(last) | (F.col("size") <= DIRECT_LEAVES * leaf) | (F.col("minors") <= FEW)
-        pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent, leaf), "jaccard-pairs")
-        large = cells.where(~direct)
-        if sets is None:  # later rounds only meet members of these cells
-            needed = _ends(pairs).unionByName(large.select("k")).distinct()
-            sets = stored(_sets(source, stored(classes.join(needed, "k", "left_semi").select("doc_id", "k"), "jaccard-needed"),
-                                words), "jaccard-sets")
-        # many pairs: each set's best partner first, then those that this left apart
-        for step in range(BEST_STEPS):
+        for tree in (True, False):
+            if not tree:  # a forest reaches all ends of the pairs allowed: others have no partner in cells compared
+                members = (cells.where(direct).join(ends, "k", "left_semi").unionByName(large).select("cell", "k"))
+            cells = stored(_opened(members, labels), "jaccard-open")
+            direct = F.lit(last) | (F.col("size") <= DIRECT_LEAVES * leaf) | (F.col("minors") <= FEW)
+            large = cells.where(~direct)
+            if cells.isEmpty():
+                break
+            if joined:  # settled members need no label any more
+                labels = stored(cells.select("k", "label").distinct(), "jaccard-labels")
+            pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent, leaf, tree), "jaccard-pairs")
+            ends = stored(_ends(pairs), "jaccard-ends")
+            if sets is None:  # later steps only meet these and members of large cells
+                needed = ends.unionByName(large.select("k")).distinct()
+                sets = stored(_sets(source, stored(classes.join(needed, "k", "left_semi").select("doc_id", "k"), "jaccard-needed"),
+                                    words), "jaccard-sets")
             n = pairs.count()
             if not n:
                 break
-            if step == BEST_STEPS - 1 or n <= PAIRS_PER_SET * _ends(pairs).count():
-                link(compare(pairs.select("a", "b"), n))
-                break
-            best = stored(_best(pairs), "jaccard-best")
-            link(compare(best, best.count()))
-            pairs = apart(pairs.join(best, ["a", "b"], "left_anti"), n)
+            pairs = stored(_plausible(pairs, classes, n, percent), "jaccard-plausible")
+            m = pairs.count()
+            if m:
+                dist = compare(pairs, m)
+                link(dist)
+                if dist.where(F.col("shared") * 100 >= F.col("total") * percent).count() == n:
+                    break  # all pairs of the forests are links: nothing that they span is apart
         if large.isEmpty():
             break
         # cells overlap: each member takes part in its largest one, the others wait for the new labels
@@ -477,7 +551,9 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     known = usable.select("doc_id", "n", "k")
     held = known.groupBy("doc_id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi")
     same = known.join(held, "doc_id").where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
-    edges = labels.where("k <> label").select(F.col("k").alias("a"), F.col("label").alias("b")).unionByName(same)
+    edges = same
+    for step in joined:
+        edges = edges.unionByName(step)
     top = components(edges, "jaccard-components").withColumnRenamed("node", "k")
     found = rows.join(top, "k", "left").select("doc_id", "n", F.coalesce("component", "k").alias("label"))
     # documents without shingles have no class; the others' component is named by its smallest id

@@ -340,3 +340,54 @@ def test_pipeline_rows_of_one_id(spark):
     assert text(kept) == sorted([(3, a), (7, b), (5, f"{c} end"), (8, item), (9, None), (9, "")], key=str)
     kept = corpus_pipeline.decontamination(spark, docs, SF)
     assert text(kept) == sorted([r for r in rows if r[1] != item], key=str)
+
+
+def test_jaccard_bounds_of_long_sets():
+    """The fine counts never reject a link, whatever numbers of classes the two sets have."""
+    rng = np.random.default_rng(4)
+    rejected = 0
+    for n in (300, 600, 1000, 1030, 5000):
+        for share in (0.2, 0.6, 0.86, 0.9, 0.95):
+            x = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+            y = np.unique(np.concatenate([x[: int(share * n)], rng.integers(0, 1 << 64, int(1.1 * n) - int(share * n), np.uint64)]))
+            both, union = jaccard_join._overlap(x, y)
+            allowed = jaccard_join._fine_allows(len(x), len(y), jaccard_join._fine_counts(x), jaccard_join._fine_counts(y), 80)
+            assert allowed or 100 * both < 80 * union
+            rejected += not allowed
+    assert rejected >= 4
+
+
+def test_jaccard_forest_spans():
+    """The forest joins what the pairs join, with the largest bounds first."""
+    rng = random.Random(2)
+    pairs = [tuple(sorted(rng.sample(range(40), 2))) for _ in range(60)]
+    la, lb = (np.array(x) for x in zip(*pairs))
+    kept = jaccard_join._forest(la, lb, np.arange(len(pairs)))
+
+    def groups(edges):
+        top = list(range(40))
+        for _ in range(40):
+            for a, b in edges:
+                top[a] = top[b] = min(top[a], top[b])
+        return top
+
+    assert groups([pairs[i] for i in kept]) == groups(pairs)
+    assert len(kept) == 40 - len(set(groups(pairs))) and kept[0] == len(pairs) - 1
+
+
+def test_jaccard_long_documents(spark):
+    """Long texts that share a passage or nearly everything, with members that share nothing, against brute force."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(500)]
+    base = [f"b{i}" for i in range(900)]
+    rows = []
+    for i in range(36):
+        if i % 3 == 0:
+            words = passage + [f"u{i}_{j}" for j in range(rng.randint(60, 200))]
+        else:
+            words = [w if rng.random() > 0.01 * (i % 4) else f"x{rng.randint(0, 50)}" for w in base]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for leaf in (4, 48):
+        got = jaccard_join.jaccard_join(docs, leaf=leaf).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows)
