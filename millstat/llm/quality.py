@@ -2,12 +2,13 @@
 
 A text's worth is a linear function of its features; the chance that one
 text is preferred to another is the logistic function of the difference of
-their worths. Preference pairs (a text marked good over one marked bad) are
-drawn from a bounded, documented sample of labelled rows, about
-``MAX_PER_CLASS`` per class, and the weights are learned by logistic loss on
-the feature differences. A quantile of the learned worths, at the share of
-bad rows among the labelled ones, is the threshold; the score is a logistic
-function of the worth that is ``CUT`` at the threshold.
+their worths. All labelled rows outside the held-out fold teach: their features are
+dealt into groups by hash, and in a group every row meets ``PAIRS_PER_ROW`` rows of the
+other class at least (rows of a rare class go to several groups). The weights are the optimum of
+the logistic loss on these preference pairs (a text marked good over one marked bad), found by
+Newton steps whose sums over all groups Spark takes. The worth that divides the labelled rows at the
+share of bad ones is the threshold; the score is a logistic function of the worth that is ``CUT`` at
+the threshold.
 
 Defined results: NULL and empty texts have all features 0 and still get a
 score; rows with a NULL label or id teach nothing; of several labels for one
@@ -17,6 +18,7 @@ is that class's smoothed share.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, fold, labels
-from .toxicity import bounded_sample
+from .shared import documents, fold, labels, stored
 
 CUT = 0.7
-MAX_PER_CLASS = 4000
 PAIRS_PER_ROW = 8
-EPOCHS = 300
+GROUP = 256  # labelled rows of a group, about
+LEAST = 32  # rows of each class that a group has, about; of a rarer class all
+STEPS = 30
+PENALTY = 1e-3
+UNIT = 1 << 20  # sums are taken in whole units, so that their order does not matter
+BINS = 1024
 _KINDS = np.zeros(256, np.int64)  # kind of each UTF-8 byte: 0 other letters, 1 lower, 2 upper, 3 digit, 4 space, 5 mark
 _KINDS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 5
 _KINDS[[*range(0x00, 0x21), 0x7F]] = 4
@@ -90,27 +95,52 @@ def expand(z: np.ndarray) -> np.ndarray:
     return np.hstack([z, z ** 2 / 3])
 
 
-def train(x: np.ndarray, y: np.ndarray, bad_share: float, pairs_per_row: int = PAIRS_PER_ROW, epochs: int = EPOCHS,
-          seed: int = 11) -> Model:
-    """Bradley-Terry weights by gradient steps (Adam) on pairs good over bad."""
+def _sums(good: np.ndarray, bad: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Over the pairs of one group: their number, loss, gradient and second derivatives in a row."""
+    k, m = len(w), max(len(good), len(bad))
+    if not len(good) or not len(bad):
+        return np.zeros(2 + k + k * k)
+    at = np.arange(m)
+    diff = np.concatenate([good[at % len(good)] - bad[(at + s) % len(bad)] for s in range(PAIRS_PER_ROW)])
+    z = diff @ w
+    p = 1 / (1 + np.exp(np.clip(z, -500, 500)))  # chance given to the wrong order
+    return np.concatenate([[len(diff), np.logaddexp(0, -z).sum()], -(p @ diff),
+                           ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()])
+
+
+def _weights(total: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Bradley-Terry weights by Newton steps, halved where the loss grows; ``total``: ``_sums`` over all groups."""
+    k = 2 * N_FEATURES
+    w, step, least, best = np.zeros(k), np.zeros(k), np.inf, np.zeros(k)
+    for _ in range(STEPS):
+        got = total(w)
+        loss = got[1] / got[0] + PENALTY / 2 * (w @ w)
+        if loss > least + 1e-9:
+            step = step / 2
+        else:
+            least, best = loss, w
+            step = -np.linalg.solve(got[2 + k:].reshape(k, k) / got[0] + PENALTY * np.eye(k), got[2: 2 + k] / got[0] + PENALTY * w)
+        if np.abs(step).max() < 1e-4:
+            break
+        w = best + step
+    return best
+
+
+def _one_class(mean: np.ndarray, scale: np.ndarray, bad: int, good: int) -> Model:
+    share = (good + 1) / (bad + good + 2)
+    return Model(mean, scale, np.zeros(2 * N_FEATURES), float(np.log(CUT / (1 - CUT)) - np.log(share / (1 - share))), 1.0)
+
+
+def train(x: np.ndarray, y: np.ndarray, bad_share: float) -> Model:
+    """The model of one group of rows."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = expand((x - mean) / scale)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    w = np.zeros(z.shape[1])
     if not len(good) or not len(bad):
-        share = (len(good) + 1) / (len(y) + 2)
-        return Model(mean, scale, w, float(np.log(CUT / (1 - CUT)) - np.log(share / (1 - share))), 1.0)
-    rng = np.random.default_rng(seed)
-    n = pairs_per_row * max(len(good), len(bad))
-    diff = z[rng.choice(good, n)] - z[rng.choice(bad, n)]
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for t in range(1, epochs + 1):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -40, 40)))  # chance given to the wrong order
-        grad = -(diff * p[:, None]).mean(axis=0) + 1e-3 * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-        w -= 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        return _one_class(mean, scale, len(bad), len(good))
+    w = _weights(lambda v: _sums(z[good], z[bad], v))
     worth = z @ w
-    # the sample's classes back to their shares among the labelled rows
+    # the classes' shares may be others than those of the rows
     weight = np.where(y == 0, bad_share / len(bad), (1 - bad_share) / len(good))
     order = np.argsort(worth)
     at = min(int(np.searchsorted(np.cumsum(weight[order]), bad_share)), len(order) - 1)
@@ -118,26 +148,112 @@ def train(x: np.ndarray, y: np.ndarray, bad_share: float, pairs_per_row: int = P
     return Model(mean, scale, w, float((worth[order[at]] + lower) / 2), float(max(worth.std(), 1e-6) / 2))
 
 
-def learn(docs: DataFrame, marks: DataFrame, per_class: int = MAX_PER_CLASS) -> Model:
-    """Model from documents and their labels (doc_id, y)."""
-    texts, y, taken = bounded_sample(docs, marks, per_class)
-    if not len(y):
-        return train(np.zeros((1, N_FEATURES)), np.ones(1, np.int64), 0.0)
-    n0, n1 = (y == 0).sum() / taken[0], (y == 1).sum() / taken[1]
-    return train(np.array([features(t) for t in texts]), y, n0 / (n0 + n1))
+def _matrix(column) -> np.ndarray:
+    """Features of the rows, kept as bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, N_FEATURES)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every whole text."""
+def _grouped(own: DataFrame, bad: int, good: int) -> DataFrame:
+    """(g, bad, good): features of the rows of each group by class, in a fixed order."""
+    n = max(1, (bad + good) // GROUP)
+    copies = [min(n, -(-LEAST * n // c)) for c in (bad, good)]
+    first = F.pmod(F.xxhash64("doc_id", "x"), F.lit(n))
+    each = F.sequence(F.lit(0), F.when(F.col("y") == 1, copies[1]).otherwise(copies[0]) - 1)
+    dealt = own.select("y", "x", F.xxhash64("x", "doc_id").alias("h"), first.alias("first"), F.explode(each).alias("j"))
+    of = lambda c: F.sort_array(F.collect_list(F.when(F.col("y") == c, F.struct("h", "x"))))["x"]
+    return dealt.groupBy(((F.col("first") + F.col("j")) % n).alias("g")).agg(of(0).alias("bad"), of(1).alias("good"))
+
+
+def _total(groups: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``_sums`` over all groups."""
     def run(batches):
         for batch in batches:
-            x = np.array([features(t) for t in batch["text"].to_pylist()]).reshape(-1, N_FEATURES)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(model.score(x))], names=["doc_id", "score"])
+            total = np.zeros(2 + len(w) + len(w) ** 2, np.int64)
+            for pair in zip(batch["good"], batch["bad"]):
+                rows = [expand((_matrix(pa.array(c.as_py(), pa.binary())) - mean) / scale) for c in pair]
+                total += np.rint(_sums(*rows, w) * UNIT).astype(np.int64)
+            yield pa.record_batch({"at": pa.array(np.arange(len(total))), "v": pa.array(total)})
+
+    got = groups.mapInArrow(run, "at long, v long").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+    return got.sort_values("at")["v"].to_numpy(np.float64) / UNIT
+
+
+def value_at(rows: DataFrame, name: str, place: int) -> float:
+    """The value at ``place`` (from 0) of the sorted column: counts in bins, then in finer ones around the place."""
+    low, high = rows.agg(F.min(name), F.max(name)).first()
+    while low < high:
+        # both ends of the range are values: every turn leaves some out
+        bin_ = F.least(F.floor((F.col(name) - low) / (high - low) * BINS), F.lit(BINS - 1))
+        found = (rows.where(F.col(name).between(low, high)).groupBy(bin_.alias("bin"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("low"), F.max(name).alias("high")).orderBy("bin").collect())
+        for r in found:
+            if place < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            place -= r["n"]
+    return low
+
+
+def learn(rows: DataFrame, marks: DataFrame) -> Model:
+    """Model from all labelled rows: features (doc_id, x) and labels (doc_id, y)."""
+    own = stored(rows.join(marks, "doc_id").select("doc_id", "y", "x"), "quality-labelled")
+
+    def moments(batches):
+        for batch in batches:
+            x = _matrix(batch["x"])
+            total = np.rint(np.concatenate([x, x ** 2], axis=1) * UNIT).astype(np.int64).sum(axis=0)
+            good = int(batch["y"].to_numpy().sum())
+            yield pa.record_batch({"at": pa.array(np.arange(len(total) + 2)),
+                                   "v": pa.array(np.concatenate([[len(x) - good, good], total]))})
+
+    got = own.mapInArrow(moments, "at long, v long").groupBy("at").agg(F.sum("v").alias("v")).toPandas().sort_values("at")["v"].to_numpy()
+    if not len(got):
+        return _one_class(np.zeros(N_FEATURES), np.ones(N_FEATURES), 0, 1)
+    bad, good = map(int, got[:2])
+    mean, square = np.split(got[2:] / UNIT / (bad + good), 2)
+    scale = np.sqrt(np.maximum(square - mean ** 2, 0)) + 1e-6
+    if not bad or not good:
+        return _one_class(mean, scale, bad, good)
+    groups = stored(_grouped(own, bad, good), "quality-groups")
+    w = _weights(lambda v: _total(groups, mean, scale, v))
+    model = Model(mean, scale, w, 0.0, 1.0)
+
+    def worths(batches):
+        for batch in batches:
+            yield pa.record_batch({"worth": pa.array(model.worth(_matrix(batch["x"])))})
+
+    found = stored(own.select("x").mapInArrow(worths, "worth double"), "quality-worths")
+    threshold = (value_at(found, "worth", bad - 1) + value_at(found, "worth", bad)) / 2
+    spread = found.agg(F.stddev_pop("worth")).first()[0]
+    return Model(mean, scale, w, float(threshold), max(spread, 1e-6) / 2)
+
+
+def featured(docs: DataFrame) -> DataFrame:
+    """(doc_id, x): the features of every whole text, as bytes."""
+    def run(batches):
+        for batch in batches:
+            x = [features(t).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(x, pa.binary())], names=["doc_id", "x"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, x binary")
+
+
+def rated(rows: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score) of features (doc_id, x)."""
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(model.score(_matrix(batch["x"])))],
+                                             names=["doc_id", "score"])
+
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score) of every whole text."""
+    return rated(featured(docs), model)
+
+
 def marked(marks: DataFrame) -> DataFrame:
     """(doc_id, y) of quality labels outside the held-out fold."""
     own = marks.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 4) != 2))
@@ -146,7 +262,7 @@ def marked(marks: DataFrame) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text; labels of the held-out fold are not read."""
-    docs = documents(spark, sf_dir)
-    model = learn(docs, marked(labels(spark, sf_dir)))
-    return score(docs, model).select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+    rows = stored(featured(documents(spark, sf_dir)), "quality-features")
+    model = learn(rows, marked(labels(spark, sf_dir)))
+    return rated(rows, model).select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
                                      "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
