@@ -41,6 +41,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -49,7 +50,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import components, documents, narrowed, stored
+from .shared import components, dealt, documents, kept, narrowed, stored
 from .words import INVERSE, MULTIPLIER, _mix, chunks, powers, windows
 
 WORDS = 5
@@ -277,15 +278,15 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     return found.join(needed.select("k"), "k", "left_semi").groupBy("k").agg(F.first("shingles").alias("shingles"))
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that the fine counts of long sets allow; pairs with a short set all stay."""
+def _plausible(pairs: DataFrame, ends: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b), with these ends, that the fine counts of long sets allow; pairs with a short set all stay."""
     def run(batches):
         for batch in batches:
             columns = (batch[c].to_pylist() for c in ("na", "nb", "fa", "fb"))
             keep = pa.array([_fine_allows(*x, percent) for x in zip(*columns)], pa.bool_())
             yield batch.select(["a", "b"]).filter(keep)
 
-    long = classes.where("fine is not null").join(stored(_ends(pairs), "jaccard-ends"), "k", "left_semi")
+    long = classes.where("fine is not null").join(ends, "k", "left_semi")
     left = long.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
     right = long.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
     rows = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "na", "nb", "fa", "fb")
@@ -303,8 +304,8 @@ def _fine_allows(nx: int, ny: int, x: bytes | None, y: bytes | None, percent: in
     return 100 * most >= percent * (nx + ny - most)
 
 
-def _distances(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
-    """The ``n`` pairs (a, b) with the sizes of intersection and union of their whole sets."""
+def _distances(pairs: DataFrame, ends: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """The ``n`` pairs (a, b), with these ends, and the sizes of intersection and union of their whole sets."""
     def run(batches):
         for batch in batches:
             shared, total = [], []
@@ -315,8 +316,8 @@ def _distances(pairs: DataFrame, sets: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(shared, pa.int64()),
                                               pa.array(total, pa.int64())], names=["a", "b", "shared", "total"])
 
-    # the ends are written first: few are broadcast, and only their sets travel
-    sets = sets.join(stored(_ends(pairs), "jaccard-ends"), "k", "left_semi")
+    # the ends are written: few are broadcast, and only their sets travel
+    sets = sets.join(ends, "k", "left_semi")
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("sb"))
     return (narrowed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), n, PAIRS_PER_TASK)
@@ -429,19 +430,25 @@ def _in_blocks(cells: DataFrame, counts: DataFrame, percent: int, tree: bool, bl
     each = lambda n: F.explode(F.sequence(F.lit(0), of(n) - 1))
     left = cells.where("minor").select("cell", "k", "label", "minor", home("minors").alias("i"), each("size").alias("j"))
     right = cells.select("cell", "k", "label", F.lit(False).alias("minor"), each("minors").alias("i"), home("size").alias("j"))
-    rows = left.unionByName(right.select(left.columns)).join(counts, "k")
+    rows = left.unionByName(right.select(left.columns)).join(counts, "k").repartition("cell", "i", "j")
     return rows.groupBy("cell", "i", "j").applyInPandas(run, PAIRS)
 
 
 def _candidates(cells: DataFrame, counts: DataFrame, percent: int, leaf: int, tree: bool) -> DataFrame:
     """Pairs of sets in different components that share a cell (cell, k, label, minor, size, minors)."""
     small = F.col("size") <= leaf
-    return (_in_small(cells.where(small), counts, percent, tree)
-            .unionByName(_in_blocks(cells.where(~small), counts, percent, tree)).distinct())
+    few, many = cells.agg(F.count_if(small), F.count_if(~small)).first()
+    found = []
+    if few or not many:
+        found.append(_in_small(cells.where(small), counts, percent, tree))
+    if many:
+        found.append(_in_blocks(cells.where(~small), counts, percent, tree))
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+def _ends(pairs: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """The sets in ``n`` pairs, written, and how many there are."""
+    return kept(dealt(pairs, 2 * n).select(F.explode(F.array("a", "b")).alias("k")).distinct(), "jaccard-ends")
 
 
 def _regions(members: DataFrame, pivots: DataFrame, dist: DataFrame, t: float, far: float) -> DataFrame:
@@ -482,25 +489,28 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
     over = Window.partitionBy("cell")
     met = (_entries(source, words, percent, bitmap).withColumn("lo", F.min("k").over(over)).withColumn("hi", F.max("k").over(over))
            .where("lo <> hi").select("cell", "k"))
-    members = stored(_distinct_cells(stored(met.distinct(), "jaccard-cells")), "jaccard-cells")
-    nodes = stored(members.select("k").distinct(), "jaccard-nodes")
+    members, _ = kept(_distinct_cells(kept(met.distinct(), "jaccard-cells")[0]), "jaccard-cells")
+    nodes, _ = kept(members.select("k").distinct(), "jaccard-nodes")
     classes = usable.join(nodes, "k", "left_semi").groupBy("k").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
     classes = stored(classes, "jaccard-classes")
     labels, sets = nodes.select("k", F.col("k").alias("label")), None
     joined = []  # (node, component) of every step: labels that became others
 
-    def compare(pairs: DataFrame, n: int) -> DataFrame:
-        return stored(_distances(pairs, sets, n).withColumn("d", 1 - F.col("shared") / F.col("total")), "jaccard-distances")
+    def compare(pairs: DataFrame, ends: DataFrame, n: int) -> DataFrame:
+        found = _distances(pairs, ends, sets, n).withColumn("d", 1 - F.col("shared") / F.col("total"))
+        return kept(found, "jaccard-distances")[0]
 
     def link(dist: DataFrame) -> None:
         """Join the components that new links connect; labels stand for what earlier links joined."""
         nonlocal labels
         found = dist.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
-        top = components(_between(found, labels), "jaccard-components").withColumnRenamed("node", "label")
+        if joined:  # else every set is its own component
+            found = _between(found, labels)
+        top = components(found, "jaccard-components").withColumnRenamed("node", "label")
         joined.append(top.where("label <> component").select(F.col("label").alias("a"), F.col("component").alias("b")))
-        labels = stored(labels.join(top, "label", "left").select("k", F.coalesce("component", "label").alias("label")),
-                        "jaccard-labels")
+        labels, _ = kept(labels.join(top, "label", "left").select("k", F.coalesce("component", "label").alias("label")),
+                         "jaccard-labels")
 
     large = None
     for turn in range(max_rounds + 1):
@@ -508,26 +518,25 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
         for tree in (True, False):
             if not tree:  # a forest reaches all ends of the pairs allowed: others have no partner in cells compared
                 members = (cells.where(direct).join(ends, "k", "left_semi").unionByName(large).select("cell", "k"))
-            cells = stored(_opened(members, labels), "jaccard-open")
+            cells, opened = kept(_opened(members, labels), "jaccard-open")
             direct = F.lit(last) | (F.col("size") <= DIRECT_LEAVES * leaf) | (F.col("minors") <= FEW)
             large = cells.where(~direct)
-            if cells.isEmpty():
+            if not opened:
                 break
             if joined:  # settled members need no label any more
-                labels = stored(cells.select("k", "label").distinct(), "jaccard-labels")
-            pairs = stored(_candidates(cells.where(direct), classes.select("k", "n", "counts"), percent, leaf, tree), "jaccard-pairs")
-            ends = stored(_ends(pairs), "jaccard-ends")
+                labels, _ = kept(cells.select("k", "label").distinct(), "jaccard-labels")
+            counts, _ = kept(classes.select("k", "n", "counts").join(labels, "k", "left_semi"), "jaccard-counts")
+            pairs, n = kept(_candidates(cells.where(direct), counts, percent, leaf, tree), "jaccard-pairs", PAIRS_PER_TASK)
+            ends, ended = _ends(pairs, n)
             if sets is None:  # later steps only meet these and members of large cells
-                needed = ends.unionByName(large.select("k")).distinct()
+                needed = dealt(ends.unionByName(large.select("k")), ended + opened).distinct()
                 sets = stored(_sets(source, stored(classes.join(needed, "k", "left_semi").select("doc_id", "k"), "jaccard-needed"),
                                     words), "jaccard-sets")
-            n = pairs.count()
             if not n:
                 break
-            pairs = stored(_plausible(pairs, classes, n, percent), "jaccard-plausible")
-            m = pairs.count()
+            pairs, m = kept(_plausible(pairs, ends, classes, n, percent), "jaccard-plausible", PAIRS_PER_TASK)
             if m:
-                dist = compare(pairs, m)
+                dist = compare(pairs, ends if m == n else _ends(pairs, m)[0], m)
                 link(dist)
                 if dist.where(F.col("shared") * 100 >= F.col("total") * percent).count() == n:
                     break  # all pairs of the forests are links: nothing that they span is apart
@@ -535,26 +544,28 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
             break
         # cells overlap: each member takes part in its largest one, the others wait for the new labels
         best = large.groupBy("k").agg(F.max(F.struct("size", "cell")).alias("m")).select("m.cell").distinct()
-        now = stored(large.join(best, "cell", "left_semi"), "jaccard-now")
+        now, _ = kept(large.join(best, "cell", "left_semi"), "jaccard-now")
         draws = [F.min_by(F.when(F.col("minor"), F.col("k")),
                           F.when(F.col("minor"), F.xxhash64("k", F.lit(1000 * turn + i)))).alias(f"p{i}") for i in range(PIVOTS)]
-        pivots = stored(now.groupBy("cell").agg(*draws).select(
+        pivots, _ = kept(now.groupBy("cell").agg(*draws).select(
             "cell", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("pivot")), "jaccard-pivots")
-        spokes = stored(now.join(pivots, "cell").where("k <> pivot").select(
-            F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b")).distinct(), "jaccard-spokes")
-        dist = compare(spokes, spokes.count())
+        spokes, n = kept(now.join(pivots, "cell").where("k <> pivot").select(
+            F.least("k", "pivot").alias("a"), F.greatest("k", "pivot").alias("b")).distinct(), "jaccard-spokes", PAIRS_PER_TASK)
+        dist = compare(spokes, _ends(spokes, n)[0], n)
         link(dist)
         waiting = large.join(best, "cell", "left_anti").select("cell", "k")
         regions = _regions(now.select("cell", "k"), pivots, dist.select("a", "b", "d"), t, far)
-        members = stored(_distinct_cells(stored(waiting.unionByName(regions.distinct()), "jaccard-regions")), "jaccard-cells")
+        regions, _ = kept(waiting.unionByName(regions.distinct()), "jaccard-regions")
+        members, _ = kept(_distinct_cells(regions), "jaccard-cells")
     # an id on several rows with different texts holds its classes together
-    known = usable.select("doc_id", "n", "k")
+    rows, _ = kept(rows.select("doc_id", "n", "k"), "jaccard-rows")
+    known = rows.where("n > 0 and doc_id is not null")
     held = known.groupBy("doc_id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi")
     same = known.join(held, "doc_id").where("k <> lo").select(F.col("lo").alias("a"), F.col("k").alias("b"))
     edges = same
     for step in joined:
         edges = edges.unionByName(step)
-    top = components(edges, "jaccard-components").withColumnRenamed("node", "k")
+    top = components(kept(edges, "jaccard-steps")[0], "jaccard-components").withColumnRenamed("node", "k")
     found = rows.join(top, "k", "left").select("doc_id", "n", F.coalesce("component", "k").alias("label"))
     # documents without shingles have no class; the others' component is named by its smallest id
     ids = found.where("n > 0 and doc_id is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))

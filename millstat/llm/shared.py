@@ -29,6 +29,20 @@ def narrowed(df: DataFrame, rows: int, per_file: int = ROWS_PER_FILE) -> DataFra
     return df.coalesce(8 + rows // per_file)
 
 
+def dealt(df: DataFrame, rows: int, per_task: int = ROWS_PER_FILE) -> DataFrame:
+    """``df`` of ``rows`` rows in tasks of about ``per_task``, at most as many as it has: up to so many rows are one
+    task's, and what groups or joins them needs no exchange.
+    """
+    return df.coalesce(1 + rows // per_task)
+
+
+def kept(df: DataFrame, name: str, per_task: int = ROWS_PER_FILE) -> tuple[DataFrame, int]:
+    """``stored``, dealt by its number of rows; and that number."""
+    back = stored(df, name)
+    n = back.count()
+    return dealt(back, n, per_task), n
+
+
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
@@ -56,11 +70,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     component is a star around its smallest node. Self loops and repeated edges
     are allowed; nodes without an edge to another node are not returned.
     """
-    cur = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .distinct(), name)
-    n, open_nodes = _state(cur)
+    cur, n = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                  .distinct(), name)
+    open_nodes = _state(cur)
     while open_nodes:
-        both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = cur.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: neighbours above the node move to the smallest of the neighbourhood
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -68,20 +82,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         # small star: the node and its smaller neighbours move to the smallest one
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        cur = stored(narrowed(small, n), name)
-        n, open_nodes = _state(cur)
+                 .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b"))
+        cur, n = kept(dealt(small, n).distinct(), name)
+        open_nodes = _state(cur)
     top = cur.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return top.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return dealt(top.unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), n)
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    """How many edges there are, and how many nodes keep them from being stars.
+def _state(edges: DataFrame) -> int:
+    """How many nodes keep the edges from being stars.
 
     Edges run from ``a`` to a smaller ``b``. They are stars when every ``a`` has one edge and is no one's ``b``.
     """
-    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(
-        edges.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+    ends = edges.select(F.inline(F.array(*[F.struct(F.col(c).alias("node"), F.lit(up).alias("up")) for c, up in (("a", 1), ("b", 0))])))
     nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
-    r = nodes.agg(F.sum("up"), F.count_if((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("least") == 0)))).first()
-    return r[0] or 0, r[1]
+    return nodes.agg(F.count_if((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("least") == 0)))).first()[0]

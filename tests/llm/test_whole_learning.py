@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from millstat.llm import quality
+from millstat.llm import quality, shared
 
 
 def test_quality_learns_from_all_labelled_rows(spark):
@@ -38,3 +38,25 @@ def test_quality_one_class_or_none(spark):
     for marks in (one, one.limit(0)):
         scores = quality.rated(rows, quality.learn(rows, marks)).toPandas()["score"]
         assert scores.nunique() == 1 and 0.6 < scores[0] < 1
+
+
+def test_jaccard_small_tables_take_no_exchange(spark):
+    """Tables of few rows are one task's: rounds of components do not shuffle them, whatever the number of partitions."""
+    edges = spark.range(0, 400, 1, 7).select(F.col("id").alias("a"), (F.col("id") + 1 + F.col("id") % 3).alias("b"))
+    found = shared.components(edges)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and found.rdd.getNumPartitions() == 1
+    parent = list(range(500))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in edges.collect():
+        x, y = sorted((top(r["a"]), top(r["b"])))
+        parent[y] = x
+    got = {r["node"]: r["component"] for r in found.collect()}
+    assert got == {n: top(n) for r in edges.collect() for n in (r["a"], r["b"])}
+    back, n = shared.kept(spark.range(0, 250, 1, 5), "some", 100)
+    assert n == 250 and back.rdd.getNumPartitions() <= 3 and shared.dealt(spark.range(0, 9, 1, 9), 9).rdd.getNumPartitions() == 1
