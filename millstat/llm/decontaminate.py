@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,32 +53,36 @@ UNITS = frozenset(
     "heure heures jour jours an ans hora horas dia dias".split())
 
 
-def _placeholder(name: str) -> np.uint64:
-    return np.uint64(xxh3_64_intdigest(f"\0{name}"))
+def _placeholder(name: str) -> int:
+    return xxh3_64_intdigest(f"\0{name}")
 
 
-NUM, MONEY, SHARE, NAME, MEASURE = map(_placeholder, ("num", "money", "share", "name", "unit"))
+_NUM, _MONEY, _SHARE, _NAME, _MEASURE = map(_placeholder, ("num", "money", "share", "name", "unit"))
 
 
 def _token_rows(tokens: list[str]) -> np.ndarray:
-    """Per distinct token: hash of its lower-cased form, kind, hash of its placeholder."""
-    out = np.zeros((len(tokens), 3), np.uint64)
-    for i, t in enumerate(tokens):
-        low = t.lower()
-        out[i, 0] = xxh3_64_intdigest(low)
-        if t in ".!?:\n":
-            out[i, 1] = BREAK
+    """Per token: hash of its lower-cased form, kind, hash of its placeholder."""
+    low = list(map(str.lower, tokens))
+    kinds, holders = [], []
+    for t, small in zip(tokens, low):
+        kind, holder = WORD, 0
+        if t[0].isalpha():
+            if small in UNITS:
+                kind, holder = UNIT, _MEASURE
+            elif small != t and len(t) > 1 and t[0].isupper() and t[1:].islower():
+                kind, holder = CAPITAL, _NAME
+        elif t in ".!?:\n":
+            kind = BREAK
         elif t[-1] == "%":
-            out[i, 1:] = SLOT, SHARE
+            kind, holder = SLOT, _SHARE
         elif t[0] in "$€£":
-            out[i, 1:] = SLOT, MONEY
+            kind, holder = SLOT, _MONEY
         elif t[0].isdigit():
-            out[i, 1:] = SLOT, NUM
-        elif low in UNITS:
-            out[i, 1:] = UNIT, MEASURE
-        elif len(t) > 1 and t[0].isupper() and t[1:].islower():
-            out[i, 1:] = CAPITAL, NAME
-    return out
+            kind, holder = SLOT, _NUM
+        kinds.append(kind)
+        holders.append(holder)
+    hashes = np.fromiter(map(xxh3_64_intdigest, low), np.uint64, len(low))
+    return np.stack([hashes, np.array(kinds, np.uint64), np.array(holders, np.uint64)], axis=1)
 
 
 @lru_cache(maxsize=1)
@@ -92,10 +97,10 @@ class Canonical:
     def __init__(self):
         self.table = WordTable(_token_rows)
 
-    def tokens(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of all texts in a row, their text's number, plain hashes, template hashes, slot flags."""
+    def tokens(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens and breaks of all texts in a row; of the tokens: place there, text's number, hashes plain and as template, slot flags."""
         split = [_TOKEN.findall(t or "") for t in texts]
-        flat = [w for words in split for w in words]
+        flat = list(chain.from_iterable(split))
         owner = np.repeat(np.arange(len(split)), [len(w) for w in split])
         at = self.table.lookup(flat)
         rows = self.table.rows[at] if len(at) else np.zeros((0, 3), np.uint64)
@@ -109,7 +114,7 @@ class Canonical:
         after_number[1:] = (kind[:-1] == SLOT) & (owner[1:] == owner[:-1])
         slot = (kind == SLOT) | ((kind == UNIT) & after_number) | ((kind == CAPITAL) & ~first)
         plain = rows[real, 0]
-        return [flat[i] for i in where] if slot.any() else flat, owner, plain, np.where(slot, rows[real, 2], plain), slot
+        return flat, where, owner, plain, np.where(slot, rows[real, 2], plain), slot
 
 
 HITS = "id long, pos int, kind string, hash long, slots array<string>"
@@ -127,7 +132,7 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
         for batch in batches:
             ids, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
             for start, end in chunks(texts):
-                words, owner, plain, template, slot = canonical.tokens(texts[start:end])
+                words, where, owner, plain, template, slot = canonical.tokens(texts[start:end])
                 sizes = np.bincount(owner, minlength=end - start)
                 begin = np.concatenate([[0], np.cumsum(sizes)])
                 kept = np.concatenate([[0], np.cumsum(~slot)])
@@ -156,7 +161,7 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
                             cols[1].append(i - int(begin[owner[i]]))
                             cols[2].append(kind)
                             cols[3].append(code)
-                            cols[4].append([words[k].lower() for k in range(i, i + width) if slot[k]]
+                            cols[4].append([words[where[k]].lower() for k in range(i, i + width) if slot[k]]
                                            if kind == "template" else [])
                 if cols[0]:
                     yield pa.record_batch({
@@ -203,7 +208,7 @@ def _item_widths(items: DataFrame, window: int) -> DataFrame:
     def run(batches):
         canonical = canonicaliser()
         for batch in batches:
-            _, owner, *_ = canonical.tokens(batch["text"].to_pylist())
+            _, _, owner, *_ = canonical.tokens(batch["text"].to_pylist())
             n = np.minimum(np.bincount(owner, minlength=batch.num_rows), window)
             yield pa.record_batch({"n": pa.array(np.unique(n[n > 0]), pa.int32())})
 

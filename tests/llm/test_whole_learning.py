@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from millstat.llm import quality, shared
+from millstat.llm import decontaminate, quality, shared
 
 
 def test_quality_learns_from_all_labelled_rows(spark):
@@ -60,3 +60,14 @@ def test_jaccard_small_tables_take_no_exchange(spark):
     assert got == {n: top(n) for r in edges.collect() for n in (r["a"], r["b"])}
     back, n = shared.kept(spark.range(0, 250, 1, 5), "some", 100)
     assert n == 250 and back.rdd.getNumPartitions() <= 3 and shared.dealt(spark.range(0, 9, 1, 9), 9).rdd.getNumPartitions() == 1
+
+
+def test_decontamination_tokens_stay_in_place():
+    """Tokens are pointed at, not copied; hashes, kinds and placeholders are those of each token."""
+    texts = [None, "", "He saw New York.\nIt cost $3,000.50 or 10% of 5 km", "x_y 3rd İstanbul ² a"]
+    flat, where, owner, plain, template, slot = decontaminate.Canonical().tokens(texts)
+    assert flat == [t for x in texts for t in decontaminate._TOKEN.findall(x or "")]
+    assert [flat[i] for i in where] == [t for t in flat if t not in ".!?:\n"]
+    assert [flat[i] for i in where[slot]] == ["New", "York", "$3,000.50", "10%", "5", "km", "3", "İstanbul", "²", "a"]
+    assert owner.tolist() == sorted(owner.tolist()) and set(owner.tolist()) == {2, 3}
+    assert (template[slot] != plain[slot]).all() and (template[~slot] == plain[~slot]).all()
