@@ -50,7 +50,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import components, dealt, documents, kept, narrowed, stored
+from .shared import components, dealt, documents, kept, narrowed, pieces, stored
 from .words import INVERSE, MULTIPLIER, _mix, chunks, powers, windows
 
 WORDS = 5
@@ -67,7 +67,8 @@ DIRECT_LEAVES = 8  # cells of up to so many leaves are compared by their class c
 FEW = 24  # members outside the largest component that are compared directly
 MAX_ROUNDS = 2
 PAIRS_PER_TASK = 1000
-TEXT_CHUNK = 500_000
+TEXT_CHUNK = 200_000
+PAIR_BLOCK = 8_192  # pairs whose class counts are held at once
 PAIRS = "a long, b long"
 HELD = 2_000_000  # shingles that a task holds to find the frequent ones
 
@@ -190,7 +191,7 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
         seen: set = set()
         new: dict[int, np.ndarray] = {}
         held = 0
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts, at = batch["doc_id"], batch["text"].to_pylist(), 0
             for sets in shingle_sets(texts, words):
                 keys, none = _keys(sets), pa.nulls(len(sets), pa.int64())
@@ -233,16 +234,17 @@ def _entries(docs: DataFrame, words: int, percent: int, bitmap) -> DataFrame:
         table = bitmap.value
         for batch in batches:
             seen: set = set()
-            for sets in shingle_sets(batch["text"].to_pylist(), words):
-                own = []
-                for k, s in zip(_keys(sets).tolist(), sets):
-                    if k and k not in seen:
-                        seen.add(k)
-                        own.append((k, _ordered(s, table)[: prefix_size(len(s), percent)]))
-                if own:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([c for _, c in own]).view(np.int64)),
-                         pa.array(np.repeat([k for k, _ in own], [len(c) for _, c in own]))], names=["cell", "k"])
+            for piece in pieces([batch]):
+                for sets in shingle_sets(piece["text"].to_pylist(), words):
+                    own = []
+                    for k, s in zip(_keys(sets).tolist(), sets):
+                        if k and k not in seen:
+                            seen.add(k)
+                            own.append((k, _ordered(s, table)[: prefix_size(len(s), percent)]))
+                    if own:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.concatenate([c for _, c in own]).view(np.int64)),
+                             pa.array(np.repeat([k for k, _ in own], [len(c) for _, c in own]))], names=["cell", "k"])
 
     return _texts(docs).mapInArrow(run, "cell long, k long")
 
@@ -266,7 +268,7 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         table = bitmap.value
-        for batch in batches:
+        for batch in pieces(batches):
             batch = batch.filter(pa.compute.is_valid(batch["doc_id"]))
             at = _marked(batch["doc_id"].to_numpy())
             batch = batch.filter(pa.array((table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
@@ -309,8 +311,8 @@ def _distances(pairs: DataFrame, ends: DataFrame, sets: DataFrame, n: int) -> Da
     def run(batches):
         for batch in batches:
             shared, total = [], []
-            for x, y in zip(batch["sa"].to_pylist(), batch["sb"].to_pylist()):
-                both, union = _overlap(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+            for x, y in zip(batch["sa"], batch["sb"]):
+                both, union = _overlap(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
                 shared.append(both)
                 total.append(union)
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(shared, pa.int64()),
@@ -359,8 +361,8 @@ def _allowed(frame: dict, i: np.ndarray, j: np.ndarray, percent: int, tree: bool
     With ``tree`` only those of a spanning forest of the components.
     """
     out = []
-    for at in range(0, len(i), 50_000):
-        x, y = i[at: at + 50_000], j[at: at + 50_000]
+    for at in range(0, len(i), PAIR_BLOCK):
+        x, y = i[at: at + PAIR_BLOCK], j[at: at + PAIR_BLOCK]
         apart = frame["label"][x] != frame["label"][y]
         x, y = x[apart], y[apart]
         cx, cy, nx, ny = frame["have"][x], frame["have"][y], frame["n"][x], frame["n"][y]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, fold, numbered
+from .shared import documents, fold, numbered, pieces
 from .words import WordTable, char_ngrams, chunks
 
 UND = "und"
@@ -33,6 +33,7 @@ BUCKETS = 1 << 16
 MAX_TRAIN_DOCS = 20_000  # about; the training sample is a share of the learnable rows by hash
 SWITCH_PENALTY = 12.0
 MIN_SCORE = 0.2  # share of a text's letters in its language, below which a text is rejected
+CHARS = 250_000  # of texts whose words are held at once
 SCRIPT_SHARE = 0.01  # a language uses a script that holds this share of its letters
 
 #: fixed values: first and last code point of the letters of each script
@@ -129,13 +130,13 @@ def learn(train: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Model | None:
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def count(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             by_lang: dict[str, list[str]] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
                 grams, scripts = np.zeros(BUCKETS, np.int64), np.zeros(len(NAMES), np.int64)
-                for start, end in chunks(texts):
+                for start, end in chunks(texts, CHARS):
                     words: dict[str, int] = {}
                     for t in texts[start:end]:
                         for w in t.split():
@@ -170,21 +171,27 @@ def learn(train: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Model | None:
 PREDICTED = "lang_pred string, score double, spans array<struct<lang:string,first:int,words:int>>"
 
 
-def predict(docs: DataFrame, model: Model | None, penalty: float = SWITCH_PENALTY, keep: tuple = ("doc_id",)) -> DataFrame:
-    """Adds lang_pred, score and spans (language, first word, words) to the ``keep`` columns of ``docs``."""
+def predict(docs: DataFrame, model: Model | None, penalty: float = SWITCH_PENALTY, keep: tuple = ("doc_id",),
+            text: str = "text") -> DataFrame:
+    """Adds lang_pred, score and spans (language, first word, words) to the ``keep`` columns of ``docs``.
+
+    A string column ``text`` that is kept goes to the workers once.
+    """
     if model is None:
         empty = F.array().cast("array<struct<lang:string,first:int,words:int>>")
         return docs.select(*keep, F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"), empty.alias("spans"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets, a fixed size
     fields = docs.select(*keep).schema
+    once = text in keep and docs.schema[text].dataType.simpleString() == "string"
+    source = text if once else "_text"
     span = pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32())])
 
     def run(batches):
         m = shared.value
         k, table = len(m.languages), WordTable(m.word_rows)
-        for batch in batches:
-            texts, langs, scores, spans = batch["_text"].to_pylist(), [], [], []
-            for start, end in chunks(texts):
+        for batch in pieces(batches):
+            texts, langs, scores, spans = batch[source].to_pylist(), [], [], []
+            for start, end in chunks(texts, CHARS):
                 split = [(t or "").split() for t in texts[start:end]]
                 at = table.lookup([w for words in split for w in words])
                 pos = 0
@@ -207,9 +214,9 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = SWITCH_PENALT
                                                pa.array(spans, pa.list_(span))]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "lang_pred", "score", "spans"])
 
-    text = F.col("text").cast("string").alias("_text")
+    rows = docs.select(*keep) if once else docs.select(*keep, F.col(text).cast("string").alias(source))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + PREDICTED
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def learnable(docs: DataFrame) -> DataFrame:
@@ -221,7 +228,7 @@ def accepted(docs: DataFrame, model: Model | None, min_score: float = MIN_SCORE)
     """``docs`` without the texts that have no letters or hardly any in a learned language's script."""
     own = numbered(docs)
     names = tuple(own.columns)
-    found = predict(own.withColumn("text", F.col(names[docs.columns.index("text")])), model, keep=names)
+    found = predict(own, model, keep=names, text=names[docs.columns.index("text")])
     return found.where((F.col("lang_pred") != UND) & (F.col("score") >= min_score)).select(*names).toDF(*docs.columns)
 
 

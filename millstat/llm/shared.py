@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 ROWS_PER_FILE = 100_000
+ROWS_AT_ONCE = 1_000  # of a batch, whose texts a task holds as Python objects
 
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -43,6 +47,13 @@ def kept(df: DataFrame, name: str, per_task: int = ROWS_PER_FILE) -> tuple[DataF
     return dealt(back, n, per_task), n
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, without a copy: a worker keeps the memory of its largest step."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 CHUNK_CHARS = 1_000_000
+NEW_WORDS = 8_192  # that are computed at once
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
@@ -43,16 +44,17 @@ class WordTable:
         if len(self.index) > self.limit:
             self.index, self.used = {}, 0
         new = list(set(words) - self.index.keys())
-        if new:
-            values = self.compute(new)
-            need = self.used + len(new)
+        for at in range(0, len(new), NEW_WORDS):
+            some = new[at: at + NEW_WORDS]
+            values = self.compute(some)
+            need = self.used + len(some)
             if self.rows is None or need > len(self.rows):
                 grown = np.empty((max(2 * need, 65_536), *values.shape[1:]), values.dtype)
                 if self.used:
                     grown[: self.used] = self.rows[: self.used]
                 self.rows = grown
             self.rows[self.used: need] = values
-            self.index.update(zip(new, range(self.used, need)))
+            self.index.update(zip(some, range(self.used, need)))
             self.used = need
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
