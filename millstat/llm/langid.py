@@ -34,6 +34,7 @@ MAX_TRAIN_DOCS = 20_000  # about; the training sample is a share of the learnabl
 SWITCH_PENALTY = 12.0
 MIN_SCORE = 0.2  # share of a text's letters in its language, below which a text is rejected
 CHARS = 250_000  # of texts whose words are held at once
+NEW_WORDS = 8_192  # that are scored at once
 SCRIPT_SHARE = 0.01  # a language uses a script that holds this share of its letters
 
 #: fixed values: first and last code point of the letters of each script
@@ -188,7 +189,7 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = SWITCH_PENALT
 
     def run(batches):
         m = shared.value
-        k, table = len(m.languages), WordTable(m.word_rows)
+        k, table = len(m.languages), WordTable(m.word_rows, at_once=NEW_WORDS)
         for batch in pieces(batches):
             texts, langs, scores, spans = batch[source].to_pylist(), [], [], []
             for start, end in chunks(texts, CHARS):

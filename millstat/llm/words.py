@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 CHUNK_CHARS = 1_000_000
-NEW_WORDS = 8_192  # that are computed at once
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 
@@ -28,13 +27,13 @@ def chunks(texts: list, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int, int
 class WordTable:
     """Rows of numbers per distinct word, computed once per task.
 
-    ``compute`` maps a list of new words to an array with one row per word.
+    ``compute`` maps a list of new words, of ``at_once`` at most, to an array with one row per word.
     The cache is emptied between chunks once it holds ``limit`` words, so
     memory stays bounded whatever the vocabulary.
     """
 
-    def __init__(self, compute: Callable[[list[str]], np.ndarray], limit: int = 400_000):
-        self.compute, self.limit = compute, limit
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], limit: int = 400_000, at_once: int | None = None):
+        self.compute, self.limit, self.at_once = compute, limit, at_once
         self.index: dict = {}
         self.rows: np.ndarray | None = None
         self.used = 0
@@ -44,8 +43,9 @@ class WordTable:
         if len(self.index) > self.limit:
             self.index, self.used = {}, 0
         new = list(set(words) - self.index.keys())
-        for at in range(0, len(new), NEW_WORDS):
-            some = new[at: at + NEW_WORDS]
+        step = self.at_once or max(len(new), 1)
+        for at in range(0, len(new), step):
+            some = new[at: at + step]
             values = self.compute(some)
             need = self.used + len(some)
             if self.rows is None or need > len(self.rows):

@@ -30,7 +30,7 @@ def test_new_words_are_computed_in_blocks():
         asked.append(len(words))
         return np.array([[float(w)] for w in words], np.float32)
 
-    table, words = WordTable(compute), [str(i % 30_000) for i in range(60_000)]
+    table, words = WordTable(compute, at_once=langid.NEW_WORDS), [str(i % 30_000) for i in range(60_000)]
     at = table.lookup(words)
     assert sum(asked) == 30_000 and max(asked) <= 8_192
     assert table.rows[at][:, 0].tolist() == [float(w) for w in words]
