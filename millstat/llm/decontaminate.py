@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .shared import documents, stored
+from .shared import documents, lean, pieces, stored
 from .words import WordTable, chunks, windows
 
 WINDOW = 8
@@ -129,7 +129,7 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
 
     def run(batches):
         canonical = canonicaliser()
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
             for start, end in chunks(texts):
                 words, where, owner, plain, template, slot = canonical.tokens(texts[start:end])
@@ -168,7 +168,7 @@ def _hits(texts: DataFrame, widths: tuple[int, ...], literal: int, bitmap=None,
                         "id": pa.array(cols[0], pa.int64()), "pos": pa.array(cols[1], pa.int32()), "kind": cols[2],
                         "hash": pa.array(cols[3], pa.int64()), "slots": pa.array(cols[4], pa.list_(pa.string()))})
 
-    return texts.where("id is not null and text is not null").mapInArrow(run, HITS)
+    return texts.where("id is not null and text is not null").mapInArrow(lean(run), HITS)
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -212,7 +212,7 @@ def _item_widths(items: DataFrame, window: int) -> DataFrame:
             n = np.minimum(np.bincount(owner, minlength=batch.num_rows), window)
             yield pa.record_batch({"n": pa.array(np.unique(n[n > 0]), pa.int32())})
 
-    return items.where("id is not null and text is not null").select("text").mapInArrow(run, "n int").distinct()
+    return items.where("id is not null and text is not null").select("text").mapInArrow(lean(run), "n int").distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL) -> DataFrame:

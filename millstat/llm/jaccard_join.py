@@ -50,7 +50,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import components, dealt, documents, kept, narrowed, pieces, stored
+from .shared import components, dealt, documents, kept, lean, narrowed, pieces, stored
 from .words import INVERSE, MULTIPLIER, _mix, chunks, powers, windows
 
 WORDS = 5
@@ -210,7 +210,7 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
         if new:
             yield from frequent(new, seen)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n long, k long, counts binary, fine binary, word long, bits long")
+    return _texts(docs).mapInArrow(lean(run), "doc_id long, n long, k long, counts binary, fine binary, word long, bits long")
 
 
 def _frequent(profile: DataFrame) -> np.ndarray:
@@ -246,7 +246,7 @@ def _entries(docs: DataFrame, words: int, percent: int, bitmap) -> DataFrame:
                             [pa.array(np.concatenate([c for _, c in own]).view(np.int64)),
                              pa.array(np.repeat([k for k, _ in own], [len(c) for _, c in own]))], names=["cell", "k"])
 
-    return _texts(docs).mapInArrow(run, "cell long, k long")
+    return _texts(docs).mapInArrow(lean(run), "cell long, k long")
 
 
 def _marked(ids: np.ndarray) -> np.ndarray:
@@ -264,7 +264,7 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             yield pa.record_batch({"word": pa.array(at >> 5), "bits": pa.array(1 << (at & 31))})
 
     bitmap = docs.sparkSession.sparkContext.broadcast(
-        _frequent(needed.select("doc_id").mapInArrow(bits, "word long, bits long")))
+        _frequent(needed.select("doc_id").mapInArrow(lean(bits), "word long, bits long")))
 
     def run(batches):
         table = bitmap.value
@@ -276,7 +276,7 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_keys(sets)), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["k", "shingles"])
 
-    found = _texts(docs).mapInArrow(run, "k long, shingles binary")
+    found = _texts(docs).mapInArrow(lean(run), "k long, shingles binary")
     return found.join(needed.select("k"), "k", "left_semi").groupBy("k").agg(F.first("shingles").alias("shingles"))
 
 
@@ -292,7 +292,7 @@ def _plausible(pairs: DataFrame, ends: DataFrame, classes: DataFrame, n: int, pe
     left = long.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
     right = long.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
     rows = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "na", "nb", "fa", "fb")
-    return narrowed(rows, n, 10 * PAIRS_PER_TASK).mapInArrow(run, PAIRS)
+    return narrowed(rows, n, 10 * PAIRS_PER_TASK).mapInArrow(lean(run), PAIRS)
 
 
 def _fine_allows(nx: int, ny: int, x: bytes | None, y: bytes | None, percent: int) -> bool:
@@ -323,7 +323,7 @@ def _distances(pairs: DataFrame, ends: DataFrame, sets: DataFrame, n: int) -> Da
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("sb"))
     return (narrowed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), n, PAIRS_PER_TASK)
-            .mapInArrow(run, "a long, b long, shared long, total long"))
+            .mapInArrow(lean(run), "a long, b long, shared long, total long"))
 
 
 def _overlap(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
@@ -415,7 +415,7 @@ def _in_small(cells: DataFrame, counts: DataFrame, percent: int, tree: bool) ->
         return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["a", "b"])
 
     rows = cells.select("cell", "k", "label").join(counts, "k").select("cell", "k", "label", "n", "counts")
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, PAIRS)
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(lean(run), PAIRS)
 
 
 def _in_blocks(cells: DataFrame, counts: DataFrame, percent: int, tree: bool, block: int = BLOCK) -> DataFrame:

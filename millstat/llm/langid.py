@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import documents, fold, numbered, pieces
+from .shared import documents, fold, lean, numbered, pieces
 from .words import WordTable, char_ngrams, chunks
 
 UND = "und"
@@ -155,7 +155,7 @@ def learn(train: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Model | None:
                 yield pa.record_batch({"lang": pa.array([lang] * len(at)), "at": pa.array(at),
                                        "n": pa.array(both[at])})
 
-    counts = sample.select("lang", "text").mapInArrow(count, "lang string, at long, n long")
+    counts = sample.select("lang", "text").mapInArrow(lean(count), "lang string, at long, n long")
     # at most languages x (buckets + scripts) rows
     got = counts.groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()
     if got.empty:
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, model: Model | None, penalty: float = SWITCH_PENALT
 
     rows = docs.select(*keep) if once else docs.select(*keep, F.col(text).cast("string").alias(source))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", " + PREDICTED
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def learnable(docs: DataFrame) -> DataFrame:

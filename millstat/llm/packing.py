@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import documents, stored
+from . import shared
+from .shared import documents, lean, stored
 from .tokenize import WORD_BPE, encoder
 
 MAX_TOKENS = 2048
@@ -43,7 +44,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, vocabulary: str = WORD
 
     def cut(batches):
         own = encoder(vocabulary)
-        for batch in batches:
+        for batch in shared.pieces(batches):
             out: list[tuple] = []
             for doc_id, packed in zip(batch["doc_id"].to_pylist(), own.packed(batch["text"].to_pylist())):
                 packed += end
@@ -55,7 +56,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, vocabulary: str = WORD
                                                  names=[n for n, _ in fields])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(cut, PIECES + ", ids binary" * with_ids)
+    return rows.mapInArrow(lean(cut), PIECES + ", ids binary" * with_ids)
 
 
 def plan(counts: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple[tuple[int, ...], int]]:
@@ -187,7 +188,7 @@ def pack(found: DataFrame, max_tokens: int = MAX_TOKENS, bucket_rows: int = BUCK
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(sequence), pa.array(offset)],
                                              names=[*names, "sequence_id", "offset"])
 
-    return ranked(found.select(*names), bucket_rows).select(*names, "rank").mapInArrow(place, PLACED)
+    return ranked(found.select(*names), bucket_rows).select(*names, "rank").mapInArrow(lean(place), PLACED)
 
 
 def pack_documents(docs: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:

@@ -1,5 +1,6 @@
 """What a Python worker holds at once is bounded, and texts go to it once."""
 
+import os
 import tracemalloc
 
 import numpy as np
@@ -43,6 +44,31 @@ def test_batches_in_pieces():
     assert pa.Table.from_batches(got).to_pydict() == whole.to_pydict()
 
 
+def test_workers_give_memory_back(monkeypatch):
+    told = []
+    monkeypatch.setattr(shared, "give_back", lambda: told.append(len(seen)))
+    seen = []
+
+    def run(batches):
+        for b in batches:
+            seen.append(b)
+            yield b
+
+    assert list(shared.lean(run)(iter("abc"))) == list("abc")
+    assert told == [1, 2, 3, 3]  # after each batch, and at the end
+
+
+def test_freed_memory_leaves_the_process():
+    def held():
+        return int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    arrays = [np.ones(100_000 // 8) for _ in range(2_000)]  # 200 MB in blocks that the C library keeps
+    last, full = arrays[-1], held()
+    del arrays
+    shared.give_back()
+    assert full - held() > 150e6 and last[0] == 1
+
+
 def test_accepted_sends_texts_once(spark):
     docs = spark.createDataFrame([(i, "some english words here", "en") for i in range(20)], "doc_id long, text string, lang string")
     found = langid.accepted(docs, langid.learn(docs))
