@@ -1,16 +1,18 @@
 """The corpus pipeline: from ``documents`` to packed training sequences.
 
 Each stage takes what its predecessor kept, written as Parquet and read
-again. All but the last return the columns of ``documents``.
+again. All but the last return the columns of ``documents``. ``run`` deletes
+the tables of a stage when the next one is written.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millstat.llm import decontaminate, jaccard_join, langid, packing, secrets
-from millstat.llm.shared import numbered, stored
+from millstat.llm.shared import BROADCAST, bitmap_test, discard, finished, numbered, stored, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +21,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _rows(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` as c0, c1, ... with a number ``row`` of their own, written: stages decide on rows, whatever their ids are."""
-    return stored(numbered(docs).withColumn("row", F.monotonically_increasing_id()), name)
+    """``docs`` as c0, c1, ... with a number ``row`` of their own: stages decide on rows, whatever their ids are.
+
+    Parquet files as they are need no copy: the number is made of the file and the row's place in it. All else is written.
+    """
+    rows = _placed(docs)
+    return rows if rows is not None else stored(numbered(docs).withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def _placed(docs: DataFrame) -> DataFrame | None:
+    """``docs`` with a ``row`` of 36 bits of the file's hash and 27 bits of the place in it; None if these don't tell rows apart."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return None  # what is computed may come out otherwise when read again
+    meta = docs.metadataColumn("_metadata")
+    try:
+        rows = docs.select("*", meta["file_path"].alias("path"), meta["row_index"].alias("place"))
+    except AnalysisException:  # not files, or not of Parquet
+        return None
+    rows = rows.toDF(*[f"c{i}" for i in range(len(docs.columns))], "path", "place")
+    files = rows.groupBy("path").agg(F.max("place").alias("last"))
+    for seed in range(4):
+        at = F.xxhash64(F.lit(seed), F.col("path")).bitwiseAND((1 << 36) - 1)
+        n, different, last = files.agg(F.count(F.lit(1)), F.count_distinct(at), F.max("last")).first()
+        if different == n and (last or 0) < 1 << 27:
+            return rows.withColumn("row", F.shiftleft(at, 27) + F.col("place")).drop("path", "place")
+    return None
 
 
 def _texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -28,8 +53,16 @@ def _texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _without(rows: DataFrame, gone: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """The rows not in ``gone``. These numbers are written first: the join then knows their size, and few are broadcast."""
-    return rows.join(stored(gone.select("row").distinct(), name), "row", "left_anti").drop("row").toDF(*docs.columns)
+    """The rows not in ``gone``. These numbers are written first: few are broadcast; of many a bitmap is made, and only
+    the texts whose bit is set are moved to where they are joined.
+    """
+    gone = stored(gone.select("row").distinct(), name)
+    if gone.count() <= BROADCAST:
+        left = rows.join(gone, "row", "left_anti")
+    else:
+        may_go = bitmap_test(gone, "row")
+        left = rows.where(may_go).join(gone, "row", "left_anti").unionByName(rows.where(~may_go).select("row", *rows.drop("row").columns))
+    return left.drop("row").toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +105,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the ``documents`` of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with written() as own:
+            docs = finished(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(spark, before)  # the next stage reads this one's table alone
+        before = own
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,9 +9,13 @@ components and skips what the triangle inequality already settles.
 2. Cells. Two sets at similarity s or more share one of their first
    ``n - ceil(s n) + 1`` shingles under any fixed order, so each
    representative is put into the cells of these. Cells with one
-   member vanish: sets far from all others never meet anyone. The order is by hash,
-   after shingles that are frequent (marked in a bitmap of fixed size), so
-   a passage that many documents share makes no large cell.
+   member vanish: sets far from all others never meet anyone. Shingles that are frequent
+   (marked in a bitmap of fixed size) come last, so a passage that many documents share makes
+   no large cell; the others are ordered by how common their words are (counted in a table of fixed
+   size), then by hash. So cells are shingles of rare words, which sets hardly share by chance,
+   however many there are. Prefixes are a little longer, by ``extra``, so sets that are
+   similar enough share several cells; a representative that shares fewer with
+   all others together, like a document with a quoted line, goes.
 3. Regions. In a cell with more than ``DIRECT_LEAVES * LEAF`` members a few members become
    pivots. Every member gets its distance to them; a distance up to T is a link.
    Each member belongs to the region of its nearest pivot and is replicated
@@ -50,7 +54,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import components, dealt, documents, kept, lean, narrowed, pieces, stored
+from .shared import components, dealt, documents, finished, kept, lean, narrowed, pieces, possible, stored
 from .words import INVERSE, MULTIPLIER, _mix, chunks, powers, windows
 
 WORDS = 5
@@ -59,6 +63,9 @@ LEAF = 48
 PIVOTS = 3
 FREQUENT = 6  # distinct sets within one task that hold a shingle, to call it frequent
 FREQUENT_BITS = 1 << 24  # size of the bitmap of frequent shingles, whatever the input
+SLOTS = 1 << 16  # size of the table of how often words occur, whatever the input
+TOP_RANK = 2000  # of a shingle, by how common its words are; frequent ones come after it, and both fit 12 bits
+EXTRA = 2  # hundredths of a set that go into cells beyond the prefix
 CLASSES = 256
 LONG = 512  # sets with more shingles also have counts in about half as many classes as shingles
 MAX_CLASSES = 1 << 16
@@ -116,22 +123,74 @@ def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return h, np.diff(np.searchsorted(begin, limits), prepend=0)
 
 
-def shingle_sets(texts: list, words: int = WORDS) -> Iterator[list[np.ndarray]]:
-    """Sorted distinct shingle hashes of each text, in lists for consecutive texts of bounded size."""
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(48)).astype(np.int64)
+
+
+def shingle_sets(texts: list, words: int = WORDS, tally: np.ndarray | None = None) -> Iterator[list[np.ndarray]]:
+    """Sorted distinct shingle hashes of each text, in lists for consecutive texts of bounded size.
+
+    ``tally``: gets the words of each slot counted.
+    """
     for start, stop in chunks(texts, TEXT_CHUNK):
         codes, sizes = word_hashes(texts[start:stop])
         full = windows(codes, words)
+        if tally is not None:
+            tally += np.bincount(_slot(codes), minlength=SLOTS)
         out, pos = [], 0
         for n in sizes.tolist():
             if n >= words:
-                own = np.sort(full[pos: pos + n - words + 1])
-                out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
+                out.append(_distinct(full[pos: pos + n - words + 1]))
             else:
                 out.append(windows(codes[pos: pos + n], n) if n else np.empty(0, np.uint64))
             pos += n
         yield out
 
 
+def _prefixes(texts: list, words: int, percent: int, table: np.ndarray, levels: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of consecutive texts: keys of their sets, how many shingles of each set are put into cells, and the cells of these.
+
+    Frequent shingles (``table``) come last, others by how common their words are (``levels``), then by hash: a
+    function of the shingle alone.
+    """
+    for start, stop in chunks(texts, TEXT_CHUNK):
+        codes, sizes = word_hashes(texts[start:stop])
+        full = windows(codes, words)
+        sums = np.concatenate([[0], np.cumsum(levels[_slot(codes)], dtype=np.int64)])
+        rank = (sums[words:] - sums[:-words] if len(full) else sums[:0]) + (TOP_RANK + 1) * _is_hot(full, table)
+        order = (rank.astype(np.uint64) << np.uint64(52)) | (full >> np.uint64(12))
+        sets, firsts, pos = [], [], 0
+        for n in sizes.tolist():
+            if n >= words:
+                own = _distinct(full[pos: pos + n - words + 1])
+                first = _distinct(order[pos: pos + n - words + 1])[: prefix_size(len(own), percent) + extra(len(own))]
+            else:
+                own = first = windows(codes[pos: pos + n], n) if n else np.empty(0, np.uint64)
+            sets.append(own)
+            firsts.append(first)
+            pos += n
+        cells = (_mix(np.concatenate(firsts)) >> np.uint64(16)).view(np.int64)
+        yield _keys(sets), np.fromiter(map(len, firsts), np.int64, len(firsts)), cells
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    own = np.sort(values)
+    return own[np.concatenate([[True], own[1:] != own[:-1]])]
+
+
+def _is_hot(shingles: np.ndarray, table: np.ndarray) -> np.ndarray:
+    at = (shingles >> np.uint64(40)).astype(np.int64)
+    return (table[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+
+
+def extra(n: int) -> int:
+    """By how many shingles the prefix of a set of ``n`` is longer than it has to be.
+
+    Sets of ``m`` and ``n`` shingles that are similar enough then share one cell more than these of the smaller one.
+    """
+    return n * EXTRA // 100
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-n * percent // 100) + 1
 
@@ -174,8 +233,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _profile(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (doc_id, n, k, counts, fine) of documents and rows (word, bits) marking frequent shingles."""
-    names = ["doc_id", "n", "k", "counts", "fine", "word", "bits"]
+    """Rows (doc_id, n, k, counts, fine) of documents, rows (word, bits) marking frequent shingles, rows (slot, times) of words."""
+    names = ["doc_id", "n", "k", "counts", "fine", "word", "bits", "slot", "times"]
 
     def frequent(new: dict, seen: set) -> Iterator[pa.RecordBatch]:
         values, times = np.unique(np.concatenate(list(new.values())), return_counts=True)
@@ -184,21 +243,27 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
         if hot:
             bits, empty = np.array(sorted(hot), np.int64), pa.nulls(len(hot), pa.int64())
             none = pa.nulls(len(hot), pa.binary())
-            yield pa.RecordBatch.from_arrays([empty, empty, empty, none, none, pa.array(bits >> 5), pa.array(1 << (bits & 31))],
-                                             names=names)
+            yield pa.RecordBatch.from_arrays([empty, empty, empty, none, none, pa.array(bits >> 5), pa.array(1 << (bits & 31)),
+                                              empty, empty], names=names)
+
+    def common(tally: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(tally)
+        empty, none = pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary())
+        yield pa.RecordBatch.from_arrays([empty, empty, empty, none, none, empty, empty, pa.array(at), pa.array(tally[at])],
+                                         names=names)
 
     def run(batches):
         seen: set = set()
         new: dict[int, np.ndarray] = {}
-        held = 0
+        held, tally = 0, np.zeros(SLOTS, np.int64)
         for batch in pieces(batches):
             ids, texts, at = batch["doc_id"], batch["text"].to_pylist(), 0
-            for sets in shingle_sets(texts, words):
+            for sets in shingle_sets(texts, words, tally):
                 keys, none = _keys(sets), pa.nulls(len(sets), pa.int64())
                 counts = [row.tobytes() for row in _class_counts(sets)]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys),
-                     pa.array(counts, pa.binary()), pa.array(map(_fine_counts, sets), pa.binary()), none, none], names=names)
+                     pa.array(counts, pa.binary()), pa.array(map(_fine_counts, sets), pa.binary()), none, none, none, none], names=names)
                 at += len(sets)
                 for k, s in zip(keys.tolist(), sets):
                     if k and k not in new:
@@ -209,8 +274,10 @@ def _profile(docs: DataFrame, words: int) -> DataFrame:
                     new, held = {}, 0
         if new:
             yield from frequent(new, seen)
+        yield from common(tally)
 
-    return _texts(docs).mapInArrow(lean(run), "doc_id long, n long, k long, counts binary, fine binary, word long, bits long")
+    return _texts(docs).mapInArrow(lean(run), "doc_id long, n long, k long, counts binary, fine binary, word long, bits long, "
+                                              "slot long, times long")
 
 
 def _frequent(profile: DataFrame) -> np.ndarray:
@@ -221,38 +288,43 @@ def _frequent(profile: DataFrame) -> np.ndarray:
     return table
 
 
-def _ordered(s: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """A set in the order of cells: infrequent shingles first, then by hash."""
-    at = (s >> np.uint64(40)).astype(np.int64)
-    hot = (table[at >> 5] >> (at & 31).astype(np.uint32)) & 1
-    return np.concatenate([s[hot == 0], s[hot == 1]])
+def _levels(profile: DataFrame, words: int) -> np.ndarray:
+    """How common the words of each slot are, in eighths of a power of two: SLOTS numbers, whose sums make ranks."""
+    got = profile.where("slot is not null").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
+    times = np.zeros(SLOTS)
+    times[got["slot"].to_numpy(np.int64)] = got["times"].to_numpy(np.int64)
+    return np.minimum(np.round(8 * np.log2(1 + times)), TOP_RANK // words).astype(np.int16)
 
 
-def _entries(docs: DataFrame, words: int, percent: int, bitmap) -> DataFrame:
-    """(cell, k) of every set's prefix, once for each set of a batch."""
+def _entries(docs: DataFrame, words: int, percent: int, order) -> DataFrame:
+    """(k, cell) of every set's prefix, once for each set of a batch. Cells are 48 bits: two that meet only add candidates."""
     def run(batches):
-        table = bitmap.value
+        table, levels = order.value
         for batch in batches:
             seen: set = set()
             for piece in pieces([batch]):
-                for sets in shingle_sets(piece["text"].to_pylist(), words):
-                    own = []
-                    for k, s in zip(_keys(sets).tolist(), sets):
-                        if k and k not in seen:
-                            seen.add(k)
-                            own.append((k, _ordered(s, table)[: prefix_size(len(s), percent)]))
-                    if own:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.concatenate([c for _, c in own]).view(np.int64)),
-                             pa.array(np.repeat([k for k, _ in own], [len(c) for _, c in own]))], names=["cell", "k"])
+                for keys, sizes, cells in _prefixes(piece["text"].to_pylist(), words, percent, table, levels):
+                    new = []
+                    for k in keys.tolist():
+                        new.append(k != 0 and k not in seen)
+                        seen.add(k)
+                    if any(new):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[new], sizes[new])),
+                                                          pa.array(cells[np.repeat(new, sizes)])], names=["k", "cell"])
 
-    return _texts(docs).mapInArrow(lean(run), "cell long, k long")
+    return _texts(docs).mapInArrow(lean(run), "k long, cell long")
 
 
 def _marked(ids: np.ndarray) -> np.ndarray:
     return (_mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(40)).astype(np.int64)
 
 
+def _classes(usable: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(k, doc_id, n, counts, fine) of the ``n`` classes in ``nodes`` (k)."""
+    return possible(usable, "k", nodes, n).join(nodes, "k", "left_semi").groupBy("k").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
+
+
 def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
     """(k, shingles): the sorted sets, packed, of the classes in ``needed`` (doc_id, k).
 
@@ -288,7 +360,7 @@ def _plausible(pairs: DataFrame, ends: DataFrame, classes: DataFrame, n: int, pe
             keep = pa.array([_fine_allows(*x, percent) for x in zip(*columns)], pa.bool_())
             yield batch.select(["a", "b"]).filter(keep)
 
-    long = classes.where("fine is not null").join(ends, "k", "left_semi")
+    long = possible(classes.where("fine is not null"), "k", ends, n).join(ends, "k", "left_semi")
     left = long.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
     right = long.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
     rows = pairs.join(left, "a", "left").join(right, "b", "left").select("a", "b", "na", "nb", "fa", "fb")
@@ -318,8 +390,8 @@ def _distances(pairs: DataFrame, ends: DataFrame, sets: DataFrame, n: int) -> Da
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(shared, pa.int64()),
                                               pa.array(total, pa.int64())], names=["a", "b", "shared", "total"])
 
-    # the ends are written: few are broadcast, and only their sets travel
-    sets = sets.join(ends, "k", "left_semi")
+    # the ends are written: few are broadcast, a bitmap tells many, and only their sets travel
+    sets = possible(sets, "k", ends, n).join(ends, "k", "left_semi")
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("sb"))
     return (narrowed(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), n, PAIRS_PER_TASK)
@@ -469,33 +541,48 @@ def _regions(members: DataFrame, pivots: DataFrame, dist: DataFrame, t: float, f
 
 
 def _distinct_cells(members: DataFrame) -> DataFrame:
-    """One cell of those with the same members."""
+    """One cell of those with the same members: (cell, k, times), the number of cells that it stands for."""
     marks = members.groupBy("cell").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("k")).alias("k1"),
         F.sum(F.xxhash64("k", F.lit(1)) % 1_000_000_007).alias("k2"), F.min("k").alias("k3"))
-    keep = marks.where("size > 1").groupBy("size", "k1", "k2", "k3").agg(F.min("cell").alias("cell")).select("cell")
-    return members.join(keep, "cell", "left_semi")
+    keep = marks.where("size > 1").groupBy("size", "k1", "k2", "k3").agg(
+        F.min("cell").alias("cell"), F.count(F.lit(1)).alias("times")).select("cell", "times")
+    return members.select("cell", "k").join(keep, "cell")
+
+
+def _meeting(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The members (cell, k, times) that share as many cells with others as with any partner alone; sizes: (k, n).
+
+    A partner has ``percent`` of a set's shingles at least, and shares one cell more than its own ``extra``.
+    """
+    enough = (members.groupBy("k").agg(F.sum("times").alias("cells")).join(sizes, "k")
+              .where(f"cells > (n * {percent} + 99) div 100 * {EXTRA} div 100").select("k").distinct())
+    return members.join(stored(enough, "jaccard-meeting"), "k", "left_semi")
 
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, leaf: int = LEAF,
                  max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(doc_id, text) to (doc_id, n_shingles, component_id)."""
+    """(doc_id, text) to (doc_id, n_shingles, component_id), a table in the shared folder; all others are deleted."""
+    return finished(docs.sparkSession, lambda: _joined(docs, words, percent, leaf, max_rounds), "jaccard-found")
+
+
+def _joined(docs: DataFrame, words: int, percent: int, leaf: int, max_rounds: int) -> DataFrame:
     spark = docs.sparkSession
     t = 1 - percent / 100
     far = 1 - 2 * t
     profile = stored(_profile(docs, words), "jaccard-profile")
-    rows = profile.where("word is null")
+    rows = profile.where("k is not null")
     usable = rows.where("n > 0 and doc_id is not null")
-    bitmap = spark.sparkContext.broadcast(_frequent(profile))
+    order = spark.sparkContext.broadcast((_frequent(profile), _levels(profile, words)))
     source = docs.where(F.col("doc_id").isNotNull())
     over = Window.partitionBy("cell")
-    met = (_entries(source, words, percent, bitmap).withColumn("lo", F.min("k").over(over)).withColumn("hi", F.max("k").over(over))
+    met = (_entries(source, words, percent, order).withColumn("lo", F.min("k").over(over)).withColumn("hi", F.max("k").over(over))
            .where("lo <> hi").select("cell", "k"))
     members, _ = kept(_distinct_cells(kept(met.distinct(), "jaccard-cells")[0]), "jaccard-cells")
-    nodes, _ = kept(members.select("k").distinct(), "jaccard-nodes")
-    classes = usable.join(nodes, "k", "left_semi").groupBy("k").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
-    classes = stored(classes, "jaccard-classes")
+    members, _ = kept(_meeting(members, usable.select("k", "n"), percent), "jaccard-members")
+    members, _ = kept(_distinct_cells(members).select("cell", "k"), "jaccard-cells")
+    nodes, n = kept(members.select("k").distinct(), "jaccard-nodes")
+    classes = stored(_classes(usable, nodes, n), "jaccard-classes")
     labels, sets = nodes.select("k", F.col("k").alias("label")), None
     joined = []  # (node, component) of every step: labels that became others
 
@@ -558,7 +645,7 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, le
         waiting = large.join(best, "cell", "left_anti").select("cell", "k")
         regions = _regions(now.select("cell", "k"), pivots, dist.select("a", "b", "d"), t, far)
         regions, _ = kept(waiting.unionByName(regions.distinct()), "jaccard-regions")
-        members, _ = kept(_distinct_cells(regions), "jaccard-cells")
+        members, _ = kept(_distinct_cells(regions).select("cell", "k"), "jaccard-cells")
     # an id on several rows with different texts holds its classes together
     rows, _ = kept(rows.select("doc_id", "n", "k"), "jaccard-rows")
     known = rows.where("n > 0 and doc_id is not null")

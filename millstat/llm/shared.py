@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 
 import pyarrow as pa
@@ -13,9 +15,43 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 ROWS_PER_FILE = 100_000
+BROADCAST = 10_000  # numbers that any session broadcasts
+MARK_BITS = 1 << 24  # size of a bitmap of numbers, whatever the input
 ROWS_AT_ONCE = 1_000  # of a batch, whose texts a task holds as Python objects
 
 
+_written: ContextVar[list | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The paths of the tables that ``stored`` writes meanwhile; of those within another ``written``, it has them alone."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield paths
+    finally:
+        _written.reset(token)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``stored`` has written and that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def finished(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, ``stored``; the tables that it wrote on the way are deleted, also when it fails."""
+    paths: list[str] = []
+    try:
+        with written() as paths:
+            found = make()
+        return stored(found, name)
+    finally:
+        discard(spark, paths)
+
+
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -23,6 +59,8 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -30,6 +68,25 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bitmap_test(keys: DataFrame, column: str) -> Column:
+    """Whether a bitmap of fixed size, which tasks hold, has the bit of ``column``: it has for all numbers in the column
+    of that name of ``keys``, and by chance for others. So the rest of a large table need not move to be joined with many keys.
+    """
+    at = f"pmod(xxhash64({column}), {MARK_BITS})"
+    bit = F.expr(f"shiftleft(1L, cast({at} & 63 as int))")
+    words = (keys.select(F.expr(f"shiftright({at}, 6)").alias("word"), bit.alias("bits"))
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")))
+    every = keys.sparkSession.range(MARK_BITS >> 6).select(F.col("id").alias("word")).join(words, "word", "left")
+    row = every.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("all"))
+    bitmap = stored(row.select(F.col("all.bits").alias("bits")), "bitmap")
+    return F.get(bitmap.scalar(), F.expr(f"cast(shiftright({at}, 6) as int)")).bitwiseAND(bit) != 0
+
+
+def possible(df: DataFrame, column: str, keys: DataFrame, n: int) -> DataFrame:
+    """The rows of ``df`` that a join with the ``n`` numbers of ``keys`` may need, so that others don't move."""
+    return df.where(bitmap_test(keys, column)) if n > BROADCAST else df
+
+
 def narrowed(df: DataFrame, rows: int, per_file: int = ROWS_PER_FILE) -> DataFrame:
     """``df`` of about ``rows`` rows in tasks that have something to do, without a shuffle."""
     return df.coalesce(8 + rows // per_file)
