@@ -57,10 +57,11 @@ def _without(rows: DataFrame, gone: DataFrame, docs: DataFrame, name: str) -> Da
     the texts whose bit is set are moved to where they are joined.
     """
     gone = stored(gone.select("row").distinct(), name)
-    if gone.count() <= BROADCAST:
+    n = gone.count()
+    if n <= BROADCAST:
         left = rows.join(gone, "row", "left_anti")
     else:
-        may_go = bitmap_test(gone, "row")
+        may_go = bitmap_test(gone, "row", n)
         left = rows.where(may_go).join(gone, "row", "left_anti").unionByName(rows.where(~may_go).select("row", *rows.drop("row").columns))
     return left.drop("row").toDF(*docs.columns)
 

@@ -16,7 +16,7 @@ from ..session import scratch_path
 
 ROWS_PER_FILE = 100_000
 BROADCAST = 10_000  # numbers that any session broadcasts
-MARK_BITS = 1 << 24  # size of a bitmap of numbers, whatever the input
+MARK_BITS = 1 << 24  # size of a bitmap of numbers at most, whatever the input
 ROWS_AT_ONCE = 1_000  # of a batch, whose texts a task holds as Python objects
 
 
@@ -68,15 +68,16 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bitmap_test(keys: DataFrame, column: str) -> Column:
-    """Whether a bitmap of fixed size, which tasks hold, has the bit of ``column``: it has for all numbers in the column
-    of that name of ``keys``, and by chance for others. So the rest of a large table need not move to be joined with many keys.
+def bitmap_test(keys: DataFrame, column: str, n: int) -> Column:
+    """Whether a bitmap of bounded size, which tasks hold, has the bit of ``column``: it has for all ``n`` numbers in the
+    column of that name of ``keys``, and by chance for others. So the rest of a large table need not move to be joined with many keys.
     """
-    at = f"pmod(xxhash64({column}), {MARK_BITS})"
+    size = min(1 << (8 * n).bit_length(), MARK_BITS)
+    at = f"pmod(xxhash64({column}), {size})"
     bit = F.expr(f"shiftleft(1L, cast({at} & 63 as int))")
     words = (keys.select(F.expr(f"shiftright({at}, 6)").alias("word"), bit.alias("bits"))
              .groupBy("word").agg(F.bit_or("bits").alias("bits")))
-    every = keys.sparkSession.range(MARK_BITS >> 6).select(F.col("id").alias("word")).join(words, "word", "left")
+    every = keys.sparkSession.range(max(size >> 6, 1)).select(F.col("id").alias("word")).join(words, "word", "left")
     row = every.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("all"))
     bitmap = stored(row.select(F.col("all.bits").alias("bits")), "bitmap")
     return F.get(bitmap.scalar(), F.expr(f"cast(shiftright({at}, 6) as int)")).bitwiseAND(bit) != 0
@@ -84,7 +85,7 @@ def bitmap_test(keys: DataFrame, column: str) -> Column:
 
 def possible(df: DataFrame, column: str, keys: DataFrame, n: int) -> DataFrame:
     """The rows of ``df`` that a join with the ``n`` numbers of ``keys`` may need, so that others don't move."""
-    return df.where(bitmap_test(keys, column)) if n > BROADCAST else df
+    return df.where(bitmap_test(keys, column, n)) if n > BROADCAST else df
 
 
 def narrowed(df: DataFrame, rows: int, per_file: int = ROWS_PER_FILE) -> DataFrame:
